@@ -1,5 +1,6 @@
 """All registered queries (importing the modules fills the registry)."""
 
 from tidewater.plans import queries as _core  # noqa: F401
+from tidewater.plans import queries_io as _io  # noqa: F401
 from tidewater.plans import queries_metrics as _metrics  # noqa: F401
 from tidewater.plans.queries import ORACLES, QUERIES  # noqa: F401
