@@ -31,7 +31,7 @@ def q_scan_service_jsonl(spark, sf_dir):
 def q_scan_service_csv(spark, sf_dir):
     """L1: the same scan over CSV with a header row."""
     path = scratch_path(spark, "csv")
-    _in(spark, sf_dir).raw(PAYMENTS).write.mode("overwrite").option("header", True).csv(path)
+    writers.write_table(_in(spark, sf_dir).raw(PAYMENTS), path, fmt="csv", header=True)
     return read_service_events(spark, path, PAYMENTS, "csv").drop(CORRUPT_COL)
 
 

@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# text formats keep all six fractional digits of a timestamp
+TEXT_TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                   "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def _stamp(df: DataFrame, run_id: str | None) -> DataFrame:
     return df if run_id is None else df.withColumn("_run_id", F.lit(run_id))
 
@@ -25,14 +30,22 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | tuple[
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if fmt in ("json", "csv"):
+        w = w.options(**TEXT_TS_OPTIONS)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.format(fmt).save(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", run_id: str | None = None) -> None:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", run_id: str | None = None,
+                header: bool = False) -> None:
     """Unpartitioned write; REBALANCE lets AQE pick sensible file sizes."""
-    _stamp(df, run_id).hint("rebalance").write.mode("overwrite").format(fmt).save(path)
+    w = _stamp(df, run_id).hint("rebalance").write.mode("overwrite").format(fmt)
+    if fmt in ("json", "csv"):
+        w = w.options(**TEXT_TS_OPTIONS)
+    if fmt == "csv":
+        w = w.option("header", header)
+    w.save(path)
 
 
 def write_unified(unified: DataFrame, path: str, run_id: str | None = None) -> None:
