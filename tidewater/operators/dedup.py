@@ -16,20 +16,24 @@ def survivor_order(columns: list[str], key: str) -> list[str]:
 def dedup_events(df: DataFrame, key: str = "event_id") -> DataFrame:
     """One row per non-NULL ``key``; rows without a key pass through one by one.
 
-    The survivor is deterministic (``min`` over a struct in
-    :func:`survivor_order`), so reruns after a lost executor pick the same row.
-    ``min`` is an ordinary aggregate: each map task collapses its copies of a
-    key before the shuffle, so a key that holds a third of all rows costs one
-    row per task on the wire.
+    Single pass, one shuffle: rows are grouped by ``key`` and, when the key is
+    NULL, by the whole row as well, so keyless rows never merge with
+    different rows; identical keyless rows are counted and re-emitted as many
+    times as they arrived.  The survivor of a key is deterministic (``min``
+    over a struct in :func:`survivor_order`), so reruns after a lost executor
+    pick the same row.  ``min`` is an ordinary aggregate: each map task
+    collapses its copies of a key before the shuffle, so a key that holds a
+    third of all rows costs one row per task on the wire.
     """
     order = survivor_order(df.columns, key)
-    kept = (df.filter(F.col(key).isNotNull())
-            .groupBy(key)
-            .agg(F.min(F.struct(*order)).alias("_first"))
+    others = [c for c in df.columns if c != key]
+    keyless_row = F.when(F.col(key).isNull(), F.struct(*others))
+    grouped = (df.groupBy(F.col(key), keyless_row.alias("_row"))
+               .agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_copies")))
+    copies = F.when(F.col(key).isNull(), F.col("_copies")).otherwise(F.lit(1).cast("long"))
+    return (grouped.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
             .select(key, *[F.col(f"_first.{c}").alias(c) for c in order])
             .select(*df.columns))
-    keyless = df.filter(F.col(key).isNull())
-    return kept.unionByName(keyless)
 
 
 def dedup_stats(df: DataFrame, service_col: str = "_service", key: str = "event_id") -> DataFrame:
