@@ -27,7 +27,9 @@ def publish_payloads(spark: SparkSession, results: DataFrame, targets: dict[str,
     A target without rows is ``failed``; with ``fail_on_partial`` that raises."""
     payloads(results, targets, run_id).hint("rebalance", "target").write.mode("overwrite") \
         .partitionBy("target").text(path)
-    written = (spark.read.text(path).groupBy("target").agg(F.count(F.lit(1)).alias("rows_written")))
+    # explicit schema: with no rows at all there is no target=... folder to discover
+    written = (spark.read.schema("value string, target string").text(path)
+               .groupBy("target").agg(F.count(F.lit(1)).alias("rows_written")))
     wanted = spark.createDataFrame([(t,) for t in targets], "target string")
     ledger = (wanted.join(written, "target", "left")
               .withColumn("rows_written", F.coalesce("rows_written", F.lit(0).cast("long")))
