@@ -82,7 +82,8 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     from tidewater.session import build_session
     import __spark_entry__ as E
-    spark = build_session("local[8]", 8)
+    extra = {"spark.sql.session.timeZone": os.environ["CHECK_TZ"]} if os.environ.get("CHECK_TZ") else None
+    spark = build_session("local[8]", int(os.environ.get("CHECK_PARTITIONS", "8")), extra=extra)
     con = duck_conn(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0

@@ -72,6 +72,28 @@ FROM {fx_base} WHERE k % 9 <> 8
 """,
 }
 
+# Spark-side form of the multi-variant fixtures: the variants of one base row
+# are generated by ``inline`` from a single scan instead of a UNION ALL of
+# filtered scans (same rows; the UNION ALL text stays the DuckDB oracle's).
+_SPARK_VARIANTS = {
+    "fx_orders": ("""  SELECT b.*, v.seq, v.off, v.event_type, v.status FROM {fx_base} b
+  LATERAL VIEW inline(array(
+    named_struct('seq', 1, 'off', 0, 'event_type', 'ORDER_CREATED', 'status', 'pending', 'keep', true),
+    named_struct('seq', 1, 'off', 0, 'event_type', 'ORDER_CREATED', 'status', 'pending', 'keep', k % 20 = 0),
+    named_struct('seq', 2, 'off', 2, 'event_type', 'ORDER_UPDATED', 'status', 'paid', 'keep', k % 3 = 0),
+    named_struct('seq', 3, 'off', 5, 'event_type', 'ORDER_COMPLETED', 'status', 'completed', 'keep', st = 'F'),
+    named_struct('seq', 4, 'off', 6, 'event_type', 'ORDER_CANCELLED', 'status', 'cancelled', 'keep', k % 11 = 0)
+  )) v
+  WHERE v.keep"""),
+    "fx_payments": ("""  SELECT b.*, v.seq, v.off, v.status FROM {fx_base} b
+  LATERAL VIEW inline(array(
+    named_struct('seq', 1, 'off', 1, 'status', CASE WHEN k % 4 = 0 THEN 'declined' ELSE 'approved' END,
+                 'keep', k % 10 <> 9),
+    named_struct('seq', 2, 'off', 10, 'status', 'approved', 'keep', k % 10 <> 9 AND k % 8 = 0)
+  )) v
+  WHERE v.keep"""),
+}
+
 # which base tables / fixtures each fixture reads
 _DEPS = {
     "fx_base": ("orders",),
@@ -86,7 +108,11 @@ SERVICE_FIXTURE = {ORDERS: "fx_orders", PAYMENTS: "fx_payments",
 
 
 def _spark_text(name: str) -> str:
-    return FX_SQL[name].replace("TS '", "TIMESTAMP_NTZ '")
+    text = FX_SQL[name]
+    if name in _SPARK_VARIANTS:
+        head, rest = text.split("FROM (\n", 1)
+        text = head + "FROM (\n" + _SPARK_VARIANTS[name] + "\n) x\n"
+    return text.replace("TS '", "TIMESTAMP_NTZ '")
 
 
 def _duck_text(name: str) -> str:
