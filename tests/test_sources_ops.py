@@ -150,3 +150,18 @@ def test_publish_payloads_ledger_and_docs(spark, scratch):
     import pytest
     with pytest.raises(RuntimeError):
         publish_payloads(spark, res, {"z": F.col("currency") == "JPY"}, "r1", scratch("pub"), fail_on_partial=True)
+
+
+def test_recovery_validate_duplicated_keys_are_not_paired(spark):
+    # a key with many copies on both sides: compared per key, never pair by pair
+    o = spark.createDataFrame([("h", 1.0)] * 300 + [("x", 1.0), ("x", 2.0), (None, 5.0)],
+                              "event_id string, amount double")
+    r = spark.createDataFrame([("h", 1.0)] * 300 + [("x", 1.0), ("x", 2.0), (None, 5.0), (None, 5.0)],
+                              "event_id string, amount double")
+    row = recovery.recovery_validate(o, r, "event_id", ("amount",)).first()
+    assert (row.original_rows, row.recovered_rows) == (303, 304)
+    # h matches (same copies, same value); x has copies that disagree -> changed; NULL keys never match
+    assert (row.matched, row.changed, row.missing, row.extra, row.passed) == (1, 1, 1, 2, False)
+    fewer = recovery.recovery_validate(o.filter("event_id = 'h'"), r.filter("event_id = 'h'").limit(299),
+                                       "event_id", ("amount",)).first()
+    assert (fewer.matched, fewer.changed) == (0, 1)

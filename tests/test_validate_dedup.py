@@ -75,3 +75,13 @@ def test_dedup_stats(spark):
     df = spark.createDataFrame([("s", "a"), ("s", "a"), ("s", None), ("s", "b")], "_service string, event_id string")
     r = dedup.dedup_stats(df).first()
     assert (r.total_rows, r.distinct_ids, r.null_ids, r.duplicates_removed) == (4, 2, 1, 1)
+
+
+def test_dedup_keyless_copies_kept_across_partitions(spark):
+    # one big group of identical keyless copies, spread over several input partitions
+    rows = [row(None, amount=7.0)] * 2000 + [row("a"), row("a"), row(None, amount=8.0)]
+    df = payments(spark, rows).repartition(5)
+    out = dedup.dedup_events(df)
+    assert out.filter("event_id IS NULL AND amount = 7.0").count() == 2000
+    assert out.filter("event_id IS NULL AND amount = 8.0").count() == 1
+    assert out.filter("event_id = 'a'").count() == 1

@@ -17,18 +17,24 @@ def dedup_events(df: DataFrame, key: str = "event_id") -> DataFrame:
     """One row per non-NULL ``key``; rows without a key pass through one by one.
 
     Single pass, one shuffle: rows are grouped by ``key`` and, when the key is
-    NULL, by the whole row as well, so keyless rows never merge with
-    different rows; identical keyless rows are counted and re-emitted as many
-    times as they arrived.  The survivor of a key is deterministic (``min``
-    over a struct in :func:`survivor_order`), so reruns after a lost executor
-    pick the same row.  ``min`` is an ordinary aggregate: each map task
-    collapses its copies of a key before the shuffle, so a key that holds a
-    third of all rows costs one row per task on the wire.
+    NULL, by the whole row and its input partition as well, so keyless rows
+    never merge with different rows; identical keyless rows are counted and
+    re-emitted as many times as they arrived.  Keying keyless copies by input
+    partition bounds every re-emitted group by one input split, even when one
+    group of copies holds a third of all rows; a row's input partition is
+    fixed by the file splits (or the upstream hash partitioning), so a
+    recomputed task rebuilds the same groups.  The survivor of a key is
+    deterministic (``min`` over a struct in :func:`survivor_order`), so reruns
+    after a lost executor pick the same row.  ``min`` is an ordinary
+    aggregate: each map task collapses its copies of a key before the
+    shuffle, so a key that holds a third of all rows costs one row per task
+    on the wire.
     """
     order = survivor_order(df.columns, key)
     others = [c for c in df.columns if c != key]
-    keyless_row = F.when(F.col(key).isNull(), F.struct(*others))
-    grouped = (df.groupBy(F.col(key), keyless_row.alias("_row"))
+    keyless = F.col(key).isNull()
+    grouped = (df.groupBy(F.col(key), F.when(keyless, F.struct(*others)).alias("_row"),
+                          F.when(keyless, F.spark_partition_id()).alias("_split"))
                .agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_copies")))
     copies = F.when(F.col(key).isNull(), F.col("_copies")).otherwise(F.lit(1).cast("long"))
     return (grouped.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), copies)))

@@ -186,17 +186,24 @@ def q_recovery_slice(spark, sf_dir):
                                    strict=True)
 
 
-@register("recovery_validate", with_ctes("""
-SELECT count(o_id) AS original_rows, count(r_id) AS recovered_rows,
-       count(*) FILTER (WHERE o_id IS NOT NULL AND r_id IS NOT NULL AND same) AS matched,
-       count(*) FILTER (WHERE o_id IS NOT NULL AND r_id IS NOT NULL AND NOT same) AS changed,
-       count(*) FILTER (WHERE r_id IS NULL) AS missing,
-       count(*) FILTER (WHERE o_id IS NULL) AS extra,
-       count(*) FILTER (WHERE r_id IS NULL OR o_id IS NULL OR NOT same) = 0 AS passed
-FROM (SELECT o.event_id AS o_id, r.event_id AS r_id,
-             o.order_id IS NOT DISTINCT FROM r.order_id AND o.amount IS NOT DISTINCT FROM r.amount
-             AND o.status IS NOT DISTINCT FROM r.status AS same
-      FROM valid_payments o FULL OUTER JOIN fx_recovered r ON o.event_id = r.event_id)""",
+def _per_key_sql(table: str, cols=("order_id", "amount", "status")) -> str:
+    agree = " AND ".join(f"(count({c}) = 0 OR (count({c}) = count(*) AND min({c}) = max({c})))" for c in cols)
+    mins = ", ".join(f"min({c}) AS {c}" for c in cols)
+    return (f"SELECT event_id, count(*) AS n, {mins}, {agree} AS agree FROM {table} GROUP BY event_id")
+
+
+@register("recovery_validate", with_ctes(f"""
+SELECT CAST(coalesce(sum(o_n), 0) AS BIGINT) AS original_rows, CAST(coalesce(sum(r_n), 0) AS BIGINT) AS recovered_rows,
+       count(*) FILTER (WHERE o_n IS NOT NULL AND r_n IS NOT NULL AND same) AS matched,
+       count(*) FILTER (WHERE o_n IS NOT NULL AND r_n IS NOT NULL AND NOT same) AS changed,
+       CAST(coalesce(sum(o_n) FILTER (WHERE r_n IS NULL), 0) AS BIGINT) AS missing,
+       CAST(coalesce(sum(r_n) FILTER (WHERE o_n IS NULL), 0) AS BIGINT) AS extra,
+       count(*) FILTER (WHERE r_n IS NULL OR o_n IS NULL OR NOT same) = 0 AS passed
+FROM (SELECT o.n AS o_n, r.n AS r_n,
+             o.n = r.n AND o.agree AND r.agree AND o.order_id IS NOT DISTINCT FROM r.order_id
+             AND o.amount IS NOT DISTINCT FROM r.amount AND o.status IS NOT DISTINCT FROM r.status AS same
+      FROM ({_per_key_sql("valid_payments")}) o FULL OUTER JOIN ({_per_key_sql("fx_recovered")}) r
+        ON o.event_id = r.event_id)""",
     "valid_payments", "fx_recovered"))
 def q_recovery_validate(spark, sf_dir):
     i = _in(spark, sf_dir)
