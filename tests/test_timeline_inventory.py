@@ -64,9 +64,7 @@ def _inventory_rows(n=4000, seed=7):
     return rows
 
 
-def test_running_stock_equals_range_window(spark):
-    inv = df_of(spark, INVENTORY, _inventory_rows())
-    got = inventory.inventory_running(inv, bucket="hour")
+def _assert_equals_range_window(inv, got):
     w = Window.partitionBy("sku", "warehouse_id").orderBy("timestamp")
     want = inv.withColumn("running_quantity", F.sum("quantity_delta").over(w)) \
               .withColumn("stockout_risk", inventory.stockout_risk())
@@ -74,6 +72,25 @@ def test_running_stock_equals_range_window(spark):
     assert want.exceptAll(got.select(*want.columns)).count() == 0
 
 
+def test_running_stock_equals_range_window(spark):
+    inv = df_of(spark, INVENTORY, _inventory_rows())
+    # many slices: the hot key is cut into several buckets
+    _assert_equals_range_window(inv, inventory.inventory_running(inv, buckets=16))
+    _assert_equals_range_window(inv, inventory.inventory_running(inv))
+
+
+def test_running_stock_hot_key_within_one_hour(spark):
+    # a third of the rows on one key, all inside one minute, and NULL deltas
+    rows = [(f"h{i}", "HOT", "W", "STOCK_UPDATED", None if i % 50 == 0 else (i % 7) - 3, None,
+             T + dt.timedelta(microseconds=i * 13 % 9000), "1") for i in range(3000)]
+    rows += [(f"c{i}", f"S{i % 40}", "W", "STOCK_UPDATED", i % 5, None, T + dt.timedelta(seconds=i), "1")
+             for i in range(6000)]
+    rows += [("n0", "N", "W", "STOCK_UPDATED", None, None, T, "1"), ("n1", "N", "W", "STOCK_UPDATED", 4, None,
+                                                                       T + dt.timedelta(seconds=1), "1")]
+    inv = df_of(spark, INVENTORY, rows)
+    _assert_equals_range_window(inv, inventory.inventory_running(inv, buckets=12))
+
+
 def test_running_stock_ties_share_total(spark):
     rows = [(f"e{i}", "S", "W", "STOCK_UPDATED", 5, None, T, "1") for i in range(50)]
     out = inventory.inventory_running(df_of(spark, INVENTORY, rows)).select("running_quantity").distinct().collect()

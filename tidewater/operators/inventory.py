@@ -3,15 +3,19 @@
 Semantics: ``sum(quantity_delta) OVER (PARTITION BY sku, warehouse_id ORDER BY
 timestamp)`` with the default RANGE frame, i.e. rows sharing a timestamp share
 one running total.  A plain window puts each (sku, warehouse) in one task; a
-key can hold a third of all rows, so the sum is built in pieces that split:
+key can hold a third of all rows, so the sum is built as a balanced prefix
+sum:
 
 1. per (key, timestamp) totals - a partial aggregate, so any pile-up of rows
    on one instant collapses map-side (this is also where RANGE ties merge);
-2. per (key, time bucket) totals and their exclusive prefix (offsets) - a
-   window over a table of keys x buckets, small next to the events;
-3. an in-bucket running sum over the per-timestamp totals, partitioned by
-   (key, bucket), so a hot key is spread over its buckets;
-4. the running value joined back to the events on (key, timestamp) - AQE
+2. those rows range-partitioned on (key, timestamp): the sort's sampled
+   bounds cut a hot key into many contiguous slices of about equal size,
+   however its timestamps are spread; the slice number is the bucket;
+3. one window pass per (key, bucket): the in-bucket running sum and the
+   bucket total; then the exclusive prefix of bucket totals per key
+   (offsets) - a key has at most one row per slice there;
+4. the running value = offset + in-bucket sum;
+5. the running value joined back to the events on (key, timestamp) - AQE
    splits skewed partitions of this join.
 """
 
@@ -34,21 +38,36 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
 
 
 def running_totals(events: DataFrame, keys=KEYS, ts: str = "timestamp",
-                   value: str = "quantity_delta", bucket: str = "hour") -> DataFrame:
-    """(keys..., ts, running) with one row per distinct (keys, ts)."""
+                   value: str = "quantity_delta", buckets: int | None = None) -> DataFrame:
+    """(keys..., ts, running) with one row per distinct (keys, ts).
+
+    ``buckets`` is the number of range slices (default: the session's shuffle
+    partitions, which AQE may merge).  NULL deltas are skipped like ``sum``
+    skips them; the total stays NULL until the first non-NULL delta.
+    """
     keys = list(keys)
-    per_ts = (events.groupBy(*keys, ts).agg(F.sum(value).alias("_d"))
-              .withColumn("_b", F.date_trunc(bucket, F.col(ts))))
-    offsets = (per_ts.groupBy(*keys, "_b").agg(F.sum("_d").alias("_bd"))
-               .withColumn("_off", F.coalesce(
-                   F.sum("_bd").over(Window.partitionBy(*keys).orderBy("_b")
-                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .drop("_bd"))
-    in_bucket = per_ts.withColumn(
-        "_in", F.sum("_d").over(Window.partitionBy(*keys, "_b").orderBy(ts)
-                                .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    joined = _null_safe_join(in_bucket, offsets, keys + ["_b"], "left")
-    return joined.select(*keys, ts, (F.col("_off") + F.col("_in")).alias("running_quantity"))
+    per_ts = events.groupBy(*keys, ts).agg(F.sum(value).alias("_d"), F.count(value).alias("_c"))
+    ranged = (per_ts.repartitionByRange(buckets, *keys, ts) if buckets
+              else per_ts.repartitionByRange(*keys, ts))
+    # the slice a row lands in is fixed by the range bounds, so recomputed
+    # tasks rebuild the same buckets
+    ranged = ranged.withColumn("_b", F.spark_partition_id())
+    # one window pass per (key, bucket): running sum and the bucket's total
+    slice_w = Window.partitionBy(*keys, "_b")
+    upto = slice_w.orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_bucket = ranged.select(*keys, ts, "_b",
+                              F.sum("_d").over(upto).alias("_in"), F.sum("_c").over(upto).alias("_inc"),
+                              F.sum("_d").over(slice_w).alias("_bd"), F.sum("_c").over(slice_w).alias("_bc"))
+    # one row per (key, bucket) - already partitioned that way, so no shuffle -
+    # then the exclusive prefix over a key's buckets
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (in_bucket.groupBy(*keys, "_b").agg(F.first("_bd").alias("_bd"), F.first("_bc").alias("_bc"))
+               .select(*keys, "_b", F.sum("_bd").over(before).alias("_off"),
+                       F.sum("_bc").over(before).alias("_offc")))
+    joined = _null_safe_join(in_bucket.drop("_bd", "_bc"), offsets, keys + ["_b"], "left")
+    seen = F.coalesce(F.col("_offc"), F.lit(0)) + F.col("_inc") > 0
+    running = F.when(seen, F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_in"), F.lit(0)))
+    return joined.select(*keys, ts, running.alias("running_quantity"))
 
 
 def stockout_risk(col: str = "running_quantity"):
@@ -56,8 +75,8 @@ def stockout_risk(col: str = "running_quantity"):
     return (F.when(F.col(col) < 10, "high").when(F.col(col) < 50, "medium").otherwise("low"))
 
 
-def inventory_running(inventory: DataFrame, bucket: str = "hour") -> DataFrame:
+def inventory_running(inventory: DataFrame, buckets: int | None = None) -> DataFrame:
     """Every inventory event with its running stock and stockout risk."""
-    totals = running_totals(inventory, bucket=bucket)
+    totals = running_totals(inventory, buckets=buckets)
     out = _null_safe_join(inventory, totals, list(KEYS) + ["timestamp"], "left")
     return out.withColumn("stockout_risk", stockout_risk())

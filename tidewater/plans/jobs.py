@@ -103,7 +103,7 @@ def parse_events(spark: SparkSession, input: str, output: str, run_id: str, mode
 
 
 def cross_service_join(spark: SparkSession, input: str, output: str, run_id: str,
-                       broadcast_dims: bool = False, stock_bucket: str = "hour") -> int:
+                       broadcast_dims: bool = False, stock_buckets: int | None = None) -> int:
     """Order timeline and running stock from the parse job's typed tables.
     Returns the number of enriched orders (observed during the write)."""
     orders, payments = read_valid(spark, input, ORDERS), read_valid(spark, input, PAYMENTS)
@@ -114,7 +114,7 @@ def cross_service_join(spark: SparkSession, input: str, output: str, run_id: str
     writers.write_table(enriched, f"{output.rstrip('/')}/orders_enriched", run_id=run_id)
     running = inventory.inventory_running(
         stock.drop("_split", "_parsed_at", "_rejected_at", "_service", "_run_id", "_failed_rules", CORRUPT_COL),
-        bucket=stock_bucket)
+        buckets=stock_buckets)
     writers.write_inventory(running, f"{output.rstrip('/')}/inventory_running", run_id=run_id)
     return int(obs.get["rows"])
 
