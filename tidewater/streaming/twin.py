@@ -32,9 +32,12 @@ def stream_service_events(spark: SparkSession, path: str, service: str,
 
 
 def stream_dedup(events: DataFrame, watermark: str = "1 hour", key: str = "event_id") -> DataFrame:
-    """Drop repeated keys seen within the watermark delay (keyless rows pass)."""
-    keyed = events.filter(F.col(key).isNotNull()).withWatermark("timestamp", watermark)
-    return keyed.dropDuplicatesWithinWatermark([key])
+    """Drop repeated keys seen within the watermark delay; keyless rows pass
+    through one by one, as in the batch dedup.  State is kept per key only,
+    and is dropped once the watermark passes it."""
+    keyed = (events.filter(F.col(key).isNotNull()).withWatermark("timestamp", watermark)
+             .dropDuplicatesWithinWatermark([key]))
+    return keyed.unionByName(events.filter(F.col(key).isNull()))
 
 
 def stream_order_kpis(orders: DataFrame, window: str = "30 minutes", watermark: str = "1 hour",
