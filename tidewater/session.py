@@ -26,6 +26,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # PySpark otherwise records the Python call site of every Column /
+        # DataFrame call (several JVM round trips each) for error messages;
+        # plans here are built from hundreds of calls
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g"),
     }
     conf.update(extra or {})
