@@ -51,6 +51,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is invisible to the other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
