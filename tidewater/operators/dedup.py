@@ -34,7 +34,7 @@ def dedup_events(df: DataFrame, key: str = "event_id") -> DataFrame:
     others = [c for c in df.columns if c != key]
     keyless = F.col(key).isNull()
     grouped = (df.groupBy(F.col(key), F.when(keyless, F.struct(*others)).alias("_row"),
-                          F.when(keyless, F.spark_partition_id()).alias("_split"))
+                          F.when(keyless, F.spark_partition_id()).alias("_input_split"))
                .agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_copies")))
     copies = F.when(F.col(key).isNull(), F.col("_copies")).otherwise(F.lit(1).cast("long"))
     return (grouped.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
