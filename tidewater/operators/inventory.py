@@ -3,38 +3,25 @@
 Semantics: ``sum(quantity_delta) OVER (PARTITION BY sku, warehouse_id ORDER BY
 timestamp)`` with the default RANGE frame, i.e. rows sharing a timestamp share
 one running total.  A plain window puts each (sku, warehouse) in one task; a
-key can hold a third of all rows, so the sum is built as a balanced prefix
-sum:
+key can hold a third of all rows, so:
 
 1. per (key, timestamp) totals - a partial aggregate, so any pile-up of rows
-   on one instant collapses map-side (this is also where RANGE ties merge);
-2. those rows range-partitioned on (key, timestamp): the sort's sampled
-   bounds cut a hot key into many contiguous slices of about equal size,
-   however its timestamps are spread; the slice number is the bucket;
-3. one window pass per (key, bucket): the in-bucket running sum and the
-   bucket total; then the exclusive prefix of bucket totals per key
-   (offsets) - a key has at most one row per slice there;
-4. the running value = offset + in-bucket sum;
-5. the running value joined back to the events on (key, timestamp) - AQE
+   on one instant collapses map-side (this is also where RANGE ties merge,
+   and what makes (key, timestamp) unique for step 2);
+2. a running sum over those rows, range-sliced so a hot key is spread over
+   many tasks (:func:`tidewater.operators.prefix.sliced_running_sums`);
+3. the running value joined back to the events on (key, timestamp) - AQE
    splits skewed partitions of this join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEYS = ("sku", "warehouse_id")
-
+from tidewater.operators.prefix import null_safe_join, sliced_running_sums
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
-                     *[c for c in right.columns if c not in cols])
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(r[f"_r_{c}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+KEYS = ("sku", "warehouse_id")
 
 
 def running_totals(events: DataFrame, keys=KEYS, ts: str = "timestamp",
@@ -47,27 +34,8 @@ def running_totals(events: DataFrame, keys=KEYS, ts: str = "timestamp",
     """
     keys = list(keys)
     per_ts = events.groupBy(*keys, ts).agg(F.sum(value).alias("_d"), F.count(value).alias("_c"))
-    ranged = (per_ts.repartitionByRange(buckets, *keys, ts) if buckets
-              else per_ts.repartitionByRange(*keys, ts))
-    # the slice a row lands in is fixed by the range bounds, so recomputed
-    # tasks rebuild the same buckets
-    ranged = ranged.withColumn("_b", F.spark_partition_id())
-    # one window pass per (key, bucket): running sum and the bucket's total
-    slice_w = Window.partitionBy(*keys, "_b")
-    upto = slice_w.orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    in_bucket = ranged.select(*keys, ts, "_b",
-                              F.sum("_d").over(upto).alias("_in"), F.sum("_c").over(upto).alias("_inc"),
-                              F.sum("_d").over(slice_w).alias("_bd"), F.sum("_c").over(slice_w).alias("_bc"))
-    # one row per (key, bucket) - already partitioned that way, so no shuffle -
-    # then the exclusive prefix over a key's buckets
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (in_bucket.groupBy(*keys, "_b").agg(F.first("_bd").alias("_bd"), F.first("_bc").alias("_bc"))
-               .select(*keys, "_b", F.sum("_bd").over(before).alias("_off"),
-                       F.sum("_bc").over(before).alias("_offc")))
-    joined = _null_safe_join(in_bucket.drop("_bd", "_bc"), offsets, keys + ["_b"], "left")
-    seen = F.coalesce(F.col("_offc"), F.lit(0)) + F.col("_inc") > 0
-    running = F.when(seen, F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_in"), F.lit(0)))
-    return joined.select(*keys, ts, running.alias("running_quantity"))
+    run = sliced_running_sums(per_ts, keys, [ts], {"_q": F.col("_d"), "_n": F.col("_c")}, buckets)
+    return run.select(*keys, ts, F.when(F.col("_n") > 0, F.col("_q")).alias("running_quantity"))
 
 
 def stockout_risk(col: str = "running_quantity"):
@@ -78,5 +46,5 @@ def stockout_risk(col: str = "running_quantity"):
 def inventory_running(inventory: DataFrame, buckets: int | None = None) -> DataFrame:
     """Every inventory event with its running stock and stockout risk."""
     totals = running_totals(inventory, buckets=buckets)
-    out = _null_safe_join(inventory, totals, list(KEYS) + ["timestamp"], "left")
+    out = null_safe_join(inventory, totals, list(KEYS) + ["timestamp"], "left")
     return out.withColumn("stockout_risk", stockout_risk())

@@ -9,12 +9,14 @@ page is kept); an unparsable page before the stop fails the whole service.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
+from tidewater.operators.prefix import sliced_running_sums
+
 EXPORT_EVENT = StructType([
     StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
     StructField("user_id", LongType()), StructField("event_type", StringType()),
@@ -84,18 +86,8 @@ def collection_summary(pages: DataFrame, limit: int, event: StructType = EXPORT_
                  F.sum("collected").alias("services_collected"), F.sum("failed").alias("services_failed")))
 
 
-def position_in_group(df: DataFrame, keys: list[str], order: str, block: int = 4096) -> DataFrame:
-    """1-based rank of each row within ``keys`` by the numeric ``order``
-    column, computed in blocks of ``block`` order-units: block counts ->
-    exclusive prefix per key -> row_number inside (key, block).  A key with a
-    third of the rows is thereby spread over its blocks."""
-    b = F.floor(F.col(order) / F.lit(block))
-    with_b = df.withColumn("_blk", b)
-    counts = (with_b.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_c"))
-              .withColumn("_off", F.coalesce(F.sum("_c").over(
-                  Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
-                  F.lit(0)))
-              .drop("_c"))
-    ranked = with_b.withColumn("_in", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(order)))
-    return ranked.join(counts, [*keys, "_blk"]).withColumn("_pos", F.col("_off") + F.col("_in")).drop(
-        "_blk", "_off", "_in")
+def position_in_group(df: DataFrame, keys: list[str], order: str, slices: int | None = None) -> DataFrame:
+    """1-based rank ``_pos`` of each row within ``keys`` by ``order`` (unique
+    per key): a running count over range slices, so a key with a third of
+    the rows is spread over many tasks."""
+    return sliced_running_sums(df, list(keys), [order], {"_pos": F.lit(1)}, slices)
