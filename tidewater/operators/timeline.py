@@ -64,32 +64,32 @@ def lifecycle_hours(order_ts: str = "order_updated_at", ship_ts: str = "shipping
     return F.when(F.col(ship_ts).isNotNull(), hours_between(F.col(order_ts), F.col(ship_ts)))
 
 
-def _join(left: DataFrame, right: DataFrame, broadcast_right: bool) -> DataFrame:
-    return left.join(F.broadcast(right) if broadcast_right else right, on="order_id", how="left")
+def _join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on ``order_id``.  No broadcast hint: the right side is
+    fact-sized (about one row per order); Spark broadcasts it only when its
+    size estimate - or AQE's measurement at run time - is under the
+    broadcast threshold."""
+    return left.join(right, on="order_id", how="left")
 
 
-def orders_with_payments(orders_l: DataFrame, payments_l: DataFrame,
-                         broadcast_right: bool = False) -> DataFrame:
-    return _join(orders_l, payments_l, broadcast_right)
+def orders_with_payments(orders_l: DataFrame, payments_l: DataFrame) -> DataFrame:
+    return _join(orders_l, payments_l)
 
 
-def orders_with_shipping(orders_l: DataFrame, shipping_l: DataFrame,
-                         broadcast_right: bool = False) -> DataFrame:
-    return _join(orders_l, shipping_l, broadcast_right)
+def orders_with_shipping(orders_l: DataFrame, shipping_l: DataFrame) -> DataFrame:
+    return _join(orders_l, shipping_l)
 
 
 def order_timeline(orders: DataFrame, payments: DataFrame, shipping: DataFrame,
-                   broadcast_dims: bool = False, stamp: bool = False) -> DataFrame:
+                   stamp: bool = False) -> DataFrame:
     """One row per order with its latest state, payment and shipment.
 
     The three ``latest`` aggregates are all hash-partitioned on ``order_id``,
     so the two left joins are sort-merge joins that reuse those partitions
-    (no further exchange). Payments and shipments are fact-sized, so they are
-    only broadcast on request (``broadcast_dims``) or when AQE measures them
-    small at run time.
+    (no further exchange), unless a side is measured small enough to
+    broadcast.
     """
-    enriched = _join(_join(orders_latest(orders), payments_latest(payments), broadcast_dims),
-                     shipping_latest(shipping), broadcast_dims)
+    enriched = _join(_join(orders_latest(orders), payments_latest(payments)), shipping_latest(shipping))
     enriched = (enriched.withColumn("payment_match", payment_match())
                 .withColumn("order_lifecycle_hours", lifecycle_hours()))
     if stamp:

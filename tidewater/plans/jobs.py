@@ -103,12 +103,12 @@ def parse_events(spark: SparkSession, input: str, output: str, run_id: str, mode
 
 
 def cross_service_join(spark: SparkSession, input: str, output: str, run_id: str,
-                       broadcast_dims: bool = False, stock_buckets: int | None = None) -> int:
+                       stock_buckets: int | None = None) -> int:
     """Order timeline and running stock from the parse job's typed tables.
     Returns the number of enriched orders (observed during the write)."""
     orders, payments = read_valid(spark, input, ORDERS), read_valid(spark, input, PAYMENTS)
     shipping, stock = read_valid(spark, input, SHIPPING), read_valid(spark, input, INVENTORY)
-    enriched = timeline.order_timeline(orders, payments, shipping, broadcast_dims=broadcast_dims, stamp=True)
+    enriched = timeline.order_timeline(orders, payments, shipping, stamp=True)
     obs = Observation("enriched_rows")
     enriched = enriched.observe(obs, F.count(F.lit(1)).alias("rows"))
     writers.write_table(enriched, f"{output.rstrip('/')}/orders_enriched", run_id=run_id)
