@@ -175,3 +175,31 @@ def test_position_in_group_equals_row_number_on_hot_key(spark):
     got = position_in_group(df, ["svc"], "eid", slices=12)
     want = df.withColumn("_pos", F.row_number().over(Window.partitionBy("svc").orderBy("eid")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_parquet_scan_fills_missing_columns_and_keeps_types(spark, scratch):
+    path = scratch("pq")
+    spark.createDataFrame([("a", "o", "c", "ORDER_CREATED", 5.0, "2024-01-15 10:00:00")],
+                          "event_id string, order_id string, customer_id string, event_type string, "
+                          "total_amount double, timestamp string") \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.parquet(path)
+    df = read_service_events(spark, path, ORDERS, "parquet")
+    r = df.first()
+    # columns absent from the files come back as typed NULLs; the zone-aware timestamp becomes NTZ
+    assert r.status is None and r.items_count is None and r[CORRUPT_COL] is None
+    assert dict(df.dtypes)["timestamp"] == "timestamp_ntz" and dict(df.dtypes)["items_count"] == "bigint"
+    assert str(r.timestamp) == "2024-01-15 10:00:00"
+
+
+def test_order_metrics_approx_distinct_option(spark):
+    import datetime as dt
+    from tidewater.operators import metrics
+    t = dt.datetime(2024, 1, 15, 10, 5)
+    rows = [(f"o{i}", f"c{i % 40}", "paid", 10.0, "BRL", 1, t) for i in range(400)]
+    enriched = spark.createDataFrame(rows, "order_id string, customer_id string, order_status string, "
+                                           "total_amount double, currency string, items_count long, "
+                                           "order_updated_at timestamp_ntz")
+    exact = metrics.order_metrics(enriched).first()
+    approx = metrics.order_metrics(enriched, exact_distinct=False).first()
+    assert exact.unique_customers == 40 and abs(approx.unique_customers - 40) <= 2
+    assert exact.order_count == approx.order_count == 400 and exact.window_start == dt.datetime(2024, 1, 15, 10, 0)
