@@ -87,3 +87,20 @@ def test_stream_twin_matches_batch(spark, landed, scratch):
     # every window the stream closed equals the batch aggregate of that window
     assert kpis.count() > 0
     assert kpis.exceptAll(want).count() == 0
+
+
+def test_partitioned_write_splits_a_hot_partition_value(spark, scratch):
+    import glob
+    path = scratch("hotwrite")
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("WH-2")).otherwise(F.lit("WH-1")).alias("warehouse_id"),
+        F.col("id"), (F.col("id") * 31 % 997).alias("q"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        writers.write_inventory(df, path, run_id="r")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot_files = glob.glob(f"{path}/warehouse_id=WH-1/*.parquet")
+    # the warehouse with 90% of the rows is written by several tasks, not one
+    assert len(hot_files) > 1
+    assert spark.read.parquet(path).count() == 40000
