@@ -105,3 +105,16 @@ def test_salted_join_equals_plain_join(spark):
     want = left.join(right, "k", "left")
     assert got.count() == want.count() == 5001
     assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_latest_on_a_hot_order_equals_row_number_pick(spark):
+    rows = [(f"e{i:05d}", "HOT" if i % 3 == 0 else f"o{i % 200}", "c", "ORDER_UPDATED", f"s{i % 7}", float(i), "BRL", 1,
+             T + dt.timedelta(minutes=i % 500), "1") for i in range(6000)]
+    orders = df_of(spark, ORDERS, rows).repartition(7)
+    got = timeline.orders_latest(orders)
+    w = Window.partitionBy("order_id").orderBy(F.col("timestamp").desc(), F.col("event_id").desc())
+    want = (orders.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+            .select("order_id", "customer_id", F.col("status").alias("order_status"), "total_amount", "currency",
+                    "items_count", F.col("timestamp").alias("order_updated_at")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.count() == 201
