@@ -49,6 +49,12 @@ def duck_conn(sf_dir):
     return con
 
 
+# Spark type name -> DuckDB type name of the same values
+DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+             "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+             "date": "DATE"}
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return [cols[i] for i in order], sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
@@ -62,13 +68,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
     s_cols, s_vals = rows_of(df.columns, s_rows)
     if sql is None:
         return dict(name=name, ok=None, rows=len(s_vals), spark_s=round(t1 - t0, 2), note="no oracle")
-    res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_cols, d_vals = rows_of(d_cols, res.fetchall())
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    d_cols, d_vals = rows_of(list(rel.columns), rel.fetchall())
     out = dict(name=name, rows=len(s_vals), oracle_rows=len(d_vals), spark_s=round(t1 - t0, 2))
     if s_cols != d_cols:
         out.update(ok=False, note=f"columns differ: {s_cols} vs {d_cols}")
         return out
+    types = [(c, t, d_types[c]) for c, t in df.dtypes if DUCK_TYPE.get(t, t) != d_types[c]]
+    if types:
+        out.update(ok=False, note=f"types differ: {types}")
+        return out
     if s_vals != d_vals:
         sa, da = set(s_vals), set(d_vals)
         out.update(ok=False, note=f"values differ: only spark {list(sa - da)[:2]} only duck {list(da - sa)[:2]}")

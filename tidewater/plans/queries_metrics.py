@@ -36,7 +36,7 @@ def q_order_metrics(spark, sf_dir):
 @register("payment_funnel", with_ctes("""
 SELECT payment_method, payment_gateway, payment_status, count(order_id) AS transaction_count,
        round(sum(payment_amount), 2) AS total_amount, round(avg(payment_amount), 6) AS avg_amount,
-       CASE WHEN payment_status = 'approved' THEN 1.0 ELSE 0.0 END AS approval_rate
+       CAST(CASE WHEN payment_status = 'approved' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS approval_rate
 FROM timeline WHERE payment_status IS NOT NULL GROUP BY ALL""", "timeline"))
 def q_payment_funnel(spark, sf_dir):
     f = metrics.payment_funnel(_in(spark, sf_dir).timeline())
