@@ -98,6 +98,19 @@ _SPARK_VARIANTS = {
 # than the session has task slots (the test tables are single row groups)
 _SPREAD_KEY = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 
+
+def read_base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table.  A table that arrives in fewer input splits than the
+    session has task slots is hash-placed on its key over all slots (no sort,
+    the same rows per task on a rerun); a table read in many splits - any
+    large one - is returned as it is, so no shuffle is added at scale."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    if name in _SPREAD_KEY and df.rdd.getNumPartitions() < slots:
+        df = df.repartition(slots, _SPREAD_KEY[name])
+    return df
+
+
 # which base tables / fixtures each fixture reads
 _DEPS = {
     "fx_base": ("orders",),
@@ -138,12 +151,7 @@ class Fixtures:
                 deps = {d: self.table(d) for d in _DEPS[name]}
                 self._cache[name] = self.spark.sql(_spark_text(name), **deps)
             else:
-                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-                slots = self.spark.sparkContext.defaultParallelism
-                if name in _SPREAD_KEY and df.rdd.getNumPartitions() < slots:
-                    # hash placement: no sort, the same rows per task on a rerun;
-                    # a table read in many splits is left as it is
-                    df = df.repartition(slots, _SPREAD_KEY[name])
+                df = read_base_table(self.spark, self.sf_dir, name)
                 self._cache[name] = df
         return self._cache[name]
 
