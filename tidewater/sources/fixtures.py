@@ -105,10 +105,14 @@ def read_base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the same rows per task on a rerun); a table read in many splits - any
     large one - is returned as it is, so no shuffle is added at scale."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if name in _SPREAD_KEY and df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots, _SPREAD_KEY[name])
-    return df
+    if name not in _SPREAD_KEY:
+        return df
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - a session without RDD access (Spark Connect): read as is
+        return df
+    return df.repartition(slots, _SPREAD_KEY[name]) if splits < slots else df
 
 
 # which base tables / fixtures each fixture reads
