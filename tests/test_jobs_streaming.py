@@ -1,13 +1,11 @@
 """The three batch jobs chained through the shared folder, and the streaming twin."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.plans import jobs
 from tidewater.plans.queries import Inputs
-from tidewater.schemas import INVENTORY, ORDERS, PAYMENTS, SERVICES, SHIPPING
+from tidewater.schemas import INVENTORY, ORDERS, PAYMENTS, SERVICES
 from tidewater.sinks import writers
 from tidewater.sources.fixtures import AS_OF
 from tidewater.streaming import twin
