@@ -118,3 +118,10 @@ def test_latest_on_a_hot_order_equals_row_number_pick(spark):
                     "items_count", F.col("timestamp").alias("order_updated_at")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.count() == 201
+
+
+def test_running_stock_null_keys_form_their_own_series(spark):
+    rows = [(f"e{i}", None if i % 4 == 0 else "S", None if i % 5 == 0 else "W", "STOCK_UPDATED", (i % 9) - 4, None,
+             T + dt.timedelta(seconds=i % 37), "1") for i in range(800)]
+    inv = df_of(spark, INVENTORY, rows)
+    _assert_equals_range_window(inv, inventory.inventory_running(inv, buckets=6))
