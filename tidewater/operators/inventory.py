@@ -23,6 +23,10 @@ from tidewater.operators.prefix import null_safe_join, sliced_running_sums
 
 KEYS = ("sku", "warehouse_id")
 
+# fixed values: stockout risk is high below 10 units, medium below 50
+HIGH_RISK_BELOW = 10
+MEDIUM_RISK_BELOW = 50
+
 
 def running_totals(events: DataFrame, keys=KEYS, ts: str = "timestamp",
                    value: str = "quantity_delta", buckets: int | None = None) -> DataFrame:
@@ -40,7 +44,8 @@ def running_totals(events: DataFrame, keys=KEYS, ts: str = "timestamp",
 
 def stockout_risk(col: str = "running_quantity"):
     """< 10 high, < 50 medium, else low (a NULL total falls to low)."""
-    return (F.when(F.col(col) < 10, "high").when(F.col(col) < 50, "medium").otherwise("low"))
+    return (F.when(F.col(col) < HIGH_RISK_BELOW, "high").when(F.col(col) < MEDIUM_RISK_BELOW, "medium")
+            .otherwise("low"))
 
 
 def inventory_running(inventory: DataFrame, buckets: int | None = None) -> DataFrame:

@@ -50,7 +50,11 @@ def health_ready(readings: DataFrame, expected_status: str = "healthy",
     return readings.withColumn("ready", F.coalesce(ready, F.lit(False)))
 
 
-def health_rollup(checked: DataFrame, min_rate: float = 0.5) -> DataFrame:
+# fixed values: below this share of ready services the run is aborted
+MIN_HEALTH_RATE = 0.5
+
+
+def health_rollup(checked: DataFrame, min_rate: float = MIN_HEALTH_RATE) -> DataFrame:
     """Latest reading per service -> one routing row.
 
     ``route`` is ``abort`` when a critical service is not ready or fewer than
@@ -70,12 +74,13 @@ def health_rollup(checked: DataFrame, min_rate: float = 0.5) -> DataFrame:
 
 # ---------------------------------------------------------------- K6: driver logs
 
-# fixed values: application id forms (YARN and standalone) and error keywords
+# fixed values: application id forms (YARN and standalone), error keywords, error lines kept per app
 APP_ID_PATTERN = r"(application_[0-9]+_[0-9]+|app-[0-9]+-[0-9]+)"
 ERROR_KEYWORDS = ("Exception", "Error", "FAILED", "killed")
+ERROR_TAIL_LINES = 30
 
 
-def log_triage(lines: DataFrame, tail: int = 30) -> DataFrame:
+def log_triage(lines: DataFrame, tail: int = ERROR_TAIL_LINES) -> DataFrame:
     """Per app: the first application id seen, and the last ``tail`` lines
     holding an error keyword (top-k per app; Spark limits each map partition
     to its own top-k before the shuffle)."""

@@ -10,6 +10,9 @@ from tidewater.functions.rules import all_pass, failed_rule_names, rules_for
 VALID_COL = "_is_valid"
 FAILED_COL = "_failed_rules"
 
+# fixed values: validity rate a service needs to pass the quality gate
+QUALITY_THRESHOLD = 0.95
+
 
 def flag_valid(df: DataFrame, service: str, as_of=None, with_failures: bool = False) -> DataFrame:
     """Add ``_is_valid`` (never NULL) and optionally ``_failed_rules``."""
@@ -56,7 +59,7 @@ def quality_overall(metrics: DataFrame) -> DataFrame:
                                    F.lit(0.0))))
 
 
-def quality_gate(metrics: DataFrame, threshold: float = 0.95) -> DataFrame:
+def quality_gate(metrics: DataFrame, threshold: float = QUALITY_THRESHOLD) -> DataFrame:
     """Pass iff a service's validity_rate reaches ``threshold``."""
     return metrics.withColumn("gate_passed", F.col("validity_rate") >= F.lit(threshold))
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     DoubleType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
+# fixed values: service names
 ORDERS = "orders-service"
 PAYMENTS = "payments-service"
 INVENTORY = "inventory-service"
