@@ -102,3 +102,15 @@ def test_partitioned_write_splits_a_hot_partition_value(spark, scratch):
     # the warehouse with 90% of the rows is written by several tasks, not one
     assert len(hot_files) > 1
     assert spark.read.parquet(path).count() == 40000
+
+
+def test_shared_dir_never_picks_a_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+    from tidewater.session import shared_dir
+    ctx = SimpleNamespace(master="spark://cluster:7077", getCheckpointDir=lambda: None,
+                          setCheckpointDir=lambda d: None)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=ctx)
+    with pytest.raises(RuntimeError):
+        shared_dir(fake)
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: "hdfs://nn/ckpt/"), sparkContext=ctx)
+    assert shared_dir(named) == "hdfs://nn/ckpt"
