@@ -1,12 +1,10 @@
 """Byte-level BPE encoding and decoding.
 
 Texts are split by the pattern in Python; each distinct word of a task is then
-encoded by Spark higher-order functions: a fold over its bytes merges the pair
-of lowest rank, looked up in a literal rank map, until none is left.  Decoding
-concatenates the binary pieces of the ids.
-
-Bytes are held as Latin-1 characters, one for each byte, so that pieces are
-strings to Spark and their concatenation is that of the bytes.
+encoded by Spark higher-order functions: a fold over the word's byte array
+merges the pair of lowest rank, leftmost first, until none is left.  The ranks
+are a literal map in the plan.  Decoding concatenates the binary pieces of
+the ids.
 """
 
 from __future__ import annotations
@@ -15,7 +13,6 @@ import base64
 import hashlib
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,12 +21,12 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import spans_of_rows
 
-#: Parts of the rank map; each holds a token or two, so a lookup compares few keys.
-BUCKETS = 1 << 16
 #: Longer words are merged with a heap in Python: a fold copies its array at each merge.
 LONGEST = 128
 #: Distinct words a task remembers before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: A rank that says "no merge", and the id before and after a word; real ids are smaller.
+NONE, EDGE = 1 << 16, (1 << 16) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,16 +34,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _bucket(piece: bytes) -> int:
-    return zlib.crc32(piece.decode("latin-1").encode()) % BUCKETS
+def pair_ranks(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
+    """(left id, right id, rank of the two together) of every pair that may merge."""
+    if max(ranks.values(), default=0) >= EDGE - 1:
+        raise ValueError("ids must be under 65534")
+    return [(ranks[p[:k]], ranks[p[k:]], r) for p, r in ranks.items() for k in range(1, len(p))
+            if p[:k] in ranks and p[k:] in ranks]
+
+
+#: Cells of the two halves of the rank map ; a pair has one place in either.
+HALVES = (141_311, 150_889)
 
 
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal: an array of small maps, the bucket of a piece being its crc32."""
-    parts: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        parts[_bucket(piece)][piece.decode("latin-1")] = rank
-    return F.from_json(F.lit(json.dumps(parts)), "array<map<string,int>>")
+    """The pair ranks as a literal array<bigint>: the pair's ids and its rank, as bits
+    (left << 32 | right << 16 | rank), in one of the pair's two places, so that a lookup reads two cells."""
+    first, second = HALVES
+    empty = 1 << 62  # differs from every pair above bit 16
+    cells = [empty] * (first + second)
+    for left, right, rank in pair_ranks(ranks):
+        entry, place = left << 32 | right << 16 | rank, None
+        for _ in range(500):  # an entry that finds its place taken sends the other one to its second place
+            key = entry >> 16
+            place = first + key % second if place == key % first else key % first
+            entry, cells[place] = cells[place], entry
+            if entry == empty:
+                break
+        else:
+            raise ValueError("too many pairs for the rank map")
+    return F.from_json(F.lit(json.dumps(cells)), "array<bigint>")
 
 
 def _bind(value: Column, body) -> Column:
@@ -54,53 +70,61 @@ def _bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _rank(ranks: Column, piece: Column) -> Column:
-    return F.element_at(F.get(ranks, F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int")), piece)
+def _rank(m: Column, a: Column, b: Column) -> Column:
+    """Rank of the pair (a, b), or NONE: a cell of another pair differs above bit 16."""
+    key = F.shiftleft(a, 16).bitwiseOR(b)
+    first, second = HALVES
+    marks = F.shiftleft(key, 16)
+    return F.least(F.get(m, (key % F.lit(first)).cast("int")).bitwiseXOR(marks),
+                   F.get(m, (key % F.lit(second)).cast("int") + F.lit(first)).bitwiseXOR(marks), F.lit(NONE).cast("long"))
 
 
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """Pieces of ``word`` (Latin-1) after all ranked merges, leftmost first among equal ranks.
+def fold_merges(symbols: Column, m: Column) -> Column:
+    """Ids after all ranked merges of ``symbols``, the ids of a word's bytes (array<bigint>).
 
-    The state: pieces p between two nulls, and r, the rank of each neighbouring pair (null: no merge).
+    The state is one array: for each piece the rank of its merge with the next one, its
+    offset and its id, as bits (rank << 32 | offset << 16 | id), between two edges.  Its
+    least entry is the next merge, the leftmost of equal ones, and the rank is the id it makes.
     """
-    null = F.lit(None).cast("string")
-    p = F.concat(F.array(null), F.filter(F.split(word, ""), lambda c: c != ""), F.array(null))
+    edge = F.lit((NONE << 32) | EDGE).cast("long")
+    low, gone = F.lit(0xFFFFFFFF).cast("long"), F.lit(-1).cast("long")
 
-    def start(p: Column) -> Column:
-        pairs = F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.concat(a, b))  # null at the ends
-        r = F.transform(pairs, lambda x: F.when(x.isNotNull(), _rank(ranks, x)))
-        return F.struct(p.alias("p"), r.alias("r"))
+    def of(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(EDGE).cast("long"))
 
-    def step(s: Column, _: Column) -> Column:
-        p, r = s["p"], s["r"]
+    def at(r: Column, rest: Column) -> Column:
+        return F.shiftleft(r, 32).bitwiseOR(rest)
 
-        def merge(i: Column) -> Column:
-            def put(x: Column) -> Column:
-                left, right = F.concat(F.get(p, i - 2), x), F.concat(x, F.get(p, i + 1))
-                return F.struct(
-                    F.concat(F.slice(p, 1, i - 1), F.array(x), F.slice(p, i + 2, F.size(p))).alias("p"),
-                    F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))),
-                             F.array(F.when(left.isNotNull(), _rank(ranks, left)),
-                                     F.when(right.isNotNull(), _rank(ranks, right))),
-                             F.slice(r, i + 2, F.size(r))).alias("r"))
+    start = F.concat(F.array(edge), F.transform(symbols, lambda x, k: at(
+        F.when(k + 1 < F.size(symbols), _rank(m, x, F.get(symbols, k + 1))).otherwise(F.lit(NONE).cast("long")),
+        F.shiftleft(k.cast("long"), 16).bitwiseOR(x))), F.array(edge))
 
-            return F.when(i > 0, _bind(F.concat(F.get(p, i - 1), F.get(p, i)), put)).otherwise(s)
+    def step(a: Column, _: Column) -> Column:
+        def merge(least: Column) -> Column:
+            new = F.shiftright(least, 32)
 
-        return _bind(F.coalesce(F.array_position(r, F.array_min(r)), F.lit(0)).cast("int"), merge)
+            def put(j: Column) -> Column:
+                """j: index of the piece before the merge; the piece after it is taken out."""
+                before, offset = F.get(a, j), F.lit(EDGE << 16).cast("long")
+                return F.array_remove(F.transform(a, lambda x, k: (
+                    F.when(k < j, x).when(k > j + 2, x)
+                    .when(k == j, at(_rank(m, of(before), new), before.bitwiseAND(low)))
+                    .when(k > j + 1, gone)
+                    .otherwise(at(_rank(m, new, of(F.get(a, j + 3))), least.bitwiseAND(offset).bitwiseOR(new))))), gone)
 
-    turns = F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1)))
-    return F.aggregate(turns, _bind(p, start), step, lambda s: F.filter(s["p"], lambda x: x.isNotNull()))
+            return F.when(least >= F.lit(NONE << 32).cast("long"), a).otherwise(
+                _bind(F.array_position(a, least).cast("int") - 2, put))
 
+        return _bind(F.array_min(a), merge)
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int], column: str = "word") -> DataFrame:
-    """``words`` with ``ids``; ``column`` holds bytes as Latin-1 characters.  A word that is a token needs no fold."""
-    def ids(m: Column) -> Column:
-        whole = _rank(m, F.col(column))
-        return (F.when(F.col(column).isNull(), F.lit(None).cast("array<int>"))
-                .when(whole.isNotNull(), F.array(whole))
-                .otherwise(F.transform(fold_merges(F.col(column), m), lambda x: _rank(m, x))))
+    turns = F.sequence(F.lit(1), F.greatest(F.size(symbols) - 1, F.lit(1)))
+    return F.aggregate(turns, start, step, lambda a: F.transform(F.slice(a, 2, F.size(a) - 2), of))
 
-    return words.withColumn("ids", _bind(rank_map(ranks), ids))
+
+def encode_words(words: DataFrame, ranks: dict[bytes, int], column: str = "symbols") -> DataFrame:
+    """``words`` with ``ids`` (array<bigint>); ``column`` has the ids of a word's single bytes (null: none)."""
+    return words.withColumn("ids", F.when(F.col(column).isNotNull(), _bind(
+        rank_map(ranks), lambda m: fold_merges(F.col(column), m))))
 
 
 def decode_ids(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -110,7 +134,7 @@ def decode_ids(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Da
         pieces[rank] = piece.decode("latin-1")
     table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
     return rows.withColumn("decoded", _bind(table, lambda t: F.encode(F.array_join(F.transform(
-        F.col(ids), lambda i: F.get(t, i)), ""), "ISO-8859-1")))
+        F.col(ids), lambda i: F.get(t, i.cast("int"))), ""), "ISO-8859-1")))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -147,7 +171,7 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-SPLIT = "reset boolean, word string, long_ids array<int>, key long, codes binary"
+SPLIT = "reset boolean, symbols array<bigint>, known array<bigint>, key long, codes binary"
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -160,34 +184,31 @@ def _split(docs: DataFrame, ranks_path: str, pattern: str, key: str, text: str)
         import numpy as np
         import regex
 
-        find, ranks, codes = regex.compile(pattern).findall, None, {}
+        find, ranks, codes = regex.compile(pattern).findall, read_ranks(ranks_path), {}
+        single = [ranks.get(bytes([x])) for x in range(256)]
         for batch in batches:
             for part in spans_of_rows(batch, "text"):
-                reset, word, long_ids, keys, packed = [], [], [], [], []
-
-                def put(r=False, w=None, ids=None, k=None, c=None):
-                    for column, v in zip((reset, word, long_ids, keys, packed), (r, w, ids, k, c)):
-                        column.append(v)
-
+                rows: list[tuple] = []
                 for k, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if len(codes) > REMEMBERED:
                         codes.clear()
-                        put(r=True)
-                    found, known = find(x or ""), len(codes)
+                        rows.append((True, None, None, None, None))
+                    found, before = find(x or ""), len(codes)
                     own = np.array([codes.setdefault(w, len(codes)) for w in found], np.int32)
-                    if len(codes) > known:
-                        for w in list(codes)[known:] if known * 2 < len(codes) else _last(codes, len(codes) - known):
-                            data = w.encode()
-                            if len(data) <= LONGEST:
-                                put(w=data.decode("latin-1"))
-                            else:
-                                ranks = ranks or read_ranks(ranks_path)
-                                put(ids=merge_long(data, ranks))
-                    put(k=k, c=own.tobytes())
+                    for w in _last(codes, len(codes) - before):
+                        data = w.encode()
+                        whole = ranks.get(data)
+                        if whole is not None:
+                            rows.append((False, None, [whole], None, None))
+                        elif len(data) <= LONGEST:
+                            rows.append((False, [single[c] for c in data], None, None, None))
+                        else:
+                            rows.append((False, None, merge_long(data, ranks), None, None))
+                    rows.append((False, None, None, k, own.tobytes()))
+                ids = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(reset, pa.bool_()), pa.array(word, pa.string()), pa.array(long_ids, pa.list_(pa.int32())),
-                     pa.array(keys, pa.int64()), pa.array(packed, pa.binary())],
-                    ["reset", "word", "long_ids", "key", "codes"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), ids, ids, pa.int64(), pa.binary()))],
+                    ["reset", "symbols", "known", "key", "codes"])
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, SPLIT)
 
@@ -209,7 +230,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
     """
     ranks = read_ranks(ranks_path)
     rows = _split(docs, ranks_path, pattern, key, text)
-    rows = encode_words(rows, ranks).withColumn("ids", F.coalesce("long_ids", "ids")).drop("word", "long_ids")
+    rows = encode_words(rows, ranks).withColumn("ids", F.coalesce("known", "ids")).drop("symbols", "known")
     rows = decode_ids(rows, ranks)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, quality_rules, secrets, sharding, token_files
+from tidewater.llm import bpe, quality_rules, secret_scan, sharding, token_files
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +27,7 @@ def register(name: str, oracle: str | None = None):
 @register("op2_secret_scan")
 def op2(spark, sf_dir):
     history = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan_history(history)
+    found = secret_scan.scan_history(history)
 
     def n(kind):
         own = F.filter("found", lambda s: s["kind"] == kind)
@@ -35,9 +35,9 @@ def op2(spark, sf_dir):
 
     found = found.drop("text").withColumn("found", F.coalesce("found", F.array().cast(
         "array<struct<start:int,rank:int,kind:string,end:int>>")))
-    base = tuple(r.name for r in secrets.BASE_RULES)
-    return found.select("doc_id", *(n(k) for k in base), F.sha2(secrets.span_digest(base), 256).alias("base_sha256"),
-                        secrets.span_digest().alias("spans"), "blob")
+    base = tuple(r.name for r in secret_scan.BASE_RULES)
+    return found.select("doc_id", *(n(k) for k in base), F.sha2(secret_scan.span_digest(base), 256).alias("base_sha256"),
+                        secret_scan.span_digest().alias("spans"), "blob")
 
 
 @register("op6_token_files")

@@ -12,8 +12,10 @@ doc_id, its number of ids; then all ids as little-endian unsigned 32-bit.
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,33 +39,66 @@ CHECKSUMS = 0x80
 
 FRAME_BYTES = 1 << 20
 #: Words whose ids a worker remembers; then it starts anew, so its memory is bounded.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 INDEX = "file string, part int, frame int, n_docs long, n_tokens long, first_doc long, last_doc long"
 
 
+def byte_letters() -> list[str]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer whose splits never cross white space.
+    """Ids of whole texts by a tokenizer that lower-cases, drops white space and splits letters from the rest.
 
-    Words repeat, so each is given to the tokenizers library once while remembered.
+    Its splits never cross white space and words repeat, so each is given to the
+    tokenizers library once while remembered.  A word of plain lower-case letters is
+    one piece of the pre-tokenizer and goes straight to the library's model, as does what stands
+    before a last full stop or comma; every other word takes the whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(byte_letters()))
         self.known: dict[bytes, bytes] = {}
 
+    def whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def piece(self, letters: str) -> bytes:
+        ids = array("I", [t.id for t in self.model.tokenize(letters)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def new(self, word: bytes) -> bytes:
+        base, end = (word[:-1], word[-1:]) if word[-1] in b".," else (word, b"")
+        base = base.lower()  # A-Z only
+        if base.isalpha():  # ASCII letters
+            ids = self.known.get(base) or self.piece(base.decode("ascii"))
+        else:
+            shown = base.decode()
+            lower = shown.lower()
+            # below U+0250 lower-casing is by character and nothing composes
+            if not (lower.isalpha() and max(lower) < "\u0250" and len(lower) == len(shown)):
+                return self.whole(word.decode())
+            ids = self.piece(lower.encode().decode("latin-1").translate(self.letters))
+        return ids + self.piece(end.decode()) if end else ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [x.encode().split() for x in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(dict.fromkeys(w for s in split for w in s if w not in self.known))
-        for at in range(0, len(new), 50_000):
-            some = new[at:at + 50_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([self.known[w] for w in s]) for s in split]
+        known = self.known
+        for w in {w for s in split for w in s}.difference(known):
+            known[w] = self.new(w)
+        return [b"".join([known[w] for w in s]) for s in split]
 
 
 class FrameWriter:
