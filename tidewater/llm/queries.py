@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, quality_rules, secret_scan, sharding, token_files
+from tidewater.llm import bpe, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, token_files
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_set_relation_join")
+def op1(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 3, ngram_join.Threshold(90, 100))
+
+
 @register("op2_secret_scan")
 def op2(spark, sf_dir):
     history = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +45,12 @@ def op2(spark, sf_dir):
                         secret_scan.span_digest().alias("spans"), "blob")
 
 
+@register("op5_fourier_classifier")
+def op5(spark, sf_dir):
+    scored = quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @register("op6_token_files")
 def op6(spark, sf_dir):
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
