@@ -95,8 +95,22 @@ def in_bands(size: int, whole: float, n_chunks: int, n_outside: int, bands: Band
     return low <= whole <= high and n_outside <= bands.chunk_share * n_chunks
 
 
+def passes(text: str, bands: Bands = Bands()) -> bool:
+    """The verdict alone."""
+    return judged(text, bands, zstandard.ZstdCompressor(level=bands.level))[-1]
+
+
+def judged(text: str, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple:
+    """n_words and the other base counts, ratio, number of chunks, of chunks outside, base_failed, kept."""
+    counts = base_counts(text)
+    data = text.encode()
+    whole, n_chunks, outside = ratios(data, bands, packer)
+    failed = counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
+    return *counts, whole, n_chunks, outside, failed, not failed and in_bands(len(data), whole, n_chunks, outside, bands)
+
+
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "base_failed boolean, kept boolean, ratio double, n_chunks long, n_chunks_outside long")
+          "ratio double, n_chunks long, n_chunks_outside long, base_failed boolean, kept boolean")
 
 
 def quality_rules(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -109,14 +123,7 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands(), key: str = "doc_id",
     """
     def judge(keys, texts):
         packer = zstandard.ZstdCompressor(level=bands.level)
-        rows = []
-        for k, x in zip(keys, texts):
-            counts = base_counts(x)
-            data = x.encode()
-            whole, n_chunks, outside = ratios(data, bands, packer)
-            failed = counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
-            kept = not failed and in_bands(len(data), whole, n_chunks, outside, bands)
-            rows.append((k, *counts, failed, kept, whole, n_chunks, outside))
+        rows = [(k, *judged(x, bands, packer)) for k, x in zip(keys, texts)]
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         return arrow(SCHEMA, **dict(zip(names, zip(*rows))))
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, token_files
+from tidewater.llm import (bpe, decontaminate, ngram_join, quality_classifier, quality_rules, recompression, secret_scan,
+                           sharding, token_files, warc_revisits)
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +46,18 @@ def op2(spark, sf_dir):
                         secret_scan.span_digest().alias("spans"), "blob")
 
 
+@register("op3_latent_decontamination")
+def op3(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_revisit_resolution", warc_revisits.ORACLE)
+def op4(spark, sf_dir):
+    found = warc_revisits.resolve_revisits(warc_revisits.derived_records(table(spark, sf_dir, "pages")))
+    fields = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumns({"ts": F.col("ts").cast("long"), "headers": F.array_join(F.array_sort(fields), "\n")})
+
+
 @register("op5_fourier_classifier")
 def op5(spark, sf_dir):
     scored = quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -56,6 +69,11 @@ def op6(spark, sf_dir):
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@register("op7_recompression")
+def op7(spark, sf_dir):
+    return recompression.drop_repeats(table(spark, sf_dir, "documents"))
+
+
 @register("op8_compression_bands")
 def op8(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))

@@ -81,7 +81,9 @@ class Encoder:
         base, end = (word[:-1], word[-1:]) if word[-1] in b".," else (word, b"")
         base = base.lower()  # A-Z only
         if base.isalpha():  # ASCII letters
-            ids = self.known.get(base) or self.piece(base.decode("ascii"))
+            ids = self.known.get(base)
+            if ids is None:
+                ids = self.known[base] = self.piece(base.decode("ascii"))
         else:
             shown = base.decode()
             lower = shown.lower()
@@ -89,16 +91,20 @@ class Encoder:
             if not (lower.isalpha() and max(lower) < "\u0250" and len(lower) == len(shown)):
                 return self.whole(word.decode())
             ids = self.piece(lower.encode().decode("latin-1").translate(self.letters))
-        return ids + self.piece(end.decode()) if end else ids
+        if end:
+            if end not in self.known:
+                self.known[end] = self.piece(end.decode())
+            ids += self.known[end]
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [x.encode().split() for x in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        for w in {w for s in split for w in s}.difference(known):
+        for w in set().union(*split).difference(known):
             known[w] = self.new(w)
-        return [b"".join([known[w] for w in s]) for s in split]
+        return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
 class FrameWriter:
