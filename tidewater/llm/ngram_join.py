@@ -9,9 +9,9 @@ other positions, and still meets every partner.
 
 The sets of a list are then answered from one of them, its leader: each is
 compared with the leader; who links with it shares the leader's component and
-needs no other pair of the list.  Only pairs that this leaves open are
-compared, and those are skipped too if their known differences from
-the leader show that they cannot link.
+needs no other pair of the list.  For lists that this leaves in several components, the
+other answers follow from the differences D(x) from the leader, which are small: two
+sets x and y differ in exactly the shingles in which D(x) and D(y) differ.
 """
 
 from __future__ import annotations
@@ -105,7 +105,7 @@ def block_keys(s: np.ndarray, band: int, high: int, threshold: Threshold) -> np.
 
 
 ROWS = "kind int, key long, doc long, lead long, n long"
-SIZE, COPY, STAR, ENTRY = 0, 1, 2, 3
+SIZE, COPY, STAR, ENTRY, FIRSTS = 0, 1, 2, 3, 4
 
 
 def _index_rows(docs: DataFrame, n: int, threshold: Threshold, key: str, text: str) -> DataFrame:
@@ -168,7 +168,7 @@ def _lists(rows: DataFrame) -> DataFrame:
             last, leader = k[-1], lead[-1]
             late = ~new & (lead != d)
             if late.any():
-                yield arrow(ROWS, kind=np.full(late.sum(), STAR, np.int32), key=k[late], doc=d[late], lead=lead[late],
+                yield arrow(ROWS, kind=np.full(late.sum(), FIRSTS, np.int32), key=k[late], doc=d[late], lead=lead[late],
                             n=np.zeros(late.sum(), np.int64))
 
     # rows that are no entries go by document, so that they gather nowhere
@@ -193,11 +193,11 @@ def _sets(docs: DataFrame, n: int, key: str, text: str, extra: str = "") -> Data
     return rows.mapInArrow(run, "doc long, s binary" + (", " + extra if extra else ""))
 
 
-PAIRS = "doc long, lead long, inter long, n_doc long, n_lead long"
+PAIRS = "doc long, lead long, n_doc long, n_lead long, differ binary"
 
 
 def _compare(pairs: DataFrame) -> DataFrame:
-    """Exact intersection of rows (doc, s, lead, t)."""
+    """Rows (doc, s, lead, t) to the sizes of both sets and the shingles in which they differ."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = ([], [], [], [], [])
@@ -205,16 +205,18 @@ def _compare(pairs: DataFrame) -> DataFrame:
                 a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (s, t))
                 both = np.concatenate([a, b])
                 both.sort(kind="stable")
-                for column, v in zip(out, (doc.as_py(), lead.as_py(), int((both[1:] == both[:-1]).sum()), len(a), len(b))):
+                same = np.r_[False, both[1:] == both[:-1]]
+                differ = both[~(same | np.r_[same[1:], False])].tobytes()
+                for column, v in zip(out, (doc.as_py(), lead.as_py(), len(a), len(b), differ)):
                     column.append(v)
-            yield arrow(PAIRS, doc=out[0], lead=out[1], inter=out[2], n_doc=out[3], n_lead=out[4])
+            yield arrow(PAIRS, doc=out[0], lead=out[1], n_doc=out[2], n_lead=out[3], differ=out[4])
 
     return pairs.select("doc", "s", "lead", "t").mapInArrow(run, PAIRS)
 
 
 def _compare_by_id(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The same for (doc, lead) pairs; ``sets`` is read again for either side."""
-    right = sets.select(F.col("doc").alias("lead"), F.col("s").alias("t"))
+    right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
     return _compare(pairs.join(sets.select("doc", "s"), "doc").join(right, "lead"))
 
 
@@ -226,45 +228,88 @@ def _labelled(star: DataFrame, comp: DataFrame) -> DataFrame:
     return star
 
 
-OPEN = "doc long, lead long"
-
-
-def _open_pairs(members: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs of one list that lie in different components and that no known difference rules out.
-
-    members: key, doc, comp, lead and, where it was compared with that (else -1), its size and the difference.
+LINKS = "doc long, lead long"
+#: Members of a leader that are compared with each other at a time.
+TOGETHER = 1024
+
+
+def _linked(differ: list[np.ndarray], size: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """Which sets link, by their differences from one set (square, boolean)."""
+    n = len(differ)
+    own = np.repeat(np.arange(n), [len(d) for d in differ])
+    _, token, count = np.unique(np.concatenate(differ), return_inverse=True, return_counts=True)
+    both = np.zeros((n, n), np.float32)
+    order = np.argsort(token, kind="stable")
+    own, start = own[order], np.cumsum(count) - count
+    for c in range(2, 9):  # shingles that few sets have: their pairs
+        at = start[count == c]
+        if len(at):
+            who = own[at[:, None] + np.arange(c)]
+            i, j = np.triu_indices(c, 1)
+            np.add.at(both, (who[:, i].ravel(), who[:, j].ravel()), 1)
+    both += both.T
+    many = np.flatnonzero(count > 8)
+    for some in np.array_split(many, len(many) // 2048 + 1):  # the others: a product of 0/1 matrices
+        x = np.zeros((n, len(some)), np.float32)
+        for k, t in enumerate(some):
+            x[own[start[t]:start[t] + count[t]], k] = 1
+        both += x @ x.T
+    length = np.array([len(d) for d in differ], np.int64)
+    gap = length[:, None] + length[None, :] - 2 * both.astype(np.int64)
+    total = size[:, None] + size[None, :]
+    return threshold.den * (total - gap) >= threshold.num * (total + gap)
+
+
+def _member_links(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """members: lead, doc, comp, size, differ (from the lead; the lead itself has none).
+
+    Links between members of different components, as few as connect those
+    components.  Members of one lead are dealt into parts of about TOGETHER and each two parts
+    meet in a task, so that none holds more than two parts however many share a lead.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(group: list[np.ndarray]):
-            doc, comp, size, gap, lead = (np.concatenate([g[i] for g in group]) for i in range(5))
-            for i in range(len(doc) - 1):
-                rest = slice(i + 1, None)
-                keep = comp[rest] != comp[i]
-                known = (gap[rest] >= 0) & (gap[i] >= 0) & (lead[rest] == lead[i])
-                cannot = np.abs(gap[rest] - gap[i]) > threshold.differ(size[rest] + size[i])
-                keep &= ~(known & cannot)
-                if keep.any():
-                    yield np.full(keep.sum(), doc[i]), doc[rest][keep]
+        def links(rows: list[tuple]):
+            part, doc, comp, size, differ = zip(*rows)
+            part, comp = np.array(part), np.array(comp)
+            found = _linked([np.frombuffer(d, np.uint64) for d in differ], np.array(size, np.int64), threshold)
+            found &= comp[:, None] != comp[None, :]
+            if part.min() != part.max():  # two parts: pairs within one are met elsewhere
+                found &= part[:, None] != part[None, :]
+            root = {c: c for c in set(comp.tolist())}
+
+            def top(c):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            out = []
+            for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(found, 1)))):
+                a, b = top(int(comp[i])), top(int(comp[j]))
+                if a != b:
+                    root[a] = b
+                    out.append((doc[i], doc[j]))
+            if out:
+                yield arrow(LINKS, doc=[a for a, _ in out], lead=[b for _, b in out])
 
         last, held = None, []
         for batch in batches:
-            key, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            cuts = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if a == b:
-                    continue
-                if key[a] != last and held:
-                    for x, y in pairs(held):
-                        yield arrow(OPEN, doc=np.maximum(x, y), lead=np.minimum(x, y))
+            for lead, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lead, i, j) != last and held:
+                    yield from links(held)
                     held = []
-                last = key[a]
-                held.append([c[a:b].astype(np.int64) for c in columns])
+                last = (lead, i, j)
+                held.append(tuple(row))
         if held:
-            for x, y in pairs(held):
-                yield arrow(OPEN, doc=np.maximum(x, y), lead=np.minimum(x, y))
+            yield from links(held)
 
-    rows = members.select("key", "doc", "comp", "size", "gap", "lead").repartition("key").sortWithinPartitions("key", "doc")
-    return rows.mapInArrow(run, OPEN).distinct()
+    count = members.groupBy("lead").agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / TOGETHER).cast("int")
+    dealt = (members.join(count, "lead").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}))
+    # part 0 with part 0 is met once; part 0 with part 1 has the rows of both
+    rows = dealt.select("lead", "i", "j", "part", "doc", "comp", "size", "differ").repartition("lead", "i", "j")
+    return rows.sortWithinPartitions("lead", "i", "j").mapInArrow(run, LINKS)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Threshold(80, 100), key: str = "doc_id",
@@ -280,9 +325,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
     sizes = rows.where(F.col("kind") == SIZE).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"))
     copies = rows.where(F.col("kind") == COPY).select("doc", "lead")
     star = rows.where(F.col("kind") == STAR).select("key", "doc", "lead")
+    firsts = rows.where(F.col("kind") == FIRSTS).select("key", "doc", "lead")
 
-    # 1: each set with the leader that it meets in most lists
-    met = star.groupBy("doc", "lead").agg(F.count("*").alias("lists"))
+    # 1: each set with the leader that it meets in most lists; the first of a slice has its list's leader
+    above = firsts.select("key", F.col("doc").alias("lead"), F.col("lead").alias("above"))
+    star = star.join(above, ["key", "lead"], "left").select("key", "doc", F.coalesce("above", "lead").alias("lead"))
+    met = star.union(firsts).where("doc != lead").groupBy("doc", "lead").agg(F.count("*").alias("lists"))
     met = stored(met, "jaccard-met")
     best = met.groupBy("doc").agg(F.max(F.struct("lists", (-F.col("lead")).alias("lead"))).alias("m")).select(
         "doc", (-F.col("m.lead")).alias("lead"))
@@ -293,41 +341,25 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
     right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
     done = stored(_compare(sets.where("lead is not null").select("doc", "s", "lead").join(right, "lead")), "jaccard-pairs")
 
-    def links(compared: DataFrame) -> DataFrame:
-        total = F.col("n_doc") + F.col("n_lead")
-        return compared.where(threshold.linked(F.col("inter"), total)).select("doc", "lead")
-
-    edges = copies.union(links(done))
+    total, gap = F.col("n_doc") + F.col("n_lead"), F.length("differ") / 8
+    linked = done.where(threshold.den * (total - gap) >= threshold.num * (total + gap)).select("doc", "lead")
+    edges = copies.union(linked)
     comp = components(edges, "doc", "lead")
 
-    # 2: the other leaders, where that left a set and a leader apart
-    left = _labelled(met.join(done.select("doc", "lead"), ["doc", "lead"], "left_anti"), comp).where("c_doc != c_lead")
-    left = stored(left.select("doc", "lead"), "jaccard-left")
-    if not left.isEmpty():
-        more = stored(_compare_by_id(left, sets), "jaccard-pairs")
-        edges, done = edges.union(links(more)), done.union(more)
+    # 2: leaders whose lists this leaves in several components
+    split = stored(_labelled(met, comp).where("c_doc != c_lead").select("lead").distinct(), "jaccard-open")
+    if not split.isEmpty():
+        asked = met.join(split, "lead", "left_semi").select("doc", "lead")
+        known = done.join(split, "lead", "left_semi")
+        more = _compare_by_id(asked.join(done.select("doc", "lead"), ["doc", "lead"], "left_anti"), sets)
+        compared = stored(known.unionByName(more), "jaccard-differences")
+        own = compared.groupBy("lead").agg(F.any_value("n_lead").alias("size")).select(
+            "lead", F.col("lead").alias("doc"), "size", F.lit(b"").alias("differ"))
+        members = compared.select("lead", "doc", F.col("n_doc").alias("size"), "differ").union(own)
+        label = comp.select(F.col("node").alias("doc"), F.col("component").alias("comp"))
+        members = members.join(label, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+        edges = edges.union(stored(_member_links(members, threshold), "jaccard-links"))
         comp = components(edges, "doc", "lead")
 
-    # 3: lists that still hold several components: what their leader's answers leave open
-    apart = _labelled(met, comp)
-    apart = stored(apart.where("c_doc != c_lead").select("doc", "lead"), "jaccard-apart")
-    if not apart.isEmpty():
-        keys = star.join(apart, ["doc", "lead"], "left_semi").select("key").distinct()
-        some = star.join(keys, "key", "left_semi")
-        gap = done.select("doc", "lead", F.col("n_doc").alias("size"), (F.col("n_doc") + F.col("n_lead") - 2 * F.col("inter")).alias("gap"))
-        some = _labelled(some, comp).join(gap, ["doc", "lead"], "left").na.fill(-1, ["size", "gap"])
-        firsts = some.select("key", F.col("lead").alias("doc"), F.col("c_lead").alias("comp"), F.lit(-1).cast("long").alias("size"),
-                             F.lit(-1).cast("long").alias("gap"), "lead").distinct()
-        members = some.select("key", "doc", F.col("c_doc").alias("comp"), "size", "gap", "lead").union(firsts)
-        # the first of a slice comes twice, as a leader and led by the first of the list: once is enough
-        members = members.groupBy("key", "doc", "comp").agg(F.max(F.struct("gap", "size", "lead")).alias("m")).select(
-            "key", "doc", "comp", "m.size", "m.gap", "m.lead")
-        pairs = _open_pairs(members, threshold).join(
-            done.select(F.greatest("doc", "lead").alias("doc"), F.least("doc", "lead").alias("lead")), ["doc", "lead"], "left_anti")
-        pairs = stored(pairs, "jaccard-open")
-        if not pairs.isEmpty():
-            edges = edges.union(links(stored(_compare_by_id(pairs, sets), "jaccard-pairs")))
-            comp = components(edges, "doc", "lead")
-
     return (sizes.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
