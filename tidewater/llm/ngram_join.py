@@ -140,8 +140,9 @@ def _index_rows(docs: DataFrame, n: int, threshold: Threshold, key: str, text: s
                     k, d = k[order], d[order]
                     new = np.r_[True, k[1:] != k[:-1]]
                     lead = d[np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))]
-                    yield arrow(ROWS, kind=np.where(lead == d, ENTRY, STAR).astype(np.int32), key=k.view(np.int64), doc=d,
-                                lead=lead, n=np.zeros(len(k), np.int64))
+                    first = lead == d  # an entry needs no lead: rows that move are short
+                    yield arrow(ROWS, kind=np.where(first, ENTRY, STAR).astype(np.int32), key=k.view(np.int64), doc=d,
+                                lead=pa.array(lead, mask=first), n=pa.nulls(len(k), pa.int64()))
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, ROWS)
 
@@ -169,12 +170,11 @@ def _lists(rows: DataFrame) -> DataFrame:
             late = ~new & (lead != d)
             if late.any():
                 yield arrow(ROWS, kind=np.full(late.sum(), FIRSTS, np.int32), key=k[late], doc=d[late], lead=lead[late],
-                            n=np.zeros(late.sum(), np.int64))
+                            n=pa.nulls(int(late.sum()), pa.int64()))
 
-    # rows that are no entries go by document, so that they gather nowhere
+    # rows that are no entries go by document and kind, so that they gather nowhere
     to = F.when(F.col("kind") == ENTRY, F.col("key")).otherwise(F.xxhash64("doc", "kind"))
-    ordered = (rows.withColumn("to", to).repartition("to").sortWithinPartitions("kind", "key", "doc").drop("to"))
-    return ordered.mapInArrow(run, ROWS)
+    return rows.repartition(to).sortWithinPartitions("kind", "key", "doc").mapInArrow(run, ROWS)
 
 
 def _sets(docs: DataFrame, n: int, key: str, text: str, extra: str = "") -> DataFrame:
@@ -217,7 +217,7 @@ def _compare(pairs: DataFrame) -> DataFrame:
 def _compare_by_id(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The same for (doc, lead) pairs; ``sets`` is read again for either side."""
     right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
-    return _compare(pairs.join(sets.select("doc", "s"), "doc").join(right, "lead"))
+    return _compare(pairs.join(sets.select("doc", "s").hint("merge"), "doc").join(right.hint("merge"), "lead"))
 
 
 def _labelled(star: DataFrame, comp: DataFrame) -> DataFrame:
@@ -316,7 +316,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
                        text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
 
-    No link between documents is lost and no copies are expanded into pairs.  A
+    No link between documents is lost and no copies are expanded into pairs.  Joins
+    with texts and sets ask for a sort-merge join: their other side grows with the corpus,
+    so the plan is that of a large one at every size.  A
     null or empty text has an empty set and links with nothing; a row with a
     null key has a null component; rows of equal key are one node, which links
     as any of them does.  No rows give none.
@@ -336,10 +338,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
         "doc", (-F.col("m.lead")).alias("lead"))
     leads = met.select(F.col("lead").alias("doc")).distinct().withColumn("leads", F.lit(True))
     asked = best.join(leads, "doc", "full").withColumn("leads", F.coalesce("leads", F.lit(False)))
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(asked, "doc")
+    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(asked.hint("merge"), "doc")
     sets = stored(_sets(texts, n, "doc", "text", "lead long, leads boolean"), "jaccard-sets")
     right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
-    done = stored(_compare(sets.where("lead is not null").select("doc", "s", "lead").join(right, "lead")), "jaccard-pairs")
+    done = stored(_compare(sets.where("lead is not null").select("doc", "s", "lead").join(right.hint("merge"), "lead")), "jaccard-pairs")
 
     total, gap = F.col("n_doc") + F.col("n_lead"), F.length("differ") / 8
     linked = done.where(threshold.den * (total - gap) >= threshold.num * (total + gap)).select("doc", "lead")
