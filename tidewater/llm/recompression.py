@@ -185,8 +185,7 @@ def _shared_phrases(rows: DataFrame) -> DataFrame:
                             sha=[None] * k)
 
     to = F.when(F.col("kind") == ENTRY, F.col("name")).otherwise(F.xxhash64("doc", "kind"))
-    ordered = rows.withColumn("to", to).repartition("to").sortWithinPartitions("kind", "name", "doc").drop("to")
-    return ordered.mapInArrow(run, ROWS)
+    return rows.repartition(to).sortWithinPartitions("kind", "name", "doc").mapInArrow(run, ROWS)
 
 
 WINDOWS = "kind int, name long, more long, doc long, start long"
@@ -250,7 +249,7 @@ def _later_windows(rows: DataFrame) -> DataFrame:
                 yield arrow("doc long, start long", doc=doc[later], start=start[later])
 
     to = F.when(F.col("kind") == FIRST, F.col("name")).otherwise(F.xxhash64("doc", "start"))
-    ordered = (rows.withColumn("to", to).repartition("to").sortWithinPartitions("kind", "name", "more", "doc", "start").drop("to"))
+    ordered = rows.repartition(to).sortWithinPartitions("kind", "name", "more", "doc", "start")
     return ordered.mapInArrow(run, "doc long, start long")
 
 
@@ -297,10 +296,10 @@ def drop_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: s
     whole = named.where(F.col("kind") == DOC).select("doc", F.col("n").alias("n_words"), "sha")
     # a document's phrases are no more than its words
     shared = named.where(F.col("kind") == SHARED).groupBy("doc").agg(F.collect_list("name").alias("names"))
-    some = stored(rows.join(shared, "doc"), "repeat-texts")
+    some = stored(rows.join(shared.hint("merge"), "doc"), "repeat-texts")
     later = stored(_later_windows(_windows(some, window)), "later-windows")
     starts = later.groupBy("doc").agg(F.collect_set("start").alias("starts"))
-    kept = _kept(some.select("doc", "text").join(starts, "doc").select("doc", "text", "starts"), window)
+    kept = _kept(some.select("doc", "text").join(starts.hint("merge"), "doc").select("doc", "text", "starts"), window)
     kept = kept.dropDuplicates(["doc", "sha"])  # rows of equal key
     return (whole.join(kept, ["doc", "sha"], "left")
             .select(F.col("doc").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
