@@ -172,7 +172,7 @@ def test_position_in_group_equals_row_number_on_hot_key(spark):
     from tidewater.sources.export import position_in_group
     df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit("other")).otherwise(F.lit("hot")).alias("svc"),
                                   ((F.col("id") * 7919) % 100003).alias("eid"))
-    got = position_in_group(df, ["svc"], "eid", slices=12)
+    got = position_in_group(df, ["svc"], "eid", width=997)
     want = df.withColumn("_pos", F.row_number().over(Window.partitionBy("svc").orderBy("eid")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 

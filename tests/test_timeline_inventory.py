@@ -74,8 +74,8 @@ def _assert_equals_range_window(inv, got):
 
 def test_running_stock_equals_range_window(spark):
     inv = df_of(spark, INVENTORY, _inventory_rows())
-    # many slices: the hot key is cut into several buckets
-    _assert_equals_range_window(inv, inventory.inventory_running(inv, buckets=16))
+    # many slices: the hot key is cut at every minute
+    _assert_equals_range_window(inv, inventory.inventory_running(inv, width="minute"))
     _assert_equals_range_window(inv, inventory.inventory_running(inv))
 
 
@@ -88,7 +88,7 @@ def test_running_stock_hot_key_within_one_hour(spark):
     rows += [("n0", "N", "W", "STOCK_UPDATED", None, None, T, "1"), ("n1", "N", "W", "STOCK_UPDATED", 4, None,
                                                                        T + dt.timedelta(seconds=1), "1")]
     inv = df_of(spark, INVENTORY, rows)
-    _assert_equals_range_window(inv, inventory.inventory_running(inv, buckets=12))
+    _assert_equals_range_window(inv, inventory.inventory_running(inv, width="second"))
 
 
 def test_running_stock_ties_share_total(spark):
@@ -101,7 +101,7 @@ def test_salted_join_equals_plain_join(spark):
     left = spark.createDataFrame([(f"e{i}", "HOT" if i % 2 else f"k{i % 50}") for i in range(5000)] + [("n", None)],
                                  "event_id string, k string")
     right = spark.createDataFrame([("HOT", 1), ("k2", 2), ("zz", 3)], "k string, v int")
-    got = salted.salted_join(left, right, "k", "event_id", "left", buckets=8, min_rows=100)
+    got = salted.salted_join(left, right, "k", "event_id", "left", rows_per_salt=100)
     want = left.join(right, "k", "left")
     assert got.count() == want.count() == 5001
     assert got.select(*want.columns).exceptAll(want).count() == 0
@@ -124,4 +124,4 @@ def test_running_stock_null_keys_form_their_own_series(spark):
     rows = [(f"e{i}", None if i % 4 == 0 else "S", None if i % 5 == 0 else "W", "STOCK_UPDATED", (i % 9) - 4, None,
              T + dt.timedelta(seconds=i % 37), "1") for i in range(800)]
     inv = df_of(spark, INVENTORY, rows)
-    _assert_equals_range_window(inv, inventory.inventory_running(inv, buckets=6))
+    _assert_equals_range_window(inv, inventory.inventory_running(inv, width="second"))

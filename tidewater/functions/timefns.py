@@ -24,8 +24,3 @@ def minutes(length: str) -> int:
         if s.endswith(suffix) and s[: -len(suffix)].isdigit():
             return int(s[: -len(suffix)]) * mult
     raise ValueError(f"cannot read window length {length!r}")
-
-
-def tumbling_start(ts: Column, length: str) -> Column:
-    """Start of the fixed window (epoch-aligned) that holds ``ts``."""
-    return F.window(ts, f"{minutes(length)} minutes").start

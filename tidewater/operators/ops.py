@@ -100,8 +100,17 @@ def log_triage(lines: DataFrame, tail: int = ERROR_TAIL_LINES) -> DataFrame:
 
 # ---------------------------------------------------------------- K7: stage metrics
 
-def stage_metrics(stages: DataFrame) -> DataFrame:
-    """Per application: stage counts by status and summed task / byte counters."""
+def stage_metrics(stages: DataFrame, executors: DataFrame | None = None) -> DataFrame:
+    """Per application: stage counts by status and summed task / byte counters;
+    with executor records (app_id, is_active), also how many are active."""
+    out = _stage_counts(stages)
+    if executors is None:
+        return out
+    active = executors.groupBy("app_id").agg(F.count_if(F.col("is_active")).alias("active_executors"))
+    return out.join(active, "app_id", "left").withColumn("active_executors", F.coalesce("active_executors", F.lit(0).cast("long")))
+
+
+def _stage_counts(stages: DataFrame) -> DataFrame:
     return (stages.groupBy("app_id")
             .agg(F.count(F.lit(1)).alias("total_stages"),
                  F.count_if(F.col("status") == "COMPLETE").alias("completed_stages"),

@@ -1,11 +1,9 @@
 """Skew-aware salted join (L2).
 
-Hot keys are found from the data (a top-k of key counts, so the list is
-bounded by ``max_hot`` rows and safe to broadcast).  Left rows of a hot key
-get a deterministic salt from a hash of ``salt_col``; right rows of a hot key
-are copied once per salt value; every other key keeps salt 0 and a single
-copy.  Joining on (key, salt) spreads each hot key over ``buckets`` tasks and
-returns exactly the plain join.
+Each key gets as many salts as its left rows need at ``rows_per_salt`` each.
+Left rows are dealt over their key's salts by a hash of ``salt_col``; right
+rows are copied once per salt of their key.  Joining on (key, salt) spreads
+every hot key over tasks and returns exactly the plain join.
 """
 
 from __future__ import annotations
@@ -14,28 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_hot: int = 1000) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, the ``max_hot`` largest."""
+def key_salts(df: DataFrame, key: str, rows_per_salt: int) -> DataFrame:
+    """(key, salts) of every key that needs more than one salt; counts are
+    pre-aggregated before the shuffle."""
     return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= F.lit(min_rows))
-            .orderBy(F.col("_n").desc(), F.col(key))
-            .limit(max_hot)
-            .select(key, F.lit(True).alias("_hot")))
+            .filter(F.col("_n") > F.lit(rows_per_salt))
+            .select(key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("long").alias("_salts")))
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, salt_col: str,
-                how: str = "left", buckets: int = 16, min_rows: int = 1 << 20,
-                max_hot: int = 1000) -> DataFrame:
+                how: str = "left", rows_per_salt: int = 1 << 20) -> DataFrame:
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports left and inner joins")
-    hot = F.broadcast(hot_keys(left, key, min_rows, max_hot))
-    l = (left.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_col), F.lit(buckets)))
-                     .otherwise(F.lit(0).cast("long")))
-         .drop("_hot"))
-    r = (right.join(hot, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"),
-                                                                        F.lit(buckets - 1).cast("long")))
-                                        .otherwise(F.array(F.lit(0).cast("long")))))
-         .drop("_hot"))
-    return l.join(r, [key, "_salt"], how).drop("_salt")
+    salts = key_salts(left, key, rows_per_salt)
+    own = F.coalesce("_salts", F.lit(1).cast("long"))
+    dealt = (left.join(salts, key, "left")
+             .withColumn("_salt", F.pmod(F.coalesce(F.xxhash64(salt_col), F.lit(0)), own)).drop("_salts"))
+    copied = (right.join(salts, key, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), own - 1))).drop("_salts"))
+    return dealt.join(copied, [key, "_salt"], how).drop("_salt")

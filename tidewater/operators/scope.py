@@ -22,25 +22,16 @@ def service_table(spark: SparkSession, rows=SERVICE_PRIORITIES) -> DataFrame:
     return spark.createDataFrame(list(rows), "name string, priority string")
 
 
-# a service registry lists services, not events; a larger table is a mistake
-MAX_SERVICES = 10_000
-
-
 def priority_scope(events: DataFrame, services: DataFrame, priorities=PARTIAL_PRIORITIES,
                    service_col: str = "_service") -> DataFrame:
-    """Events of services whose priority is in ``priorities`` (a service
-    missing from the table counts as medium).
+    """Events of services whose priority is in ``priorities`` (a service missing
+    from the table, or without a priority, counts as medium).
 
-    The service table is configuration - a handful of rows, checked against
-    ``MAX_SERVICES`` - so the wanted names are read once and applied as an
-    ``isin`` filter: on a table partitioned by service it prunes directories,
-    and on a union of per-service frames it drops whole branches.
+    A join with the wanted services; where the default priority is wanted too,
+    the rows without an unwanted one, so that services the table lacks stay in.
     """
-    if DEFAULT_PRIORITY in priorities:
-        raise ValueError("scoping to medium needs the full service list; filter the events instead")
-    wanted = (services.withColumn("priority", F.coalesce("priority", F.lit(DEFAULT_PRIORITY)))
-              .filter(F.col("priority").isin(*priorities)).select("name").distinct())
-    names = [r["name"] for r in wanted.limit(MAX_SERVICES + 1).collect()]
-    if len(names) > MAX_SERVICES:
-        raise ValueError(f"service table has more than {MAX_SERVICES} wanted services")
-    return events.filter(F.col(service_col).isin(*names))
+    priority = F.coalesce("priority", F.lit(DEFAULT_PRIORITY)).isin(*priorities)
+    keeps_unknown = DEFAULT_PRIORITY in priorities
+    named = services.filter(~priority if keeps_unknown else priority).select(F.col("name").alias("_name")).distinct()
+    joined = events.join(named, events[service_col] == named["_name"], "left" if keeps_unknown else "inner")
+    return (joined.filter(F.col("_name").isNull()) if keeps_unknown else joined).drop("_name")

@@ -13,15 +13,17 @@ ORDER_STATES = ("pending", "paid", "completed")
 
 def order_status_pivot(enriched: DataFrame, window: str = "30 minutes",
                        states=ORDER_STATES) -> DataFrame:
-    """Orders per window with one count column per state (0 when none).
-    The state list is given, so no extra job is run to discover it."""
+    """Orders per window with one count column per state (0 when none), those in
+    any other state (or none) in ``other``.  The state list is given, so no
+    extra job is run to discover it."""
     w = F.window("order_updated_at", f"{minutes(window)} minutes")
-    out = (enriched.groupBy(w.alias("time_window"))
-           .pivot("order_status", list(states))
+    state = F.when(F.col("order_status").isin(*states), F.col("order_status")).otherwise("other")
+    out = (enriched.withColumn("_state", state).groupBy(w.alias("time_window"))
+           .pivot("_state", [*states, "other"])
            .agg(F.count("order_id")))
     return out.select(F.col("time_window.start").alias("window_start"),
                       F.col("time_window.end").alias("window_end"),
-                      *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in states])
+                      *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in (*states, "other")])
 
 
 def _series(keys=("order_status", "currency"), order: str = "window_start"):

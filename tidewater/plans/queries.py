@@ -127,10 +127,10 @@ def q_validation_flag(spark, sf_dir):
     "SELECT *, 'valid' AS _split FROM valid_payments UNION ALL "
     "SELECT *, 'quarantine' AS _split FROM invalid_payments", "valid_payments", "invalid_payments"))
 def q_valid_split(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    valid, invalid = validate.split_valid(i.deduped(PAYMENTS), PAYMENTS, AS_OF, stamp_col=False)
-    return (valid.drop("_service").withColumn("_split", F.lit("valid"))
-            .unionByName(invalid.drop("_service").withColumn("_split", F.lit("quarantine"))))
+    # one pass: both sides are the flagged rows, told apart by a column
+    flagged = validate.flag_valid(_in(spark, sf_dir).deduped(PAYMENTS), PAYMENTS, AS_OF)
+    split = F.when(F.col(validate.VALID_COL), "valid").otherwise("quarantine")
+    return flagged.withColumn("_split", split).drop(validate.VALID_COL)
 
 
 def _quality(i: Inputs) -> DataFrame:

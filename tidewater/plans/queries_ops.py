@@ -11,10 +11,11 @@ from tidewater.plans.queries_metrics import RUN_ID, _order_metrics
 from tidewater.schemas import INVENTORY, ORDERS, PAYMENTS, SHIPPING
 from tidewater.session import scratch_path
 from tidewater.sinks.publish import publish_payloads
+from tidewater.sinks.writers import write_table
 from tidewater.sources.derived import OPS_DEPS, duck_ops_text, spark_ops_table
 from tidewater.sources.export import JSON_TS_OPTIONS, collection_summary, position_in_group, unpage_export
 
-for _name in ("fx_readings", "fx_logs", "fx_stages", "fx_tasks", "fx_recovered"):
+for _name in ("fx_readings", "fx_logs", "fx_stages", "fx_executors", "fx_tasks", "fx_recovered"):
     add_cte(_name, OPS_DEPS[_name], duck_ops_text(_name))
 
 # ---------------------------------------------------------------- K1 / K2: paged export
@@ -26,38 +27,49 @@ EXPORT_SERVICES = (ORDERS, INVENTORY, PAYMENTS, SHIPPING, NOTIFICATIONS)
 
 
 def export_pages(events, limit: int = PAGE_LIMIT):
-    """Land ``events`` as paged export envelopes: service = user_id % 5, pages
-    of ``limit`` by event_id; shipping loses its error events on page 5 (an
-    early short page), inventory answers with ``items``, and page 2 of the
-    notifications service is cut off mid-document (unparsable)."""
+    """``events`` as paged export envelopes: service = user_id % 5, pages of
+    ``limit`` by event_id; shipping loses its error events on the page four fifths
+    in (an early short page), inventory answers with ``items``, and the page halfway
+    through the notifications service is cut off mid-document (unparsable)."""
     svc = F.element_at(F.array(*[F.lit(s) for s in EXPORT_SERVICES]), (F.col("user_id") % 5 + 1).cast("int"))
     ev = events.select("event_id", "ts", "user_id", "event_type", "value").withColumn("service", svc)
     ranked = position_in_group(ev, ["service"], "event_id")
     paged = ranked.withColumn("page", F.floor((F.col("_pos") - 1) / F.lit(limit)).cast("long") + 1).drop("_pos")
-    landed = paged.filter(~((F.col("service") == SHIPPING) & (F.col("page") == 5) & (F.col("event_type") == "error")))
-    grouped = (landed.groupBy("service", "page")
-               .agg(F.collect_list(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("evs"),
-                    F.count(F.lit(1)).alias("total")))
+    grouped = (paged.groupBy("service", "page")
+               .agg(F.collect_list(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("evs")))
     last = grouped.groupBy("service").agg(F.max("page").alias("_max"))
     pages = grouped.join(last, "service").withColumn("has_next", F.col("page") < F.col("_max"))
+    short = (F.col("service") == SHIPPING) & (F.col("page") == F.floor(F.col("_max") * 4 / 5) + 1)
+    pages = (pages.withColumn("evs", F.when(short, F.filter("evs", lambda e: e["event_type"] != "error")).otherwise(F.col("evs")))
+             .withColumn("total", F.size("evs").cast("long")))
     as_items = F.to_json(F.struct(F.col("evs").alias("items"), "has_next", "total"), JSON_TS_OPTIONS)
     as_events = F.to_json(F.struct(F.col("evs").alias("events"), "has_next", "total"), JSON_TS_OPTIONS)
     body = F.when(F.col("service") == INVENTORY, as_items).otherwise(as_events)
-    body = F.when((F.col("service") == NOTIFICATIONS) & (F.col("page") == 2), F.substring(body, 1, 40)).otherwise(body)
-    return pages.select("service", "page", body.alias("body"))
+    cut = (F.col("service") == NOTIFICATIONS) & (F.col("page") == F.floor(F.col("_max") / 2) + 1)
+    return pages.select("service", "page", F.when(cut, F.substring(body, 1, 40)).otherwise(body).alias("body"))
 
 
-add_cte("export_landed", ("events",), f"""
-SELECT * FROM (
+def _landed_pages(spark, sf_dir):
+    """The pages as a collector lands them: written once to the shared folder."""
+    path = scratch_path(spark, "export-pages")
+    write_table(export_pages(spark.read.parquet(f"{sf_dir}/events.parquet")), path)
+    return spark.read.schema("service string, page long, body string").parquet(path)
+
+
+add_cte("export_paged", ("events",), f"""
+SELECT *, max(page) OVER (PARTITION BY service) AS last_page FROM (
   SELECT *, (row_number() OVER (PARTITION BY service ORDER BY event_id) - 1) // {PAGE_LIMIT} + 1 AS page
   FROM (SELECT event_id, ts, user_id, event_type, value,
                CASE user_id % 5 WHEN 0 THEN '{ORDERS}' WHEN 1 THEN '{INVENTORY}' WHEN 2 THEN '{PAYMENTS}'
-                                WHEN 3 THEN '{SHIPPING}' ELSE '{NOTIFICATIONS}' END AS service FROM events))
-WHERE NOT (service = '{SHIPPING}' AND page = 5 AND event_type = 'error')""")
-add_cte("export_pages", ("export_landed",), f"""
-SELECT service, page, n, page < max(page) OVER (PARTITION BY service) AS has_next,
-       service = '{NOTIFICATIONS}' AND page = 2 AS corrupt
-FROM (SELECT service, page, count(*) AS n FROM export_landed GROUP BY service, page)""")
+                                WHEN 3 THEN '{SHIPPING}' ELSE '{NOTIFICATIONS}' END AS service FROM events))""")
+add_cte("export_landed", ("export_paged",), f"""
+SELECT * FROM export_paged
+WHERE NOT (service = '{SHIPPING}' AND page = last_page * 4 // 5 + 1 AND event_type = 'error')""")
+add_cte("export_pages", ("export_paged", "export_landed"), f"""
+SELECT service, page, coalesce(n, 0) AS n, page < last_page AS has_next,
+       service = '{NOTIFICATIONS}' AND page = last_page // 2 + 1 AS corrupt
+FROM (SELECT DISTINCT service, page, last_page FROM export_paged)
+LEFT JOIN (SELECT service, page, count(*) AS n FROM export_landed GROUP BY service, page) USING (service, page)""")
 add_cte("export_stops", ("export_pages",), f"""
 SELECT service, arg_min(page, page) FILTER (WHERE corrupt OR NOT has_next OR n < {PAGE_LIMIT}) AS stop_page,
        coalesce(arg_min(NOT corrupt, page) FILTER (WHERE corrupt OR NOT has_next OR n < {PAGE_LIMIT}), true) AS stop_ok
@@ -69,8 +81,7 @@ SELECT l.service, l.page, l.event_id, l.ts, l.user_id, l.event_type, l.value
 FROM export_landed l JOIN export_stops s USING (service)
 WHERE s.stop_ok AND (s.stop_page IS NULL OR l.page <= s.stop_page)""", "export_landed", "export_stops"))
 def q_unpage_export(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return unpage_export(export_pages(events), PAGE_LIMIT)
+    return unpage_export(_landed_pages(spark, sf_dir), PAGE_LIMIT)
 
 
 @register("collection_summary", with_ctes("""
@@ -85,8 +96,7 @@ FROM (SELECT p.service,
       GROUP BY p.service, s.stop_ok)
 GROUP BY ROLLUP (service)""", "export_pages", "export_stops"))
 def q_collection_summary(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return collection_summary(export_pages(events), PAGE_LIMIT)
+    return collection_summary(_landed_pages(spark, sf_dir), PAGE_LIMIT)
 
 
 # ---------------------------------------------------------------- K3: priority scope
@@ -151,14 +161,18 @@ def q_log_triage(spark, sf_dir):
 
 
 @register("stage_metrics", with_ctes("""
-SELECT app_id, count(*) AS total_stages, count(*) FILTER (WHERE status = 'COMPLETE') AS completed_stages,
-       count(*) FILTER (WHERE status = 'FAILED') AS failed_stages, CAST(sum(num_tasks) AS BIGINT) AS total_tasks,
-       CAST(sum(input_bytes) AS BIGINT) AS input_bytes, CAST(sum(output_bytes) AS BIGINT) AS output_bytes,
-       CAST(sum(shuffle_read_bytes) AS BIGINT) AS shuffle_read_bytes
-FROM fx_stages GROUP BY app_id""", "fx_stages"))
+SELECT s.*, coalesce(e.active_executors, 0) AS active_executors
+FROM (SELECT app_id, count(*) AS total_stages, count(*) FILTER (WHERE status = 'COMPLETE') AS completed_stages,
+             count(*) FILTER (WHERE status = 'FAILED') AS failed_stages, CAST(sum(num_tasks) AS BIGINT) AS total_tasks,
+             CAST(sum(input_bytes) AS BIGINT) AS input_bytes, CAST(sum(output_bytes) AS BIGINT) AS output_bytes,
+             CAST(sum(shuffle_read_bytes) AS BIGINT) AS shuffle_read_bytes
+      FROM fx_stages GROUP BY app_id) s
+LEFT JOIN (SELECT app_id, count(*) FILTER (WHERE is_active) AS active_executors FROM fx_executors GROUP BY app_id) e
+  USING (app_id)""", "fx_stages", "fx_executors"))
 def q_stage_metrics(spark, sf_dir):
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return ops.stage_metrics(spark_ops_table(spark, "fx_stages", lineitem=lineitem))
+    return ops.stage_metrics(spark_ops_table(spark, "fx_stages", lineitem=lineitem),
+                             spark_ops_table(spark, "fx_executors", lineitem=lineitem))
 
 
 @register("run_status", with_ctes("""

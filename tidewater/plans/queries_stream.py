@@ -36,7 +36,7 @@ def _run(spark, stream) -> str:
 @register("stream_dedup", with_ctes("SELECT * FROM dd_orders", "dd_orders"))
 def q_stream_dedup(spark, sf_dir):
     """M1 + M2: the JSON Lines scan as a stream, de-duplicated within the
-    watermark; in-order landing gives the batch dedup's rows."""
+    horizon of arrival; copies are alike, so this gives the batch dedup's rows."""
     src = _landed_orders(spark, sf_dir)
     out = _run(spark, twin.stream_dedup(twin.stream_service_events(spark, src, ORDERS), WATERMARK)
                .drop(CORRUPT_COL))

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "tidewater", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster, pass nothing and let
-    spark-submit decide master/memory; we only pin what correctness needs."""
+    spark-submit decide master, memory and shuffle partitions; we only pin what
+    correctness needs.  Tests and the bench name their master and partitions."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -21,17 +23,18 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.ui.showConsoleProgress": "false",
         # service times are UTC wall clock; NTZ arithmetic below is zone-free
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         # PySpark otherwise records the Python call site of every Column /
         # DataFrame call (several JVM round trips each) for error messages;
         # plans here are built from hundreds of calls
         "spark.python.sql.dataFrameDebugging.enabled": "false",
-        "spark.driver.memory": os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g"),
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:  # one JVM for tests and the bench
+        conf["spark.driver.memory"] = os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -51,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             # a machine-local folder is invisible to the other executors
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="tidewater-ckpt-")

@@ -24,9 +24,11 @@ def publish_payloads(spark: SparkSession, results: DataFrame, targets: dict[str,
                      path: str, fail_on_partial: bool = False) -> DataFrame:
     """Write the payloads as JSON Lines partitioned by target and return the
     ledger (target, rows_written, status) read back from what was written.
+    The write replaces what an
+    earlier run left at ``path``, so the ledger counts this run alone.
     A target without rows is ``failed``; with ``fail_on_partial`` that raises."""
     payloads(results, targets, run_id).hint("rebalance", "target").write.mode("overwrite") \
-        .partitionBy("target").text(path)
+        .option("partitionOverwriteMode", "static").partitionBy("target").text(path)
     # explicit schema: with no rows at all there is no target=... folder to discover
     written = (spark.read.schema("value string, target string").text(path)
                .groupBy("target").agg(F.count(F.lit(1)).alias("rows_written")))

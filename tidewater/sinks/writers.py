@@ -1,8 +1,8 @@
 """Partitioned writers.
 
-Partitioned outputs are written with dynamic partition overwrite, so a rerun
-(or a retried job after lost executors) replaces only the partitions it
-produces.  Instead of a fixed ``repartition(n, col)`` - which leaves one task
+A write replaces its whole output, so a rerun leaves no old rows; only a declared
+partial rerun replaces just the partitions that it produces.  The mode is set
+on each write, whatever the session says.  Instead of a fixed ``repartition(n, col)`` - which leaves one task
 per distinct value and blocks AQE - writes use the REBALANCE hint: rows are
 hash-placed by the partition column, and AQE splits skewed partitions and
 merges small ones, so a warehouse or service holding a third of the rows is
@@ -25,11 +25,12 @@ def _stamp(df: DataFrame, run_id: str | None) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...],
-                      fmt: str = "parquet", run_id: str | None = None) -> None:
+                      fmt: str = "parquet", run_id: str | None = None, partial: bool = False) -> None:
+    """``partial``: keep the partitions of an earlier run that this one does not produce."""
     out = _stamp(df, run_id)
     if partition_by:
         out = out.hint("rebalance", *partition_by)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partial else "static")
     if fmt in ("json", "csv"):
         w = w.options(**TEXT_TS_OPTIONS)
     if partition_by:
@@ -53,13 +54,13 @@ def write_unified(unified: DataFrame, path: str, run_id: str | None = None) -> N
     write_partitioned(unified, path, ["_service"], run_id=run_id)
 
 
-def write_quarantine(invalid: DataFrame, root: str) -> None:
-    """A5: rejected rows of one service under ``root/_service=<name>``.
+def write_quarantine(invalid: DataFrame, root: str, service: str) -> None:
+    """A5: rejected rows of one service under ``root/_service=<name>``, replacing
+    that folder; no rejected rows leave an empty one.
 
-    Each service keeps its own columns; read the root with ``mergeSchema``.
-    An empty frame writes no partition, so no pre-count is needed.
+    Each service keeps its own columns; read the root with the columns wanted.
     """
-    write_partitioned(invalid, root, ["_service"])
+    write_table(invalid.drop("_service"), f"{root.rstrip('/')}/_service={service}")
 
 
 def write_inventory(running: DataFrame, path: str, run_id: str | None = None) -> None:

@@ -40,6 +40,12 @@ SELECT 'app-' || CAST(l_suppkey AS STRING) AS app_id,
        CAST(floor(l_extendedprice) AS BIGINT) AS output_bytes,
        CAST(floor(l_extendedprice * l_discount) AS BIGINT) AS shuffle_read_bytes
 FROM {lineitem}
+""",
+    # executor records of the same applications, the driver's own among them
+    "fx_executors": """
+SELECT 'app-' || CAST(l_suppkey AS STRING) AS app_id, CAST(l_linenumber AS STRING) AS executor_id,
+       l_returnflag <> 'N' OR l_linenumber = 1 AS is_active
+FROM {lineitem} WHERE l_linenumber <= 4
 """,
     # task instances of pipeline runs
     "fx_tasks": """
@@ -61,7 +67,7 @@ FROM {fx_base} WHERE k % 10 = 9 AND k % 7 = 3
 """,
 }
 
-OPS_DEPS = {"fx_readings": ("events",), "fx_logs": ("events",), "fx_stages": ("lineitem",),
+OPS_DEPS = {"fx_readings": ("events",), "fx_logs": ("events",), "fx_stages": ("lineitem",), "fx_executors": ("lineitem",),
             "fx_tasks": ("events",), "fx_recovered": ("valid_payments", "fx_base")}
 
 _SPARK_PROPS_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"

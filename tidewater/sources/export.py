@@ -86,8 +86,8 @@ def collection_summary(pages: DataFrame, limit: int, event: StructType = EXPORT_
                  F.sum("collected").alias("services_collected"), F.sum("failed").alias("services_failed")))
 
 
-def position_in_group(df: DataFrame, keys: list[str], order: str, slices: int | None = None) -> DataFrame:
+def position_in_group(df: DataFrame, keys: list[str], order: str, width: int | str | None = None) -> DataFrame:
     """1-based rank ``_pos`` of each row within ``keys`` by ``order`` (unique
-    per key): a running count over range slices, so a key with a third of
+    per key): a running count over slices, so a key with a third of
     the rows is spread over many tasks."""
-    return sliced_running_sums(df, list(keys), [order], {"_pos": F.lit(1)}, slices)
+    return sliced_running_sums(df, list(keys), [order], {"_pos": F.lit(1)}, width)

@@ -94,25 +94,9 @@ _SPARK_VARIANTS = {
   WHERE v.keep"""),
 }
 
-# the key each base table is spread on when it arrives in fewer input splits
-# than the session has task slots (the test tables are single row groups)
-_SPREAD_KEY = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
-
-
 def read_base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table.  A table that arrives in fewer input splits than the
-    session has task slots is hash-placed on its key over all slots (no sort,
-    the same rows per task on a rerun); a table read in many splits - any
-    large one - is returned as it is, so no shuffle is added at scale."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name not in _SPREAD_KEY:
-        return df
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - a session without RDD access (Spark Connect): read as is
-        return df
-    return df.repartition(slots, _SPREAD_KEY[name]) if splits < slots else df
+    """One test table, as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # which base tables / fixtures each fixture reads
@@ -161,24 +145,3 @@ class Fixtures:
 
     def service(self, service: str) -> DataFrame:
         return self.table(SERVICE_FIXTURE[service])
-
-
-def with_fixtures(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with the CTEs of the named fixtures (and their inputs)
-    so DuckDB can run it over the pre-registered base tables."""
-    order: list[str] = []
-
-    def visit(n: str) -> None:
-        for d in _DEPS.get(n, ()):
-            if d in FX_SQL:
-                visit(d)
-        if n not in order:
-            order.append(n)
-
-    for n in names:
-        visit(n)
-    ctes = ",\n".join(f"{n} AS ({_duck_text(n)})" for n in order)
-    body = sql.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from tidewater.schemas import CORRUPT_COL, columns_for, schema_for
+from tidewater.schemas import CORRUPT_COL, schema_for
 
 
 def normalise_timestamps(df: DataFrame) -> DataFrame:
@@ -65,9 +65,3 @@ def read_service_partition(spark: SparkSession, path: str, service: str,
 
 def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
-
-
-def project_service(df: DataFrame, service: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Keep a service's columns (in schema order) plus ``extra`` ones present."""
-    cols = columns_for(service) + [c for c in extra if c in df.columns]
-    return df.select(*cols)
