@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import (bpe, decontaminate, ngram_join, quality_classifier, quality_rules, recompression, secret_scan,
                            sharding, stages, token_files, warc_revisits)
-from tidewater.session import scratch_path
 
 BYTE_BPE, WORD_BPE = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 
@@ -326,8 +325,8 @@ def test_bpe_words_and_round_trip(spark):
     t = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rnd = random.Random(8)
     words = ["a" * n for n in range(1, 40)] + ["".join(rnd.choice("abcdethé中") for _ in range(rnd.randint(1, 60))) for _ in range(400)]
-    single = [ranks[bytes([b])] for b in range(256)]
-    df = spark.createDataFrame([(w, [single[b] for b in w.encode()]) for w in words], "word string, symbols array<bigint>")
+    start = bpe.Start(ranks)
+    df = spark.createDataFrame([(w, start(w.encode())) for w in words], "word string, state array<bigint>")
     for r in bpe.decode_ids(bpe.encode_words(df, ranks), ranks).collect():
         assert bytes(r.decoded) == r.word.encode()
         if r.word.encode() not in ranks:

@@ -3,7 +3,8 @@
 Texts are split by the pattern in Python; each distinct word of a task is then
 encoded by Spark higher-order functions: a fold over the word's byte array
 merges the pair of lowest rank, leftmost first, until none is left.  The ranks
-are a literal map in the plan.  Decoding concatenates the binary pieces of
+are a literal map in the plan; only the ranks of the first, single-byte pairs are looked up where
+the word is split off.  Decoding concatenates the binary pieces of
 the ids.
 """
 
@@ -79,50 +80,62 @@ def _rank(m: Column, a: Column, b: Column) -> Column:
                    F.get(m, (key % F.lit(second)).cast("int") + F.lit(first)).bitwiseXOR(marks), F.lit(NONE).cast("long"))
 
 
-def fold_merges(symbols: Column, m: Column) -> Column:
-    """Ids after all ranked merges of ``symbols``, the ids of a word's bytes (array<bigint>).
+class Start:
+    """State of a word before the first merge: an entry for each byte between two edges.
 
-    The state is one array: for each piece the rank of its merge with the next one, its
-    offset and its id, as bits (rank << 32 | offset << 16 | id), between two edges.  Its
-    least entry is the next merge, the leftmost of equal ones, and the rank is the id it makes.
+    An entry has, as bits, the rank of its merge with the next piece (NONE: no
+    merge), its offset in the word and its id: rank << 32 | offset << 16 | id.
     """
-    edge = F.lit((NONE << 32) | EDGE).cast("long")
-    low, gone = F.lit(0xFFFFFFFF).cast("long"), F.lit(-1).cast("long")
+
+    def __init__(self, ranks: dict[bytes, int]):
+        single = [ranks[bytes([x])] for x in range(256)]
+        self.pairs = [[ranks.get(bytes([a, b]), NONE) << 32 | single[a] for b in range(256)] for a in range(256)]
+        self.lasts = [NONE << 32 | x for x in single]
+
+    def __call__(self, word: bytes) -> list[int]:
+        pairs, edge, end = self.pairs, NONE << 32 | EDGE, len(word) - 1
+        body = [pairs[a][b] | k for a, b, k in zip(word, word[1:], range(0, end << 16, 1 << 16))]
+        return [edge, *body, self.lasts[word[-1]] | end << 16, edge]
+
+
+def fold_merges(state: Column, m: Column) -> Column:
+    """Ids after all ranked merges, from the entries of a word's bytes (see Start).
+
+    The least entry is the next merge, the leftmost of equal ranks, and its rank
+    is the id that it makes; the entry before it and its own get their new ranks, the one after it goes.
+    """
+    def const(x: int) -> Column:
+        return F.lit(x).cast("long")
+
+    low, offset, gone = const(0xFFFFFFFF), const(EDGE << 16), const(-1)
 
     def of(x: Column) -> Column:
-        return x.bitwiseAND(F.lit(EDGE).cast("long"))
+        return x.bitwiseAND(const(EDGE))
 
     def at(r: Column, rest: Column) -> Column:
         return F.shiftleft(r, 32).bitwiseOR(rest)
 
-    start = F.concat(F.array(edge), F.transform(symbols, lambda x, k: at(
-        F.when(k + 1 < F.size(symbols), _rank(m, x, F.get(symbols, k + 1))).otherwise(F.lit(NONE).cast("long")),
-        F.shiftleft(k.cast("long"), 16).bitwiseOR(x))), F.array(edge))
-
     def step(a: Column, _: Column) -> Column:
-        def merge(least: Column) -> Column:
+        def put(j: Column) -> Column:
+            """j: index of the piece before the merge."""
+            before, least = F.get(a, j), F.get(a, j + 1)
             new = F.shiftright(least, 32)
+            return F.array_remove(F.transform(a, lambda x, k: (
+                F.when(k < j, x).when(k > j + 2, x)
+                .when(k == j, at(_rank(m, of(before), new), before.bitwiseAND(low)))
+                .when(k > j + 1, gone)
+                .otherwise(at(_rank(m, new, of(F.get(a, j + 3))), least.bitwiseAND(offset).bitwiseOR(new))))), gone)
 
-            def put(j: Column) -> Column:
-                """j: index of the piece before the merge; the piece after it is taken out."""
-                before, offset = F.get(a, j), F.lit(EDGE << 16).cast("long")
-                return F.array_remove(F.transform(a, lambda x, k: (
-                    F.when(k < j, x).when(k > j + 2, x)
-                    .when(k == j, at(_rank(m, of(before), new), before.bitwiseAND(low)))
-                    .when(k > j + 1, gone)
-                    .otherwise(at(_rank(m, new, of(F.get(a, j + 3))), least.bitwiseAND(offset).bitwiseOR(new))))), gone)
-
-            return F.when(least >= F.lit(NONE << 32).cast("long"), a).otherwise(
-                _bind(F.array_position(a, least).cast("int") - 2, put))
-
-        return _bind(F.array_min(a), merge)
+        least = F.array_min(a)
+        return F.when(least >= const(NONE << 32), a).otherwise(
+            _bind(F.array_position(a, least).cast("int") - 2, put))
 
-    turns = F.sequence(F.lit(1), F.greatest(F.size(symbols) - 1, F.lit(1)))
-    return F.aggregate(turns, start, step, lambda a: F.transform(F.slice(a, 2, F.size(a) - 2), of))
+    turns = F.sequence(F.lit(1), F.greatest(F.size(state) - 3, F.lit(1)))
+    return F.aggregate(turns, state, step, lambda a: F.transform(F.slice(a, 2, F.size(a) - 2), of))
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int], column: str = "symbols") -> DataFrame:
-    """``words`` with ``ids`` (array<bigint>); ``column`` has the ids of a word's single bytes (null: none)."""
+def encode_words(words: DataFrame, ranks: dict[bytes, int], column: str = "state") -> DataFrame:
+    """``words`` with ``ids`` (array<bigint>); ``column`` has the start state of each word (null: none)."""
     return words.withColumn("ids", F.when(F.col(column).isNotNull(), _bind(
         rank_map(ranks), lambda m: fold_merges(F.col(column), m))))
 
@@ -171,7 +184,7 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-SPLIT = "reset boolean, symbols array<bigint>, known array<bigint>, key long, codes binary"
+SPLIT = "reset boolean, state array<bigint>, known array<bigint>, key long, codes binary"
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -185,7 +198,7 @@ def _split(docs: DataFrame, ranks_path: str, pattern: str, key: str, text: str)
         import regex
 
         find, ranks, codes = regex.compile(pattern).findall, read_ranks(ranks_path), {}
-        single = [ranks.get(bytes([x])) for x in range(256)]
+        start = Start(ranks)
         for batch in batches:
             for part in spans_of_rows(batch, "text"):
                 rows: list[tuple] = []
@@ -201,14 +214,14 @@ def _split(docs: DataFrame, ranks_path: str, pattern: str, key: str, text: str)
                         if whole is not None:
                             rows.append((False, None, [whole], None, None))
                         elif len(data) <= LONGEST:
-                            rows.append((False, [single[c] for c in data], None, None, None))
+                            rows.append((False, start(data), None, None, None))
                         else:
                             rows.append((False, None, merge_long(data, ranks), None, None))
                     rows.append((False, None, None, k, own.tobytes()))
                 ids = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), ids, ids, pa.int64(), pa.binary()))],
-                    ["reset", "symbols", "known", "key", "codes"])
+                    ["reset", "state", "known", "key", "codes"])
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, SPLIT)
 
@@ -230,7 +243,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
     """
     ranks = read_ranks(ranks_path)
     rows = _split(docs, ranks_path, pattern, key, text)
-    rows = encode_words(rows, ranks).withColumn("ids", F.coalesce("known", "ids")).drop("symbols", "known")
+    rows = encode_words(rows, ranks).withColumn("ids", F.coalesce("known", "ids")).drop("state", "known")
     rows = decode_ids(rows, ranks)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
