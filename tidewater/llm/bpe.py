@@ -25,7 +25,7 @@ from tidewater.llm.common import spans_of_rows
 #: Longer words are merged with a heap in Python: a fold copies its array at each merge.
 LONGEST = 128
 #: Distinct words a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: A rank that says "no merge", and the id before and after a word; real ids are smaller.
 NONE, EDGE = 1 << 16, (1 << 16) - 1
 

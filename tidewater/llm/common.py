@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewater.session import scratch_path
 
 #: Bytes of text that a Python worker handles at a time.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 #: The white space that separates words, [\x20\x09-\x0D].
 WHITE_SPACE = " \t\n\x0b\x0c\r"

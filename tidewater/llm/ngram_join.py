@@ -29,7 +29,7 @@ from tidewater.llm.common import arrow, spans_of_rows, stored
 from tidewater.llm.components import components
 
 #: Distinct words whose hashes a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
