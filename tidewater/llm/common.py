@@ -24,11 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
-    Cuts the lineage: a lost executor rebuilds nothing above this point.
+    Cuts the lineage: a lost executor rebuilds nothing above this point.  What
+    the step shuffled is not needed any more; Spark deletes those files when the
+    driver's garbage is collected, which is asked for here, so that the steps
+    of an operator don't add up on the executors' disks.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
