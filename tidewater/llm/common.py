@@ -36,11 +36,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def words(text: str) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a text, as UTF-8."""
-    return text.encode().split()
-
-
 def spans_of_rows(batch: pa.RecordBatch, column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` whose ``column`` holds about ``most`` bytes (one row at least)."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

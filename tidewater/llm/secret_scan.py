@@ -7,7 +7,6 @@ pairs it lacks are scanned, and findings are joined back to all paths.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -164,6 +163,3 @@ def redact(text: str, spans: list[tuple[int, int]], mark: str = "[secret]") -> s
         at = max(at, end)
     return "".join([*out, text[at:]])
 
-
-def sha(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
