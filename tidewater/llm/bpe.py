@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import spans_of_rows
+from tidewater.llm.common import handing_back, spans_of_rows
 
 #: Longer words are merged with a heap in Python: a fold copies its array at each merge.
 LONGEST = 128
@@ -223,7 +223,7 @@ def _split(docs: DataFrame, ranks_path: str, pattern: str, key: str, text: str)
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), ids, ids, pa.int64(), pa.binary()))],
                     ["reset", "state", "known", "key", "codes"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, SPLIT)
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(handing_back(run), SPLIT)
 
 
 def _last(codes: dict, n: int) -> list:
@@ -274,4 +274,4 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
                 [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.select("reset", "key", "codes", "ids", "decoded").mapInArrow(join, ENCODED)
+    return rows.select("reset", "key", "codes", "ids", "decoded").mapInArrow(handing_back(join), ENCODED)

@@ -36,6 +36,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def handing_back(run: Callable) -> Callable:
+    """``run`` for mapInArrow; when a task ends, its memory goes back to the system.
+
+    Python workers outlive their tasks, and several stages' workers share an executor.
+    """
+    def wrapped(batches):
+        import ctypes
+        import gc
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def spans_of_rows(batch: pa.RecordBatch, column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` whose ``column`` holds about ``most`` bytes (one row at least)."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -60,7 +81,7 @@ def map_texts(df: DataFrame, fn: Callable[[list, Iterable[str]], pa.RecordBatch]
             for part in spans_of_rows(batch, "text"):
                 yield fn(part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()])
 
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(handing_back(run), schema)
 
 
 def arrow(schema: str, **columns) -> pa.RecordBatch:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow, spans_of_rows, stored
+from tidewater.llm.common import arrow, handing_back, spans_of_rows, stored
 from tidewater.llm.components import components
 
 #: Distinct words whose hashes a worker remembers before it starts anew.
@@ -144,7 +144,7 @@ def _index_rows(docs: DataFrame, n: int, threshold: Threshold, key: str, text: s
                     yield arrow(ROWS, kind=np.where(first, ENTRY, STAR).astype(np.int32), key=k.view(np.int64), doc=d,
                                 lead=pa.array(lead, mask=first), n=pa.nulls(len(k), pa.int64()))
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, ROWS)
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(handing_back(run), ROWS)
 
 
 def _lists(rows: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def _lists(rows: DataFrame) -> DataFrame:
 
     # rows that are no entries go by document and kind, so that they gather nowhere
     to = F.when(F.col("kind") == ENTRY, F.col("key")).otherwise(F.xxhash64("doc", "kind"))
-    return rows.repartition(to).sortWithinPartitions("kind", "key", "doc").mapInArrow(run, ROWS)
+    return rows.repartition(to).sortWithinPartitions("kind", "key", "doc").mapInArrow(handing_back(run), ROWS)
 
 
 def _sets(docs: DataFrame, n: int, key: str, text: str, extra: str = "") -> DataFrame:
@@ -190,7 +190,7 @@ def _sets(docs: DataFrame, n: int, key: str, text: str, extra: str = "") -> Data
                     [part.column(0), pa.array(s, pa.binary()), *(part.column(x) for x in names)], ["doc", "s", *names])
 
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), *names)
-    return rows.mapInArrow(run, "doc long, s binary" + (", " + extra if extra else ""))
+    return rows.mapInArrow(handing_back(run), "doc long, s binary" + (", " + extra if extra else ""))
 
 
 PAIRS = "doc long, lead long, n_doc long, n_lead long, differ binary"
@@ -211,7 +211,7 @@ def _compare(pairs: DataFrame) -> DataFrame:
                     column.append(v)
             yield arrow(PAIRS, doc=out[0], lead=out[1], n_doc=out[2], n_lead=out[3], differ=out[4])
 
-    return pairs.select("doc", "s", "lead", "t").mapInArrow(run, PAIRS)
+    return pairs.select("doc", "s", "lead", "t").mapInArrow(handing_back(run), PAIRS)
 
 
 def _compare_by_id(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -309,7 +309,7 @@ def _member_links(members: DataFrame, threshold: Threshold) -> DataFrame:
              .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}))
     # part 0 with part 0 is met once; part 0 with part 1 has the rows of both
     rows = dealt.select("lead", "i", "j", "part", "doc", "comp", "size", "differ").repartition("lead", "i", "j")
-    return rows.sortWithinPartitions("lead", "i", "j").mapInArrow(run, LINKS)
+    return rows.sortWithinPartitions("lead", "i", "j").mapInArrow(handing_back(run), LINKS)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Threshold(80, 100), key: str = "doc_id",

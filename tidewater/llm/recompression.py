@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow, spans_of_rows, stored
+from tidewater.llm.common import arrow, handing_back, spans_of_rows, stored
 from tidewater.llm.ngram_join import REMEMBERED, WordHashes, mixed
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -154,7 +154,7 @@ def _phrase_rows(docs: DataFrame, window: int) -> DataFrame:
                     yield arrow(ROWS, kind=np.full(twice.sum(), SHARED), name=name[twice].view(np.int64),
                                 doc=doc[twice], n=np.zeros(twice.sum(), np.int64), sha=[None] * int(twice.sum()))
 
-    return docs.mapInArrow(run, ROWS)
+    return docs.mapInArrow(handing_back(run), ROWS)
 
 
 def _shared_phrases(rows: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def _shared_phrases(rows: DataFrame) -> DataFrame:
                             sha=[None] * k)
 
     to = F.when(F.col("kind") == ENTRY, F.col("name")).otherwise(F.xxhash64("doc", "kind"))
-    return rows.repartition(to).sortWithinPartitions("kind", "name", "doc").mapInArrow(run, ROWS)
+    return rows.repartition(to).sortWithinPartitions("kind", "name", "doc").mapInArrow(handing_back(run), ROWS)
 
 
 WINDOWS = "kind int, name long, more long, doc long, start long"
@@ -222,7 +222,7 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
                         yield arrow(WINDOWS, kind=np.full(which.sum(), kind), name=one[which], more=two[which],
                                     doc=doc[which], start=start[which])
 
-    return docs.mapInArrow(run, WINDOWS)
+    return docs.mapInArrow(handing_back(run), WINDOWS)
 
 
 def _later_windows(rows: DataFrame) -> DataFrame:
@@ -250,7 +250,7 @@ def _later_windows(rows: DataFrame) -> DataFrame:
 
     to = F.when(F.col("kind") == FIRST, F.col("name")).otherwise(F.xxhash64("doc", "start"))
     ordered = rows.repartition(to).sortWithinPartitions("kind", "name", "more", "doc", "start")
-    return ordered.mapInArrow(run, "doc long, start long")
+    return ordered.mapInArrow(handing_back(run), "doc long, start long")
 
 
 KEPT = "doc long, sha string, n_removed long, kept_sha string"
@@ -276,7 +276,7 @@ def _kept(docs: DataFrame, window: int) -> DataFrame:
                         column.append(v)
                 yield arrow(KEPT, doc=out[0], sha=out[1], n_removed=out[2], kept_sha=out[3])
 
-    return docs.mapInArrow(run, KEPT)
+    return docs.mapInArrow(handing_back(run), KEPT)
 
 
 def drop_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
