@@ -111,6 +111,39 @@ def test_decontamination(spark, odd):
     assert decontaminate.contaminated(odd, b).count() == 0
 
 
+def paraphrase(rnd, words, share):
+    """``share`` of the words in their order, the whole answer part among them."""
+    answer = max(3, -(-len(words) // 5))
+    kept = set(rnd.sample(range(len(words) - answer), max(0, -(-round(share * 100) * len(words) // 100) - answer)))
+    return [w for i, w in enumerate(words) if i in kept or i >= len(words) - answer]
+
+
+def planted(rnd, texts, passages):
+    """(rows, pairs): each document of ``passages`` (doc_id -> list of (item_id, words)) gets them at random places."""
+    rows = []
+    for d, x in sorted(texts.items()):
+        words = x.split()
+        for _, p in passages.get(d, ()):
+            at = rnd.randint(0, len(words))
+            words[at:at] = p
+        rows.append((d, " ".join(words)))
+    return rows, {(d, i) for d, found in passages.items() for i, _ in found}
+
+
+def test_decontamination_of_a_passage_in_a_third_of_documents(spark):
+    sf, rnd = "/root/testdata/sf0.01", random.Random(7)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    items = {r.item_id: r.text.split() for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").limit(6).collect()}
+    ids, docs = sorted(items), sorted(texts)
+    # one item word for word in a third of the documents, another as paraphrases in another third, the others in one document each
+    passages = {d: [(ids[0], items[ids[0]])] for d in docs[::3]} | {d: [(ids[1], paraphrase(rnd, items[ids[1]], 0.65))] for d in docs[1::3]}
+    passages |= {docs[2 + 3 * n]: [(i, paraphrase(rnd, items[i], 0.65))] for n, i in enumerate(ids[2:])}
+    rows, want = planted(rnd, texts, passages)
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4),
+                                     spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    assert not want - {(r.doc_id, r.item_id) for r in got.collect()}
+
+
 def test_svd_against_numpy(spark):
     rnd = np.random.default_rng(0)
     dense = (rnd.random((300, 40)) < 0.2) * rnd.integers(1, 4, (300, 40))
