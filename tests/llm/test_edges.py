@@ -144,6 +144,26 @@ def test_decontamination_of_a_passage_in_a_third_of_documents(spark):
     assert not want - {(r.doc_id, r.item_id) for r in got.collect()}
 
 
+def test_decontamination_of_short_items_beside_a_long_one(spark):
+    sf, rnd = "/root/testdata/sf0.01", random.Random(8)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    items = {r.item_id: r.text.split() for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    docs, long_id = sorted(texts), max(items) + 1
+    longest = [w for d in docs[-40:] for w in texts.pop(d).split()][:1000]
+    assert len(longest) == 1000
+    docs = docs[:-40]
+    passages = {d: [(i, paraphrase(rnd, items[i], 0.65))] for d, i in zip(docs[::9], sorted(items))}
+    passages[docs[1]] = [(long_id, paraphrase(rnd, longest, 0.65))]
+    rows, want = planted(rnd, texts, passages)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = []
+    for bench in (items, items | {long_id: longest}):
+        b = spark.createDataFrame([(i, " ".join(w)) for i, w in bench.items()], "item_id long, text string")
+        got.append({(r.doc_id, r.item_id): (r.share, r.answer_share) for r in decontaminate.contaminated(d, b).collect()})
+    assert not want - set(got[1])
+    assert {k: v for k, v in got[1].items() if k[1] != long_id} == got[0]
+
+
 def test_svd_against_numpy(spark):
     rnd = np.random.default_rng(0)
     dense = (rnd.random((300, 40)) < 0.2) * rnd.integers(1, 4, (300, 40))
