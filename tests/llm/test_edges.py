@@ -164,6 +164,40 @@ def test_decontamination_of_short_items_beside_a_long_one(spark):
     assert {k: v for k, v in got[1].items() if k[1] != long_id} == got[0]
 
 
+def test_decontamination_against_brute_force(spark, tmp_path):
+    """All pairs by the rule, from every passage of every document of sf0.1, and no others."""
+    sf, rnd, settings = "/root/testdata/sf0.1", random.Random(9), decontaminate.Settings()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    items = {r.item_id: r.text.split() for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").limit(12).collect()}
+    docs, (often, *others) = sorted(texts), sorted(items)
+    passages = {d: [(often, paraphrase(rnd, items[often], 0.6 + 0.2 * rnd.random()))] for d in docs[::3]}
+    passages |= {docs[3 * n + 1]: [(i, paraphrase(rnd, items[i], share))]
+                 for n, (i, share) in enumerate((i, share) for i in others for share in (0.6, 0.65, 0.7, 0.75, 0.8))}
+    rows, planned = planted(rnd, texts, passages)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/documents")
+    got = decontaminate.contaminated(spark.read.parquet(f"{tmp_path}/documents"),
+                                     spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    plain = {i: [x for x in map(decontaminate.plain, w) if x] for i, w in items.items()}
+    known = {x: n for n, x in enumerate({x for w in plain.values() for x in w})}
+    numbers = {i: [known[x] for x in w] for i, w in plain.items()}
+    want = set()
+    for d, x in rows:
+        words = [known.get(decontaminate.plain(w), -1) for w in x.split()]
+        for at in range(0, max(len(words) - 96, 1), 32):
+            passage = words[at:at + 128]
+            there = set(passage)
+            for i, own in numbers.items():
+                if sum(w in there for w in own) < settings.paraphrase * len(own):
+                    continue
+                share = decontaminate.common_subsequence(own, passage) / len(own)
+                answer = own[-max(3, -(-len(own) // 5)):]
+                if share >= settings.copy or share >= settings.paraphrase and (
+                        decontaminate.common_subsequence(answer, passage) >= settings.answer * len(answer)):
+                    want.add((d, i))
+    assert planned <= want
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 def test_svd_against_numpy(spark):
     rnd = np.random.default_rng(0)
     dense = (rnd.random((300, 40)) < 0.2) * rnd.integers(1, 4, (300, 40))
