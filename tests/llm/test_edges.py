@@ -249,6 +249,17 @@ def test_revisits(spark):
     assert warc_revisits.resolve_revisits(records.limit(0)).count() == 0
 
 
+def test_revisits_of_a_url_with_many_captures_at_once(spark):
+    placed = spark.range(6000).selectExpr(
+        "id as record_id", "if(id % 3 = 0, 'a.com/x', concat('b.com/', id % 700)) as url", "1600000000 + id div 60 as ts",
+        "if(id % 21 = 0, 'response', 'revisit') as kind", "cast(null as string) as etag", "cast(null as string) as last_modified",
+        "cast(null as map<string,string>) as headers", "cast(id as string) as payload_sha256")
+    most = warc_revisits.sliced(placed, 6 * 3600, 100).groupBy("url", "slice").count().agg(F.max("count")).first()[0]
+    assert most <= 100 + 20  # the records of a second stay together
+    got = [{(r.record_id, r.response_id, r.outcome) for r in warc_revisits.resolve_revisits(placed, 6 * 3600, n).collect()} for n in (100, 10 ** 6)]
+    assert got[0] == got[1] and len(got[0]) == 6000 - 286
+
+
 def test_classifier(spark, odd):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 11)] + [(None, 1, 1), (3, 7, None), (4, None, None)], "doc_id long, quality int, toxic int")
     got = quality_classifier.quality_scores(odd, labels)

@@ -35,7 +35,23 @@ def _same_tag(a: Column, b: Column) -> Column:
     return F.regexp_replace(a, "^W/", "") == F.regexp_replace(b, "^W/", "")
 
 
-def resolve_revisits(records: DataFrame, slice_seconds: int = 6 * 3600) -> DataFrame:
+def sliced(placed: DataFrame, slice_seconds: int, most: int) -> DataFrame:
+    """``placed`` with ``slice``, a pair that grows with time: the fixed slice, and a part of it.
+
+    Slices of over ``most`` records are cut after full seconds, by counts per second, so that a part holds
+    about ``most`` records, or those of one second.  The list of cuts has a row for each second of such slices.
+    """
+    fixed = F.floor(F.col("ts") / slice_seconds)
+    counts = placed.where("url is not null and ts is not null").groupBy("url", "ts").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("url", "fixed")
+    until = own.orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (counts.withColumn("fixed", fixed).withColumns({"all": F.sum("n").over(own), "before": F.coalesce(F.sum("n").over(until), F.lit(0))})
+            .where(F.col("all") > most).select("url", "ts", F.floor(F.col("before") / most).alias("part")))
+    return placed.join(cuts.hint("merge"), ["url", "ts"], "left").withColumn(
+        "slice", F.struct(fixed.alias("fixed"), F.coalesce("part", F.lit(0).cast("long")).alias("part"))).drop("part")
+
+
+def resolve_revisits(records: DataFrame, slice_seconds: int = 6 * 3600, most: int = 100_000) -> DataFrame:
     """Each revisit with the response that answers it.
 
     records: record_id long, url, ts (seconds), kind ('response' or 'revisit'),
@@ -50,13 +66,13 @@ def resolve_revisits(records: DataFrame, slice_seconds: int = 6 * 3600) -> DataF
     orphans.  Equal ids stay separate records.
 
     The search runs within time slices of a URL and carries the last response of each slice
-    forward, so a URL with many captures is spread over its slices; slices
-    are pre-aggregated before they move.
+    forward, so a URL with many captures is spread over its slices, and a slice of over
+    ``most`` records over parts of it; slices are pre-aggregated before they move.
     """
-    placed = records.select(
+    placed = sliced(records.select(
         "record_id", canonical_url(F.col("url")).alias("url"), "ts", "kind",
-        F.floor(F.col("ts") / slice_seconds).alias("slice"), F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"),
-        "etag", "last_modified", "payload_sha256")
+        F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"),
+        "etag", "last_modified", "payload_sha256"), slice_seconds, most)
     good = F.col("url").isNotNull() & F.col("ts").isNotNull()
     full = F.struct("ts", "record_id", "etag", "last_modified", "headers", "payload_sha256")
     responses = placed.where(good & (F.col("kind") == "response"))
