@@ -10,7 +10,7 @@ from tidewater.sinks import writers
 from tidewater.sources.fixtures import AS_OF
 from tidewater.streaming import twin
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_check import compare, duck_conn
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 from tidewater.plans import registry
 

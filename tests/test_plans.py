@@ -4,7 +4,7 @@ the hot path, and the skew-safe shapes the operators promise."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from tidewater.plans import registry
 
 # physical operators that pair rows without a key or leave the JVM row by row
