@@ -173,6 +173,105 @@ def test_op10(spark, tables):
     assert max(sizes.values()) - sum(sizes.values()) / 24 <= most
 
 
+def test_op11(spark, tables):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    got = rows(spark, "op11_tokenization_automaton")
+    for d, x in tables.items():
+        ids, r = t.encode(x, add_special_tokens=False).ids, got[d]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), sha(np.array(ids, "<u4").tobytes()), sha(t.decode(ids, skip_special_tokens=False)))
+
+
+def brute_alignments(tables):
+    """{doc: (A ids, B ids, groups, links)} straight from the libraries."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+    from tidewater.llm.token_files import byte_letters
+    a, b = Tokenizer.from_file(P.path("byte_bpe_50k.json")), sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    a.encode_special_tokens = True
+    byte = {x: i for i, x in enumerate(byte_letters())}
+    out = {}
+    for d, x in tables.items():
+        ids_a, ids_b = a.encode(" " + (x or ""), add_special_tokens=False).ids, b.encode(x or "")
+        bytes_a = [bytes(byte[c] for c in a.id_to_token(i)) for i in ids_a]
+        bytes_b = [bytes([int(p[1:-1], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode()
+                   for i, p in ((i, b.id_to_piece(i)) for i in ids_b)]
+        want = (" " + (x or "")).encode()
+        if not x or b"".join(bytes_a) != want or b"".join(bytes_b) != want:
+            out[d] = ([], [], [], [])
+            continue
+        ends_a, ends_b = (np.cumsum([len(y) for y in z]).tolist() for z in (bytes_a, bytes_b))
+        at_a, at_b = ({e: i for i, e in enumerate(z)} for z in (ends_a, ends_b))
+        common = sorted(at_a.keys() & at_b.keys())
+        groups, i, j = [], 0, 0
+        for e in common:
+            groups.append((ids_a[i:at_a[e] + 1], ids_b[j:at_b[e] + 1]))
+            i, j = at_a[e] + 1, at_b[e] + 1
+        out[d] = (ids_a, ids_b, groups, [(ids_a[at_a[e]], ids_b[at_b[e]]) for e in common])
+    return out
+
+
+def brute_counts(found):
+    count = collections.Counter(x for f in found.values() for x in f[3])
+    most = collections.defaultdict(int)
+    for (_, y), n in count.items():
+        most[y] = max(most[y], n)
+    for d, (a, b, groups, links) in found.items():
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        yield (d, len(a), len(b), len(groups), len(links), sum(count[x] == most[x[1]] for x in links),
+               sum(count[x] for x in links), sha(shown) if a else "")
+
+
+def test_op12(spark, tables):
+    got = rows(spark, "op12_token_alignment")
+    want = list(brute_counts(brute_alignments(tables)))
+    assert len(want) == len(got)
+    for w in want:
+        r = got[w[0]]
+        assert (r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) == w
+
+
+def brute_runs(w):
+    """Every lag by itself, and the smallest period of every stretch found."""
+    n, out = len(w), []
+    code = {}
+    a = np.array([code.setdefault(x, len(code)) for x in w], np.int64)
+    for p in range(1, n // 3 + 1):
+        edge = np.diff(np.r_[False, a[p:] == a[:-p], False].astype(np.int8))
+        for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            size = e - s + p
+            if size >= max(24, 3 * p) and not any((a[s + q:s + size] == a[s:s + size - q]).all() for q in range(1, p)):
+                out.append((s, size, p))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_row(w):
+    from fractions import Fraction
+    runs = brute_runs(w)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    gone = {i for s, size, q in runs for i in range(s + q, s + size)}
+    four = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (len(runs), *four, sha("".join("%d,%d,%d\n" % r for r in runs)),
+            sha(b" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def test_op13(spark, tables):
+    got, changed = rows(spark, "op13_periodic_runs"), 0
+    for d, x in tables.items():
+        w = words(x)
+        h, n = zlib.crc32(str(d).encode()), len(w)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[i if i < a else a + (i - a) % p] for i in range(n)]
+            changed += 1
+        r = got[d]
+        assert (r.n_runs, r.start, r.length, r.period, r.exponent_milli, r.runs_sha256, r.collapsed_sha256) == run_row(w)
+    assert changed > 5 and any(r.n_runs for r in got.values())
+
+
 def test_pipeline_takes_effect(spark, tables):
     import corpus_pipeline as C
     from tidewater.llm import stages
@@ -194,6 +293,6 @@ def test_pipeline_takes_effect(spark, tables):
     assert set(final) == set(text[4]) and all(final[d].decoded_sha256 == sha(x) for d, x in text[4].items())
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_one_query_for_each_operator(n):
     assert sum(q.startswith(f"op{n}_") for q in Q.QUERIES) == 1

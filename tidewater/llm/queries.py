@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (bpe, decontaminate, ngram_join, quality_classifier, quality_rules, recompression, secret_scan,
-                           sharding, token_files, warc_revisits)
+from tidewater.llm import (bpe, decontaminate, ngram_join, periodic_runs, quality_classifier, quality_rules, recompression,
+                           secret_scan, sharding, token_alignment, token_files, tokenization_automaton, warc_revisits)
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,20 @@ def op9(spark, sf_dir):
 @register("op10_histogram_shards")
 def op10(spark, sf_dir):
     return sharding.histogram_shards(table(spark, sf_dir, "documents"))
+
+
+@register("op11_tokenization_automaton")
+def op11(spark, sf_dir):
+    coded = tokenization_automaton.code_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenization_automaton.code_digests(coded)
+
+
+@register("op12_token_alignment")
+def op12(spark, sf_dir):
+    return token_alignment.alignment_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents"))))
