@@ -153,15 +153,18 @@ def cross_service_join(spark: SparkSession, input: str, output: str, run_id: str
 def aggregate_metrics(spark: SparkSession, input: str, output: str, run_id: str,
                       window: str = "30 minutes", mode: str = "normal", accuracy: int = 10000) -> dict:
     """Order KPIs, payment funnel, SLA table and the run summary (JSON).  The
-    rows read are counted by the write of the funnel, which reads the table once."""
+    rows read are counted by the write of the cells, which reads the table once
+    for the funnel and the SLA table; both are finished from the stored cells."""
     root = output.rstrip("/")
     enriched = spark.read.parquet(f"{input.rstrip('/')}/orders_enriched")
     obs = Observation("enriched_read")
     counted = enriched.observe(obs, F.count(F.lit(1)).alias("rows"))
+    writers.write_table(metrics.kpi_cells(counted), f"{root}/kpi_cells", run_id=run_id)
+    cells = spark.read.parquet(f"{root}/kpi_cells")
     tables = {
         "order_metrics": metrics.order_metrics(enriched, window, accuracy),
-        "payment_funnel": metrics.payment_funnel(counted),
-        "sla_metrics": metrics.sla_metrics(enriched, accuracy=accuracy),
+        "payment_funnel": metrics.payment_funnel(cells),
+        "sla_metrics": metrics.sla_metrics(cells),
     }
     for name, df in tables.items():
         writers.write_table(df, f"{root}/{name}", run_id=run_id)

@@ -107,5 +107,7 @@ def with_ctes(body: str, *names: str) -> str:
     parts = []
     for n in order:
         text = CTES[n][1] if n in CTES else _duck_text(n)
-        parts.append(f"{n} AS ({text})")
+        # read by several parts of a query: computed once
+        how = "MATERIALIZED " if n.startswith(("fx_", "dd_")) else ""
+        parts.append(f"{n} AS {how}({text})")
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()

@@ -41,7 +41,7 @@ SELECT payment_method, payment_gateway, payment_status, count(order_id) AS trans
        CAST(CASE WHEN payment_status = 'approved' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS approval_rate
 FROM timeline WHERE payment_status IS NOT NULL GROUP BY ALL""", "timeline"))
 def q_payment_funnel(spark, sf_dir):
-    f = metrics.payment_funnel(_in(spark, sf_dir).timeline())
+    f = metrics.payment_funnel(metrics.kpi_cells(_in(spark, sf_dir).timeline()))
     return (f.withColumn("total_amount", money(F.col("total_amount")))
             .withColumn("avg_amount", rate(F.col("avg_amount"))))
 
@@ -52,7 +52,7 @@ SELECT payment_method, payment_gateway, count(order_id) AS transaction_count,
        round(avg(CASE WHEN payment_status = 'approved' THEN 1.0 ELSE 0.0 END), 6) AS approval_rate
 FROM timeline WHERE payment_status IS NOT NULL GROUP BY ALL""", "timeline"))
 def q_approval_rate(spark, sf_dir):
-    a = metrics.approval_rate(_in(spark, sf_dir).timeline())
+    a = metrics.approval_rate(metrics.kpi_cells(_in(spark, sf_dir).timeline()))
     return a.withColumn("approval_rate", rate(F.col("approval_rate")))
 
 
@@ -63,7 +63,7 @@ SELECT CASE WHEN order_lifecycle_hours <= 24.0 THEN 'within_sla' ELSE 'sla_breac
        round(sum(total_amount), 2) AS affected_revenue
 FROM timeline WHERE order_lifecycle_hours IS NOT NULL GROUP BY ALL""", "timeline"))
 def q_sla_metrics(spark, sf_dir):
-    s = metrics.sla_metrics(_in(spark, sf_dir).timeline())
+    s = metrics.sla_metrics(metrics.kpi_cells(_in(spark, sf_dir).timeline()))
     return (s.withColumn("avg_fulfillment_hours", rate(F.col("avg_fulfillment_hours")))
             .withColumn("affected_revenue", money(F.col("affected_revenue"))))
 

@@ -72,9 +72,8 @@ FROM {fx_base} WHERE k % 9 <> 8
 """,
 }
 
-# Spark-side form of the multi-variant fixtures: the variants of one base row
-# are generated by ``inline`` from a single scan instead of a UNION ALL of
-# filtered scans (same rows; the UNION ALL text stays the DuckDB oracle's).
+# Single-scan forms of the multi-variant fixtures: the variants of one base row
+# are generated from a list instead of a UNION ALL of filtered scans (same rows).
 _SPARK_VARIANTS = {
     "fx_orders": ("""  SELECT b.*, v.seq, v.off, v.event_type, v.status FROM {fx_base} b
   LATERAL VIEW inline(array(
@@ -120,8 +119,28 @@ def _spark_text(name: str) -> str:
     return text.replace("TS '", "TIMESTAMP_NTZ '")
 
 
+_DUCK_VARIANTS = {
+    "fx_orders": """  SELECT * EXCLUDE (v), v.seq AS seq, v.off AS off, v.event_type AS event_type, v.status AS status
+  FROM (SELECT *, unnest([
+    {{'seq': 1, 'off': 0, 'event_type': 'ORDER_CREATED', 'status': 'pending', 'keep': true}},
+    {{'seq': 1, 'off': 0, 'event_type': 'ORDER_CREATED', 'status': 'pending', 'keep': k % 20 = 0}},
+    {{'seq': 2, 'off': 2, 'event_type': 'ORDER_UPDATED', 'status': 'paid', 'keep': k % 3 = 0}},
+    {{'seq': 3, 'off': 5, 'event_type': 'ORDER_COMPLETED', 'status': 'completed', 'keep': st = 'F'}},
+    {{'seq': 4, 'off': 6, 'event_type': 'ORDER_CANCELLED', 'status': 'cancelled', 'keep': k % 11 = 0}}
+  ]) AS v FROM {fx_base}) WHERE v.keep""",
+    "fx_payments": """  SELECT * EXCLUDE (v), v.seq AS seq, v.off AS off, v.status AS status
+  FROM (SELECT *, unnest([
+    {{'seq': 1, 'off': 1, 'status': CASE WHEN k % 4 = 0 THEN 'declined' ELSE 'approved' END, 'keep': k % 10 <> 9}},
+    {{'seq': 2, 'off': 10, 'status': 'approved', 'keep': k % 10 <> 9 AND k % 8 = 0}}
+  ]) AS v FROM {fx_base}) WHERE v.keep""",
+}
+
+
 def _duck_text(name: str) -> str:
-    text = FX_SQL[name].replace("TS '", "TIMESTAMP '")
+    text = FX_SQL[name]
+    if name in _DUCK_VARIANTS:
+        text = text.split("FROM (\n", 1)[0] + "FROM (\n" + _DUCK_VARIANTS[name] + "\n) x\n"
+    text = text.replace("TS '", "TIMESTAMP '")
     return text.format(**{d: d for d in ("orders", "lineitem", "fx_base")})
 
 
