@@ -9,8 +9,9 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import (bpe, decontaminate, ngram_join, quality_classifier, quality_rules, recompression, secret_scan,
-                           sharding, stages, token_files, warc_revisits)
+from test_contracts import brute_alignments, brute_counts, run_row
+from tidewater.llm import (bpe, decontaminate, ngram_join, periodic_runs, quality_classifier, quality_rules, recompression,
+                           secret_scan, sharding, stages, token_alignment, token_files, tokenization_automaton, warc_revisits)
 
 BYTE_BPE, WORD_BPE = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 
@@ -336,13 +337,14 @@ def brute_repeats(rows, window=20):
     rows = [(d, (x or "").encode().split()) for d, x in rows]
     for d, w in rows:
         if d is not None:
+            place = recompression.row_tag(w)
             for i in range(len(w) - window + 1):
                 k = tuple(w[i:i + window])
-                seen[k] = min(seen.get(k, (d, i)), (d, i))
+                seen[k] = min(seen.get(k, (d, i, place)), (d, i, place))
     for d, w in rows:
         gone = np.zeros(len(w), bool)
         for i in range(len(w) - window + 1 if d is not None else 0):
-            if seen[tuple(w[i:i + window])] < (d, i):
+            if seen[tuple(w[i:i + window])] < (d, i, recompression.row_tag(w)):
                 gone[i:i + window] = True
         kept = b" ".join(x for x, g in zip(w, gone) if not g)
         out[(d, len(w), int(gone.sum()), hashlib.sha256(kept).hexdigest())] += 1
@@ -369,10 +371,20 @@ def test_recompression_random(spark, letters):
             a = rnd.randint(0, 10)
             w += p[a:a + rnd.randint(10, 60)]
         rows.append((d, " ".join(w)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    for window in (20, 27):
-        got = collections.Counter(tuple(r) for r in recompression.drop_repeats(docs, window).collect())
-        assert got == brute_repeats(rows, window)
+    for ids in (60, 9, 2):  # one row an id; several texts of one id, equal ones among them
+        placed = [(d % ids, x) for d, x in rows] + ([(d % ids, x) for d, x in rows[::7]] if ids < 60 else [])
+        docs = spark.createDataFrame(placed, "doc_id long, text string").repartition(4)
+        for window in (20, 27):
+            got = collections.Counter(tuple(r) for r in recompression.drop_repeats(docs, window).collect())
+            assert got == brute_repeats(placed, window)
+
+
+def test_recompression_keeps_what_only_one_row_of_an_id_has(spark):
+    text = lambda letter, a, b: " ".join(f"{letter}{i}" for i in range(a, b))
+    rows = [(1, text("a", 0, 25)), (7, text("a", 0, 25)), (7, text("u", 0, 40)), (9, text("u", 15, 40))]
+    got = {(r.doc_id, r.n_words): r.n_removed for r in recompression.drop_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 25): 0, (7, 25): 25, (7, 40): 0, (9, 25): 25}
 
 
 def test_equal_windows_have_equal_phrases():
@@ -475,3 +487,144 @@ def test_stages_on_odd_rows(spark, odd, scratch):
     dirty = spark.createDataFrame([(1, "key: AKIA" + "B" * 16 + " end", 27), (2, "clean", 5), (3, None, None)], "doc_id long, text string, n_chars long")
     out = {r.doc_id: (r.text, r.n_chars) for r in stages.redact_secrets(spark, dirty, sf).collect()}
     assert out == {1: ("key: [secret] end", 17), 2: ("clean", 5), 3: (None, None)}
+
+
+MIXED = ["", "Don't 'S. it's, a.b .", "<|endoftext|> x<|endoftext|>.y <|x|>", "\u0130 I. \u017f \u0149 \u00c9t\u00e9, \u1e9e \u00c5", "e\u0301 \u0301a x\u00a0y \u3000 \x85z",
+         "\x00\x01\x1c q", "12, 3. \u4e2d\u6587 \U0001f600\U0001f600 \u00bd", "a" * 400, "  two  spaces\n\tand lines \r\n", "\u2581 mark", "<0x41> <s> </s> <unk>", " "]
+
+
+def test_automaton_on_odd_rows(spark, odd):
+    out = tokenization_automaton.code_digests(tokenization_automaton.code_documents(odd, WORD_BPE))
+    got = collections.Counter((r.doc_id, r.n_tokens) for r in out.collect())
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORD_BPE)
+    assert got == collections.Counter((r.doc_id, len(t.encode(r.text or "", add_special_tokens=False).ids)) for r in odd.collect())
+    assert tokenization_automaton.code_documents(odd.limit(0), WORD_BPE).count() == 0
+    with pytest.raises(ValueError):
+        tokenization_automaton.compile_tokenizer(P.path("byte_bpe_50k.json"))
+
+
+def test_automaton_equals_the_library():
+    from tokenizers import Tokenizer
+    t, rnd = Tokenizer.from_file(WORD_BPE), random.Random(11)
+    coder = tokenization_automaton.Coder(WORD_BPE, *tokenization_automaton.compile_tokenizer(WORD_BPE))
+    texts = MIXED + ["".join(rnd.choice("aeTh\u00e9\u00c0.,'s1 \u01c5\u0130\u00df\u03a9\u4e2d\u00ad") for _ in range(12)) for _ in range(2000)]
+    texts += ["".join(rnd.choice("thein") for _ in range(rnd.randint(1, 90))) for _ in range(1500)]
+    for x, ids in zip(texts, coder.encode(texts)):
+        want = t.encode(x, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, x
+        assert coder.decode(ids) == t.decode(want, skip_special_tokens=False)
+
+
+def test_gadgets_against_merging_in_turn():
+    """Random merge lists, some useless and some of a symbol with itself, against merging pair after pair."""
+    rnd = random.Random(12)
+    for _ in range(150):
+        symbols = ["a", "b", "c", "a</w>", "b</w>", "c</w>"]
+        merges, made = [], set(symbols)
+        for _ in range(rnd.randint(1, 14)):
+            u, v = rnd.choice([x for x in made if not x.endswith("</w>")]), rnd.choice(sorted(made))
+            if u + v not in made:
+                merges.append((u, v))
+                made.add(u + v)
+            made = set(sorted(made))
+        vocabulary = {x: i for i, x in enumerate(sorted(made))}
+        machine = tokenization_automaton.Automaton(vocabulary, merges)
+        words = ["".join(rnd.choice("abc" if rnd.random() < 0.7 else "a") for _ in range(rnd.randint(1, 12))) for _ in range(40)]
+        for w, ids in zip(words, machine.paths([x.encode() for x in words])):
+            tokens = [*w[:-1], w[-1] + "</w>"]
+            for u, v in merges:
+                out = []
+                for x in tokens:
+                    if out and out[-1] == u and x == v:
+                        out[-1] = u + v + "\0"  # made in this turn: not merged again
+                    else:
+                        out.append(x)
+                tokens = [x.rstrip("\0") for x in out]
+            want = [vocabulary[x] for x in tokens]
+            assert np.frombuffer(ids, "<u4").tolist() == machine.path(w.encode()) == want, (w, merges)
+
+
+def test_alignment_on_odd_rows(spark, odd):
+    a, b = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+    texts = dict(enumerate(MIXED + [r.text for r in odd.collect()]))
+    docs = spark.createDataFrame([(d, x, 1, 2, "c") for d, x in texts.items()], "doc_id long, text string, chunk int, place int, pair string")
+    got = sorted(tuple(r) for r in token_alignment.alignment_counts(docs.repartition(3), a, b).collect())
+    assert got == sorted(brute_counts(brute_alignments(texts)))
+    assert token_alignment.alignment_counts(odd, a, b).count() == odd.count()
+    assert token_alignment.alignment_counts(odd.limit(0), a, b).count() == 0
+
+
+def test_alignment_in_many_chunks(spark, tables, monkeypatch):
+    monkeypatch.setattr(token_alignment, "CHUNK_LINKS", 1)  # a chunk for each slice
+    monkeypatch.setattr("tidewater.llm.common.STEP_BYTES", 2000)
+    a, b = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame(sorted(tables.items()), "doc_id long, text string").repartition(5)
+    assert sorted(tuple(r) for r in token_alignment.alignment_counts(docs, a, b).collect()) == sorted(brute_counts(brute_alignments(tables)))
+
+
+def test_aligned_groups_and_overlaps(spark):
+    a, b = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame(list(enumerate(MIXED)), "doc_id long, text string")
+    aligner = token_alignment.Aligner(a, b)
+    for r in token_alignment.align_documents(docs, a, b).collect():
+        if not r.a_ids:
+            continue
+        ends = [np.cumsum([len(t.bytes[i]) for i in ids]).tolist() for t, ids in ((aligner.a, r.a_ids), (aligner.b, r.b_ids))]
+        assert [ends[0][i] for i in r.cut_a] == [ends[1][i] for i in r.cut_b] == sorted(set(ends[0]) & set(ends[1]))
+        short, long = ends if r.by_a else ends[::-1]
+        for k, (x, y) in enumerate(zip(r.overlap_from, r.overlap_to)):
+            start, end = short[k - 1] if k else 0, short[k]
+            assert list(range(x, y + 1)) == [m for m in range(len(long)) if long[m] > start and (long[m - 1] if m else 0) < end]
+
+
+def test_galloping_ranks():
+    rnd = random.Random(13)
+    for _ in range(300):
+        long = sorted(rnd.sample(range(5000), rnd.randint(1, 400)))
+        short = sorted(rnd.sample(range(long[-1] + 1), min(long[-1], rnd.randint(0, 60)))) + [long[-1]]
+        assert token_alignment.ranks_in(short, long) == np.searchsorted(long, short).tolist()
+
+
+def test_splitters_agree_below_the_limit():
+    quick, library = (lambda t: (t.quick, t.library))(token_alignment.ByteLevel(P.path("byte_bpe_50k.json")))
+    for c in map(chr, range(ord(token_alignment.AGREED))):
+        for x in (f" a{c}b", f" {c}{c} 1{c}", f"x {c}", f"{c}  {c}"):
+            assert quick.encode_ordinary(x) == library.encode(x, add_special_tokens=False).ids, hex(ord(c))
+
+
+def test_periodic_runs_on_odd_rows(spark, odd):
+    digests = periodic_runs.run_digests(periodic_runs.periodic_runs(odd))
+    got = collections.Counter(tuple(r) for r in digests.collect())
+    assert got == collections.Counter((r.doc_id, *run_row((r.text or "").encode().split())) for r in odd.collect())
+    assert periodic_runs.periodic_runs(odd.limit(0)).count() == 0
+    assert periodic_runs.with_periods(odd).count() == odd.count()
+    kept = {r.doc_id: r.text for r in periodic_runs.with_periods(spark.createDataFrame([(None, "a b c")], "doc_id long, text string")).collect()}
+    assert kept == {None: "a b c"}
+
+
+def test_periodic_runs_against_every_lag():
+    rnd = random.Random(14)
+    texts = []
+    for _ in range(400):
+        letters, w = rnd.choice([1, 2, 2, 3, 5, 50]), []
+        for _ in range(rnd.randint(0, 5)):
+            w += [f"w{rnd.randrange(letters)}" for _ in range(rnd.randint(1, 20))]
+            block = w[-rnd.randint(1, min(len(w), 40)):] if rnd.random() < 0.5 else [f"w{rnd.randrange(letters)}" for _ in range(rnd.randint(1, 30))]
+            w += (block * rnd.randint(2, 9))[:rnd.randint(10, 150)]
+        texts.append(" ".join(w))
+    split, codes, first = periodic_runs.word_codes(texts)  # all texts together, as in a slice
+    at, lag = periodic_runs.diagonal_starts(codes, max(map(len, split)))
+    for k, w in enumerate(split):
+        own = (at >= first[k]) & (at < first[k + 1])
+        runs = periodic_runs.online_runs(w, zip((at[own] - first[k]).tolist(), lag[own].tolist()))
+        assert (len(runs), hashlib.sha256("".join("%d,%d,%d\n" % r for r in runs).encode()).hexdigest()) == (run_row(w)[0], run_row(w)[5])
+
+
+def test_periodic_runs_of_one_word_and_of_runs_in_runs():
+    for w, want in ((["a"] * 100_000, [(0, 100_000, 1)]), ((["a"] * 300 + ["b"]) * 100, None)):
+        _, codes, _ = periodic_runs.word_codes([" ".join(w)])
+        at, lag = periodic_runs.diagonal_starts(codes, len(w))
+        assert len(at) < 3 * len(w)
+        runs = periodic_runs.online_runs(w, zip(at.tolist(), lag.tolist()))
+        assert runs == (want or [(0, 300, 1), (0, 30_100, 301)] + [(301 * k, 300, 1) for k in range(1, 100)])

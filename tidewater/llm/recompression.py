@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,12 +189,18 @@ def _shared_phrases(rows: DataFrame) -> DataFrame:
     return rows.repartition(to).sortWithinPartitions("kind", "name", "doc").mapInArrow(handing_back(run), ROWS)
 
 
-WINDOWS = "kind int, name long, more long, doc long, start long"
-FIRST, LATER = 0, 1
+WINDOWS = "name long, more int, doc long, tag long, start int"
+PLACES = "doc long, tag long, start int"
+
+
+def row_tag(words: list[bytes]) -> int:
+    """What tells rows of one key apart: a hash of their words."""
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) >> 1
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """Windows of (doc, text, names) whose phrase is among ``names``: of each slice the first of equal ones, and the later ones."""
+    """Windows of (doc, text, names, many) whose phrase is among ``names``: of each slice the first of equal ones, and the
+    later ones, which have no name and -1 - start.  Only rows of a key with ``many`` texts have a tag."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -210,63 +217,71 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
                 at = w.starts[np.isin(mixed(name + w.doc[w.starts].astype(np.uint64) * STEP), mark)]
                 if not len(at):
                     continue
+                tags = np.array([row_tag(x) if many else 0 for x, many in zip(w.split, part.column(3).to_pylist())], np.int64)
                 one, two = (x[at] for x in window_names(w.h, window))
-                doc, start = w.keys[w.doc[at]], at - w.first[w.doc[at]]
-                order = np.lexsort((start, doc, two, one))
-                one, two, doc, start = one[order].view(np.int64), two[order], doc[order], start[order]
-                new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
-                lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-                later = ~new & ((doc != doc[lead]) | (start != start[lead]))
-                for kind, which in ((FIRST, new), (LATER, later)):
-                    if which.any():
-                        yield arrow(WINDOWS, kind=np.full(which.sum(), kind), name=one[which], more=two[which],
-                                    doc=doc[which], start=start[which])
+                doc, tag, start = w.keys[w.doc[at]], tags[w.doc[at]], at - w.first[w.doc[at]]
+                order = np.lexsort((tag, start, doc, two, one))
+                one, two, doc, tag, start = (x[order] for x in (one.view(np.int64), two, doc, tag, start))
+                new, later = _first_and_later(one, two, doc, tag, start)
+                yield arrow(WINDOWS, name=one[new], more=two[new], doc=doc[new], tag=tag[new], start=start[new])
+                if later.any():
+                    none = [None] * int(later.sum())
+                    yield arrow(WINDOWS, name=none, more=none, doc=doc[later], tag=tag[later], start=-1 - start[later])
 
     return docs.mapInArrow(handing_back(run), WINDOWS)
 
 
+def _first_and_later(name, more, doc, tag, start):
+    """Of windows sorted by names and place: the first of each name, and those that lie elsewhere than the first.
+
+    Equal rows of one key are one place.
+    """
+    new = np.r_[True, (name[1:] != name[:-1]) | (more[1:] != more[:-1])]
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    return new, ~new & ((doc != doc[lead]) | (start != start[lead]) | (tag != tag[lead]))
+
+
 def _later_windows(rows: DataFrame) -> DataFrame:
-    """(doc, start) of every window with an equal one before it; streams like _shared_phrases."""
+    """Place of every window with an equal one before it; streams like _shared_phrases."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # names, doc and start of the first window of the last group
+        last = None  # names and place of the first window of the last group
         for batch in batches:
-            kind, name, more, doc, start = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if not len(kind):
-                continue
-            told = kind == LATER
-            if told.any():
-                yield arrow("doc long, start long", doc=doc[told], start=start[told])
-            name, more, doc, start = (x[~told] for x in (name, more, doc, start))
-            if not len(name):
+            told = batch.filter(pa.compute.is_null(batch.column(0)))
+            if told.num_rows:
+                doc, tag, start = (told.column(i).to_numpy() for i in (2, 3, 4))
+                yield arrow(PLACES, doc=doc, tag=tag, start=-1 - start)
+            columns = [c.to_numpy() for c in batch.filter(pa.compute.is_valid(batch.column(0))).columns]
+            if not len(columns[0]):
                 continue
             if last is not None:
-                name, more, doc, start = (np.r_[v, x] for v, x in zip(last, (name, more, doc, start)))
-            new = np.r_[True, (name[1:] != name[:-1]) | (more[1:] != more[:-1])]
-            lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            later = ~new & ((doc != doc[lead]) | (start != start[lead]))
-            last = tuple(x[lead[-1]] for x in (name, more, doc, start))
+                columns = [np.r_[v, x] for v, x in zip(last, columns)]
+            new, later = _first_and_later(*columns)
+            k = len(new) - 1 - int(np.argmax(new[::-1]))
+            last = [x[k] for x in columns]
             if later.any():
-                yield arrow("doc long, start long", doc=doc[later], start=start[later])
+                yield arrow(PLACES, **{n: x[later] for n, x in zip(("doc", "tag", "start"), columns[2:])})
 
-    to = F.when(F.col("kind") == FIRST, F.col("name")).otherwise(F.xxhash64("doc", "start"))
-    ordered = rows.repartition(to).sortWithinPartitions("kind", "name", "more", "doc", "start")
-    return ordered.mapInArrow(handing_back(run), "doc long, start long")
+    to = F.coalesce("name", F.xxhash64("doc", "start"))
+    ordered = rows.repartition(to).sortWithinPartitions("name", "more", "doc", "start", "tag")
+    return ordered.mapInArrow(handing_back(run), PLACES)
 
 
 KEPT = "doc long, sha string, n_removed long, kept_sha string"
 
 
 def _kept(docs: DataFrame, window: int) -> DataFrame:
-    """Of (doc, text, starts): digest of the words, number of those that a window from ``starts`` covers, digest of the others."""
+    """Of (doc, text, many, starts, tags): digest of the words, number of those that a window from ``starts``
+    covers, digest of the others; starts of other rows of the key have other tags."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in spans_of_rows(batch, "text"):
                 out = ([], [], [], [])
-                for doc, x, starts in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
+                for doc, x, many, starts, tags in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                                      part.column(2).to_pylist(), part.column(3), part.column(4)):
                     words = (x or "").encode().split()
                     edge = np.zeros(len(words) + 1, np.int64)
                     at = starts.values.to_numpy(zero_copy_only=False)
-                    at = at[at + window <= len(words)]
+                    at = at[tags.values.to_numpy(zero_copy_only=False) == (row_tag(words) if many else 0)]
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + window, -1)
                     gone = np.cumsum(edge[:-1]) > 0
@@ -286,21 +301,25 @@ def drop_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: s
     Every window of the corpus is judged, on the input as it was.  Texts move once, by key, and those
     with repeats once more; phrases and windows move as hashes, one row for each slice of documents
     that has them, so no hot passage meets in one task.  A null or empty text has no words.  A row with a null
-    key has no place in the order: it is kept whole and not compared.  Rows of equal key are one
-    place: an equal window at the same word of the same key is no earlier one.  No rows give none.
+    key has no place in the order: it is kept whole and not compared.  Rows of one key and different words are
+    ordered by start, then by a hash of their words; rows of one key and equal words are one place, whose windows
+    repeat nothing in one another.  No rows give none.
     """
     if window < 20:
         raise ValueError("two rounds leave four symbols only of windows of 20 words or more")
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     named = stored(_shared_phrases(_phrase_rows(rows, window)), "phrases")
     whole = named.where(F.col("kind") == DOC).select("doc", F.col("n").alias("n_words"), "sha")
-    # a document's phrases are no more than its words
-    shared = named.where(F.col("kind") == SHARED).groupBy("doc").agg(F.collect_list("name").alias("names"))
-    some = stored(rows.join(shared.hint("merge"), "doc"), "repeat-texts")
+    # a row's phrases are no more than its words
+    shared = (named.where("doc IS NOT NULL").groupBy("doc").agg(
+        F.collect_list(F.when(F.col("kind") == SHARED, F.col("name"))).alias("names"), (F.min("sha") < F.max("sha")).alias("many"))
+        .where(F.size("names") > 0))
+    some = stored(rows.join(shared.hint("merge"), "doc").select("doc", "text", "names", "many"), "repeat-texts")
     later = stored(_later_windows(_windows(some, window)), "later-windows")
-    starts = later.groupBy("doc").agg(F.collect_set("start").alias("starts"))
-    kept = _kept(some.select("doc", "text").join(starts.hint("merge"), "doc").select("doc", "text", "starts"), window)
-    kept = kept.dropDuplicates(["doc", "sha"])  # rows of equal key
+    starts = later.groupBy("doc").agg(F.collect_set(F.struct("start", "tag")).alias("at"))
+    starts = starts.select("doc", F.col("at.start").alias("starts"), F.col("at.tag").alias("tags"))
+    kept = _kept(some.select("doc", "text", "many").join(starts.hint("merge"), "doc").select("doc", "text", "many", "starts", "tags"), window)
+    kept = kept.dropDuplicates(["doc", "sha"])  # equal rows of one key
     return (whole.join(kept, ["doc", "sha"], "left")
             .select(F.col("doc").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("kept_sha", "sha").alias("kept_sha256")))
