@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.rules import as_of_col
 from tidewater.schemas import SERVICES
+from tidewater.sinks.event_log import HOUR, hour_of
 
 
 def recovery_slice(events: DataFrame, failed_services=("all",), window_hours: int = 2, as_of=None,
@@ -15,7 +16,8 @@ def recovery_slice(events: DataFrame, failed_services=("all",), window_hours: in
 
     ``all`` selects every service.  With ``strict`` an unknown service name
     raises instead of being skipped (recovery mode tolerates no failure).
-    On a table partitioned by service the ``isin`` prunes directories.
+    On a table partitioned by service the ``isin`` prunes directories, and on
+    a log laid out by hour (sinks/event_log.py) the hours of the window prune as well.
     """
     names = list(failed_services)
     if "all" in names:
@@ -26,7 +28,10 @@ def recovery_slice(events: DataFrame, failed_services=("all",), window_hours: in
     names = [n for n in names if n in SERVICES]
     end = as_of_col(as_of)
     start = end - F.make_dt_interval(F.lit(0), F.lit(window_hours))
-    return events.filter(F.col(service_col).isin(*names) & (F.col(ts_col) > start) & (F.col(ts_col) <= end))
+    kept = events.filter(F.col(service_col).isin(*names) & (F.col(ts_col) > start) & (F.col(ts_col) <= end))
+    if HOUR in events.columns:
+        kept = kept.filter(F.col(HOUR).between(hour_of(start), hour_of(end)))
+    return kept
 
 
 def _per_key(df: DataFrame, key: str, compare: tuple[str, ...], side: str) -> DataFrame:

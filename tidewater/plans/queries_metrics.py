@@ -79,11 +79,14 @@ def q_run_summary(spark, sf_dir):
 
 # ---------------------------------------------------------------- running stock
 
-@register("inventory_running", with_ctes("""
+STOCK_SQL = """
 SELECT *, CASE WHEN running_quantity < 10 THEN 'high' WHEN running_quantity < 50 THEN 'medium' ELSE 'low' END
           AS stockout_risk
 FROM (SELECT *, CAST(sum(quantity_delta) OVER (PARTITION BY sku, warehouse_id ORDER BY "timestamp") AS BIGINT)
-          AS running_quantity FROM valid_inventory)""", "valid_inventory"))
+          AS running_quantity FROM valid_inventory)"""
+
+
+@register("inventory_running", with_ctes(STOCK_SQL, "valid_inventory"))
 def q_inventory_running(spark, sf_dir):
     return inventory.inventory_running(_in(spark, sf_dir).valid(INVENTORY))
 

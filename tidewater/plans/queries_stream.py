@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from tidewater.plans.oracle import add_cte, valid_expr, with_ctes
 from tidewater.plans.queries import _in, money, register
-from tidewater.schemas import CORRUPT_COL, ORDERS
+from tidewater.plans.queries_metrics import STOCK_SQL
+from tidewater.schemas import CORRUPT_COL, INVENTORY, ORDERS, schema_for
 from tidewater.session import scratch_path
 from tidewater.sinks import writers
 from tidewater.sources.fixtures import AS_OF
 from tidewater.sources.readers import normalise_timestamps
-from tidewater.streaming import twin
+from tidewater.functions.rules import all_pass, rules_for
+from tidewater.operators import timeline
+from tidewater.streaming import keyed, twin
 
 WATERMARK = "1 hour"
 
@@ -64,3 +67,49 @@ def q_stream_order_kpis(spark, sf_dir):
                                              as_of=AS_OF))
     k = normalise_timestamps(spark.read.parquet(out))
     return k.withColumn("revenue", money(F.col("revenue")))
+
+
+# ---------------------------------------------------------------- F1, F4 as streams
+
+def _deliveries(spark, sf_dir, service, arrival, until):
+    """Land the raw events in deliveries by time of ``arrival``, one after the other; yields the landing folder after each."""
+    raw = _in(spark, sf_dir).raw(service).withColumn("service", F.lit(service))
+    root = scratch_path(spark, "stream-landing")
+    for since, end in zip((None, *until), (*until, None)):
+        kept = F.lit(True) if since is None else arrival >= F.lit(since).cast("timestamp_ntz")
+        part = raw.where(kept if end is None else kept & (arrival < F.lit(end).cast("timestamp_ntz")))
+        part.drop("service").write.mode("append").options(**writers.TEXT_TS_OPTIONS).json(f"{root}/{service}")
+        yield f"{root}/{service}"
+
+
+@register("stream_orders_latest", with_ctes("""
+SELECT order_id, customer_id, status AS order_status, total_amount, currency, items_count, "timestamp" AS order_updated_at
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY "timestamp" DESC, event_id DESC) AS _rn
+      FROM stream_valid_orders WHERE event_type IN ('ORDER_CREATED', 'ORDER_UPDATED', 'ORDER_COMPLETED'))
+WHERE _rn = 1""", "stream_valid_orders"))
+def q_stream_orders_latest(spark, sf_dir):
+    """F1 as a stream: three deliveries out of order, the stream stopped and started between them."""
+    table, checkpoint = None, scratch_path(spark, "stream-checkpoint")
+    # an event comes up to twelve hours after its time
+    arrival = F.col("timestamp") + F.make_dt_interval(hours=F.pmod(F.xxhash64("order_id", "event_type"), F.lit(13)).cast("int"))
+    for src in _deliveries(spark, sf_dir, ORDERS, arrival, ("2024-01-15 18:00:00", "2024-01-16 12:00:00")):
+        events = normalise_timestamps(twin.stream_service_events(spark, src, ORDERS)).drop(CORRUPT_COL)
+        events = events.filter(all_pass(rules_for(ORDERS, AS_OF, events.columns))
+                               & F.col("event_type").isin(*timeline.ORDER_STATE_TYPES))
+        table = table or keyed.LatestTable(spark, scratch_path(spark, "latest"), "order_id", events.schema, buckets=16)
+        keyed.run_batches(events, table.merge, checkpoint)
+    return timeline.orders_latest(table.read())
+
+
+@register("stream_running_stock", with_ctes(f"""
+SELECT * FROM ({STOCK_SQL.replace('FROM valid_inventory', 'FROM fx_inventory')})
+WHERE "timestamp" <= (SELECT max("timestamp") FROM fx_inventory) - INTERVAL 30 DAY""", "fx_inventory"))
+def q_stream_running_stock(spark, sf_dir):
+    """F4 as a stream: events come up to 30 days late in three deliveries; the last 30 days wait in the state."""
+    stock, checkpoint = None, scratch_path(spark, "stream-checkpoint")
+    arrival = F.col("timestamp") + F.make_dt_interval(days=F.pmod(F.xxhash64("event_id"), F.lit(30)).cast("int"))
+    for src in _deliveries(spark, sf_dir, INVENTORY, arrival, ("1994-06-01 00:00:00", "1996-06-01 00:00:00")):
+        events = normalise_timestamps(twin.stream_service_events(spark, src, INVENTORY)).drop(CORRUPT_COL)
+        stock = stock or keyed.StockStream(spark, scratch_path(spark, "stock"), events.schema, "30 DAYS")
+        keyed.run_batches(events, stock.take, checkpoint)
+    return stock.out()

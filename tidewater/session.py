@@ -65,3 +65,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused sub-folder of the shared folder."""
     return f"{shared_dir(spark)}/tidewater-scratch/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def partition_folder(spark: SparkSession, column: str, value: str) -> str:
+    """The folder that a partitioned write gives to ``value``."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{column}={names.escapePathName(value)}"
