@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow, spans_of_rows, stored
+from tidewater.llm.common import arrow, handing_back, spans_of_rows, stored
 from tidewater.session import scratch_path
 
 #: Fixed values of the zstd seekable format.
@@ -184,8 +184,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
     it names only files of tasks that Spark committed.  One range exchange of the
     texts; a task holds one frame.  A null text is empty (only ``end_id``), null keys
     come first, repeated keys stay separate documents in order of their text; a text longer than a
-    frame gets a frame of its own.
+    frame gets a frame of its own.  A tokenizer of another kind than the Encoder's raises.
     """
+    from tidewater.llm.tokenization_automaton import read_tokenizer
+
+    read_tokenizer(tokenizer)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -203,7 +207,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
-    return stored(ordered.mapInArrow(write, INDEX), "token-index")
+    return stored(ordered.mapInArrow(handing_back(write), INDEX), "token-index")
 
 
 def frame_starts(index: DataFrame) -> DataFrame:
@@ -216,14 +220,18 @@ def frame_starts(index: DataFrame) -> DataFrame:
             .join(files, "part").withColumn("start", F.col("base") + F.col("inside")).drop("base", "inside"))
 
 
+#: Ids that a task reads back, about.
+TASK_TOKENS = 4 << 20
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def read_tokens(index: DataFrame, folder: str, wanted: list[int] | None = None) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, or of ``wanted`` (a small list), from the files.
 
-    With ``wanted`` only frames whose doc_id range holds one of them are read.
+    With ``wanted`` only frames whose doc_id range holds one of them are read.  The index is small and would be one
+    task, so its frames are dealt out by the ids that they hold: neighbouring frames of a file together.
     """
+    tasks = -(-(index.agg(F.sum("n_tokens")).first()[0] or 0) // TASK_TOKENS)
     frames = frame_starts(index)
     if wanted is not None:
         frames = frames.where(F.exists(F.array(*map(F.lit, wanted)).cast("array<long>"),
@@ -243,7 +251,8 @@ def read_tokens(index: DataFrame, folder: str, wanted: list[int] | None = None)
                 if rows:
                     yield arrow(DOCS, **dict(zip(("doc_id", "start", "n_tokens", "ids_crc32"), zip(*rows))))
 
-    return frames.select("file", "frame", "start").mapInArrow(read, DOCS)
+    dealt = frames.select("file", "frame", "start").repartition(max(1, int(tasks)), "file", F.floor(F.col("frame") / 4))
+    return dealt.sortWithinPartitions("file", "frame").mapInArrow(handing_back(read), DOCS)
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None,
