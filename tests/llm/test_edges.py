@@ -58,6 +58,61 @@ def test_ngram_join_random_near_copies(spark):
         assert got == {d: top(d) for d in sets}
 
 
+def test_ngram_join_of_many_short_texts(spark):
+    """Short sets often have empty blocks: no link is lost, and they gather in no list."""
+    rnd, base = random.Random(6), [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(60):
+        text = [rnd.choice(base) for _ in range(rnd.choice([3, 5, 8, 12, 20, 30, 45]))]
+        for _ in range(rnd.randint(1, 8)):
+            t = list(text)
+            for _ in range(rnd.randint(0, 2)):
+                t[rnd.randrange(len(t))] = rnd.choice(base)
+            if rnd.random() < 0.5:
+                t += [rnd.choice(base) for _ in range(rnd.randint(1, 3))]
+            rows.append((len(rows), " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for n, num in ((1, 50), (1, 80), (2, 70), (5, 80)):
+        hashes = ngram_join.WordHashes()
+        sets = {d: set(ngram_join.shingle_set(x, n, hashes).tolist()) for d, x in rows}
+        root = {d: d for d in sets}
+
+        def top(d):
+            while root[d] != d:
+                d = root[d]
+            return d
+
+        for a in range(len(rows)):
+            for b in range(a + 1, len(rows)):
+                if 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                    x, y = sorted((top(a), top(b)))
+                    root[y] = x
+        got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs, n, ngram_join.Threshold(num, 100)).collect()}
+        assert got == {d: top(d) for d in sets}
+
+
+@pytest.mark.parametrize("num", [80, 90])
+@pytest.mark.parametrize("size", [1, 4, 10, 20, 60, 300])
+def test_unrelated_sets_share_no_list(size, num):
+    rnd, threshold = np.random.default_rng(size), ngram_join.Threshold(num, 100)
+    ranges = ngram_join.bands(threshold, 4 * size + 4)
+    own = next(i for i, (_, high) in enumerate(ranges) if size <= high)
+    keys = collections.Counter()
+    for _ in range(4000):
+        s = np.sort(rnd.integers(0, 1 << 63, size, dtype=np.uint64) << np.uint64(1))
+        for band in (own, own + 1):
+            keys.update(set(ngram_join.block_keys(s, band, ranges[band][1], threshold).tolist()))
+    assert max(keys.values()) == 1
+
+
+def test_filter_before_texts_move(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc"), F.lit("x").alias("text"))
+    asked = rows.where("doc % 100 = 7").select("doc")
+    left = {r.doc for r in ngram_join._filtered(rows, asked).collect()}
+    assert {r.doc for r in asked.collect()} <= left and len(left) < 300
+    assert ngram_join._filtered(rows, asked.limit(0)).count() == 0
+
+
 def test_member_links_over_parts(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "TOGETHER", 7)  # the members of one leader meet in many tasks
     test_ngram_join_random_near_copies(spark)

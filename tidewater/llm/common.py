@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import scratch_path
+from tidewater.session import delete_folders, scratch_path
 
 #: Bytes of text that a Python worker handles at a time.
 STEP_BYTES = 2 << 20
@@ -33,7 +33,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*steps: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once all that reads it is written too."""
+    for step in steps:
+        delete_folders(step.sparkSession, [step.stored_at])
 
 
 def handing_back(run: Callable) -> Callable:

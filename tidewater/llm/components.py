@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored
+from tidewater.llm.common import release, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -29,8 +29,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        before, mark = mark, _mark(e)
+        after = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        release(e)
+        e, before, mark = after, mark, _mark(after)
         if mark == before:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -5,7 +5,8 @@ hashes).  Its positions are cut in blocks by hash range; index lists hold the
 sets that have one block in common, by position and content.  Two sets at the
 threshold differ in at most k shingles, so of k + 1 + s blocks they share s + 1
 at least: a set skips its s least telling blocks (those of fewest shingles) and all lists of
-other positions, and still meets every partner.
+other positions, and still meets every partner.  Blocks without shingles say nothing and make no lists.  Sets that
+share nothing but such blocks are met by their first k + 1 shingles in the global order, one of which they must have in common.
 
 The sets of a list are then answered from one of them, its leader: each is
 compared with the leader; who links with it shares the leader's component and
@@ -20,12 +21,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow, handing_back, spans_of_rows, stored
+from tidewater.llm.common import arrow, handing_back, release, spans_of_rows, stored
 from tidewater.llm.components import components
 
 #: Distinct words whose hashes a worker remembers before it starts anew.
@@ -99,9 +101,14 @@ def block_keys(s: np.ndarray, band: int, high: int, threshold: Threshold) -> np.
     counts = np.diff(edges)
     keys = mixed(mixed(sums[edges[1:]] - sums[edges[:-1]]) + np.arange(m, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                  + np.uint64(band << 40))
-    if skipped:  # the same order of blocks for every set: fewest shingles first, then by key
-        keys = keys[np.lexsort((keys, counts))[skipped:]]
-    return keys
+    order = np.lexsort((keys, counts))[skipped:]  # the same order of blocks for every set: fewest shingles first, then by key
+    full = counts[order] > 0
+    empty = keys[order[~full]]
+    if not len(empty):
+        return keys[order]
+    # under each empty block that is not skipped: two sets differ in k shingles at most, so of the first k + 1 they share one
+    first = mixed(s[:k + 1] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    return np.concatenate([keys[order[full]], mixed(first[None, :] ^ empty[:, None]).ravel()])
 
 
 ROWS = "kind int, key long, doc long, lead long, n long"
@@ -228,9 +235,36 @@ def _labelled(star: DataFrame, comp: DataFrame) -> DataFrame:
     return star
 
 
+#: Bits of the filter over the documents that are asked for: 8 MB, whatever their number.
+FILTER_BITS = 1 << 26
+
+
+def _filtered(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``doc`` is not in ``asked``, told by a bitmap of fixed size before they move.
+
+    It drops no row that is asked for; the more are asked for, the more others stay.
+    """
+    place = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+    bits = asked.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()  # FILTER_BITS in all at most
+    table = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+    for r in bits:
+        table[r["b"] * 4096:(r["b"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    whole = rows.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def may(p: pd.Series) -> pd.Series:
+        # positions are counted as the aggregate does: buckets from 1, bits from 0
+        p = p.to_numpy()
+        bucket, bit = np.where(p > 0, 1 + (p - 1) // 32768, 0), np.where(p > 0, (p - 1) % 32768, 0)
+        return pd.Series((whole.value[bucket * 4096 + bit // 8] >> (bit % 8)) & 1 == 1)
+
+    return rows.where(F.col("doc").isNotNull()).where(may(place))
+
+
 LINKS = "doc long, lead long"
-#: Members of a leader that are compared with each other at a time.
-TOGETHER = 1024
+#: Members of a leader that are compared with each other at a time, and bytes of their differences.
+TOGETHER, TOGETHER_BYTES = 1024, 4 << 20
 
 
 def _linked(differ: list[np.ndarray], size: np.ndarray, threshold: Threshold) -> np.ndarray:
@@ -264,8 +298,8 @@ def _member_links(members: DataFrame, threshold: Threshold) -> DataFrame:
     """members: lead, doc, comp, size, differ (from the lead; the lead itself has none).
 
     Links between members of different components, as few as connect those
-    components.  Members of one lead are dealt into parts of about TOGETHER and each two parts
-    meet in a task, so that none holds more than two parts however many share a lead.
+    components.  Members of one lead are dealt into parts of about TOGETHER, fewer where their differences are
+    long, and each two parts meet in a task, so that none holds more than two parts however many share a lead.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(rows: list[tuple]):
@@ -302,8 +336,8 @@ def _member_links(members: DataFrame, threshold: Threshold) -> DataFrame:
         if held:
             yield from links(held)
 
-    count = members.groupBy("lead").agg(F.count("*").alias("n"))
-    parts = F.ceil(F.col("n") / TOGETHER).cast("int")
+    count = members.groupBy("lead").agg(F.count("*").alias("n"), F.sum(F.length("differ")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / TOGETHER), F.ceil(F.col("bytes") / TOGETHER_BYTES)).cast("int")
     dealt = (members.join(count, "lead").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}))
@@ -324,8 +358,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
     as any of them does.  No rows give none.
     """
     rows = stored(_lists(_index_rows(docs, n, threshold, key, text)), "jaccard-lists")
-    sizes = rows.where(F.col("kind") == SIZE).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"))
-    copies = rows.where(F.col("kind") == COPY).select("doc", "lead")
+    small = stored(rows.where(F.col("kind").isin(SIZE, COPY)).select("kind", "doc", "lead", "n"), "jaccard-sizes")
+    sizes = small.where(F.col("kind") == SIZE).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"))
+    copies = small.where(F.col("kind") == COPY).select("doc", "lead")
     star = rows.where(F.col("kind") == STAR).select("key", "doc", "lead")
     firsts = rows.where(F.col("kind") == FIRSTS).select("key", "doc", "lead")
 
@@ -334,11 +369,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
     star = star.join(above, ["key", "lead"], "left").select("key", "doc", F.coalesce("above", "lead").alias("lead"))
     met = star.union(firsts).where("doc != lead").groupBy("doc", "lead").agg(F.count("*").alias("lists"))
     met = stored(met, "jaccard-met")
+    release(rows)
     best = met.groupBy("doc").agg(F.max(F.struct("lists", (-F.col("lead")).alias("lead"))).alias("m")).select(
         "doc", (-F.col("m.lead")).alias("lead"))
     leads = met.select(F.col("lead").alias("doc")).distinct().withColumn("leads", F.lit(True))
-    asked = best.join(leads, "doc", "full").withColumn("leads", F.coalesce("leads", F.lit(False)))
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(asked.hint("merge"), "doc")
+    asked = stored(best.join(leads, "doc", "full").withColumn("leads", F.coalesce("leads", F.lit(False))), "jaccard-asked")
+    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    texts = _filtered(texts, asked).join(asked.hint("merge"), "doc")
     sets = stored(_sets(texts, n, "doc", "text", "lead long, leads boolean"), "jaccard-sets")
     right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
     done = stored(_compare(sets.where("lead is not null").select("doc", "s", "lead").join(right.hint("merge"), "lead")), "jaccard-pairs")
@@ -361,7 +398,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
         label = comp.select(F.col("node").alias("doc"), F.col("component").alias("comp"))
         members = members.join(label, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
         edges = edges.union(stored(_member_links(members, threshold), "jaccard-links"))
+        release(compared)
         comp = components(edges, "doc", "lead")
+    release(sets)
 
     return (sizes.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
