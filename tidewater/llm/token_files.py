@@ -107,6 +107,17 @@ class Encoder:
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of a Python worker, with the words of its earlier tasks (REMEMBERED at most)."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 class FrameWriter:
     """Writes one file; ``frames`` holds what the index says of each frame."""
 
@@ -194,7 +205,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, writer, end = Encoder(tokenizer), None, struct.pack("<I", end_id)
+        encoder, writer, end = worker_encoder(tokenizer), None, struct.pack("<I", end_id)
         for batch in batches:
             for part in spans_of_rows(batch, "text"):
                 writer = writer or FrameWriter(folder, TaskContext.get().partitionId(), frame_bytes)

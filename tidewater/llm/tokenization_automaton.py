@@ -31,7 +31,7 @@ from tidewater.llm.common import handing_back, spans_of_rows
 from tidewater.llm.token_files import byte_letters
 
 #: Words whose ids, and arcs whose answers, a worker remembers; then it starts anew, so its memory is bounded.
-REMEMBERED, ARCS = 200_000, 1_000_000
+REMEMBERED, ARCS = 400_000, 1_000_000
 #: Pieces up to so many bytes take their transitions together, so many at a time.
 TOGETHER, AT_A_TIME = 48, 20_000
 
@@ -305,6 +305,17 @@ class Coder:
         return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+_CODERS: dict[str, Coder] = {}
+
+
+def worker_coder(path: str, automaton: Automaton, special: dict[str, int]) -> Coder:
+    """The coder of a Python worker, with the words of its earlier tasks (REMEMBERED at most)."""
+    if path not in _CODERS:
+        _CODERS.clear()
+        _CODERS[path] = Coder(path, automaton, special)
+    return _CODERS[path]
+
+
 CODED = "doc_id long, ids binary, decoded string"
 
 
@@ -319,7 +330,7 @@ def code_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
     automaton, special = compile_tokenizer(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(tokenizer, automaton, special)
+        coder = worker_coder(tokenizer, automaton, special)
         for batch in batches:
             for part in spans_of_rows(batch, "text"):
                 ids = coder.encode([x or "" for x in part.column(1).to_pylist()])
