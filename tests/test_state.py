@@ -10,13 +10,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from small_tables import SF_SMALL
-from tidewater.operators import calendar, dedup, metrics, recovery, sketches, timeline
+from tidewater.operators import calendar, dedup, inventory, metrics, recovery, salted, sketches, timeline
 from tidewater.operators.incremental import SERVICES, KpiState
 from tidewater.operators.ledger import Ledger, dedup_run
 from tidewater.plans.queries import _in
 from tidewater.plans.queries_state import _earlier_state
 from tidewater.schemas import ORDERS, PAYMENTS
+from tidewater.sinks.bucketed import BucketedTables
 from tidewater.sinks.event_log import read_event_log, write_event_log
+from tidewater.streaming.keyed import LatestTable, StockStream
 
 T0 = dt.datetime(2024, 1, 15)
 
@@ -215,3 +217,80 @@ def test_a_gap_does_not_widen_the_span(spark):
     z = {(r.order_status, (r.window_start - T0) // half): r for r in calendar.dense_anomalies(kpis, windows=2).collect()}
     assert z[("paid", 5)].trailing_n == 2 and z[("paid", 5)].z_score is None and z[("paid", 2)].trailing_mean == 15.0
     assert calendar.dense_trend(kpis.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ buckets, hot keys
+
+def test_the_timeline_of_bucketed_tables_has_no_exchange(spark, scratch):
+    final, tables = _valid(spark), BucketedTables(spark, scratch("bucketed"), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for s in SERVICES:
+            tables.write(final[s].limit(3), s[:5])
+            tables.write(final[s], s[:5])  # replaces the version before
+        out = timeline.order_timeline(*(tables.read(s[:5]) for s in SERVICES))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert as_rows(out) == as_rows(timeline.order_timeline(*(final[s] for s in SERVICES)))
+        hot = final[SERVICES[0]].withColumn("order_id", F.lit("one order"))
+        tables.hot, tables.hot_bytes = 2.0, 0
+        tables.write(hot, "hot")
+        read = tables.read("hot")  # all in one bucket: plain files
+        assert "Bucketed: true" not in read._jdf.queryExecution().executedPlan().toString() and as_rows(read) == as_rows(hot)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        tables.drop()
+
+
+def test_hot_keys_by_sketch(spark):
+    left = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
+        F.concat(F.lit("k"), F.col("id") % 5000)).alias("key"), F.col("id").cast("string").alias("row"))
+    right = left.select("key").distinct().withColumn("v", F.length("key"))
+    salts = salted.sketched_salts(left, "key", 1000, tracked=1000, hottest=10).collect()
+    assert [(r.key, r._salts) for r in salts] == [("hot", 10)]
+    for how in ("left", "inner"):
+        got = salted.salted_join(left, right, "key", "row", how, 1000, sketch=True)
+        assert as_rows(got) == as_rows(left.join(right, "key", how).select(got.columns))
+    assert salted.sketched_salts(left.limit(0), "key", 10).count() == 0
+
+
+# ------------------------------------------------------------ streams into tables
+
+def test_latest_table_takes_batches_in_any_order_and_again(spark, scratch):
+    rnd = random.Random(5)
+    rows = [(f"e{n}", f"o{rnd.randrange(40)}" if n % 30 else None, T0 + dt.timedelta(minutes=rnd.randrange(500)), f"s{n}") for n in range(400)]
+    schema = "event_id string, order_id string, timestamp timestamp_ntz, status string"
+    batches = [spark.createDataFrame(rows[a:a + 100], schema) for a in (200, 0, 300, 100)]
+    table = LatestTable(spark, scratch("latest"), "order_id", batches[0].schema, buckets=4)
+    for n, b in enumerate(batches):
+        table.merge(b, n)
+        if n == 2:
+            table.merge(b, n)  # replayed
+    table.merge(batches[0].limit(0), 9)
+    best = {}
+    for r in rows:
+        if r[1] is not None:
+            best[r[1]] = max(best.get(r[1], r), r, key=lambda x: (x[2], x[0]))
+    assert {(r.event_id, r.order_id, r.timestamp, r.status) for r in table.read().collect()} == set(best.values())
+
+
+def test_running_stock_of_a_stream(spark, scratch):
+    rnd = random.Random(6)
+    schema = ("event_id string, sku string, warehouse_id string, event_type string, quantity_delta long, quantity_after long, "
+              "timestamp timestamp_ntz, service_version string")
+    rows = [(f"e{n}", f"s{rnd.randrange(3)}", None if n % 11 == 0 else "w", "X", rnd.choice([None, 1, -2, 5]), None,
+             T0 + dt.timedelta(minutes=n // 2), "1") for n in range(400)]
+    arrival = sorted(rows, key=lambda r: (r[6] + dt.timedelta(minutes=int(r[0][1:]) * 7 % 30), r[0]))  # up to half an hour late
+    parts = [spark.createDataFrame(arrival[a:b], schema) for a, b in ((0, 150), (150, 260), (260, 400))]
+    stream = StockStream(spark, scratch("stock"), parts[0].schema, "30 MINUTES")
+    for n, p in enumerate(parts):
+        stream.take(p, n)
+        stream.take(p, n)  # replayed
+    stream.take(spark.createDataFrame([("late", "s0", "w", "X", 100, None, T0, "1")], schema), 3)
+    stream.take(parts[0].limit(0), 4)
+    whole = inventory.inventory_running(spark.createDataFrame(rows, schema))
+    until = max(r[6] for r in rows) - dt.timedelta(minutes=30)
+    got = stream.out()
+    assert got.count() > 300 and as_rows(got) == as_rows(whole.where(F.col("timestamp") <= F.lit(until)).select(got.columns))
+    assert [r.event_id for r in stream.out("late").collect()] == ["late"]
+    assert got.count() + stream.waiting(4).count() == len(rows)

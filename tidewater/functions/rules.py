@@ -31,6 +31,7 @@ def rules_for(service: str, as_of=None, columns: list[str] | None = None) -> lis
     A predicate may evaluate to NULL (e.g. NULL amount); callers treat NULL as
     a failure so valid + invalid always equals the row count.
     """
+    # fixed values: the rule names
     rules = [
         ("not_null_event_id", F.col("event_id").isNotNull()),
         ("not_null_timestamp", F.col("timestamp").isNotNull()),

@@ -111,6 +111,7 @@ def stage_metrics(stages: DataFrame, executors: DataFrame | None = None) -> Data
 
 
 def _stage_counts(stages: DataFrame) -> DataFrame:
+    # fixed values: stage states and output names
     return (stages.groupBy("app_id")
             .agg(F.count(F.lit(1)).alias("total_stages"),
                  F.count_if(F.col("status") == "COMPLETE").alias("completed_stages"),
@@ -121,6 +122,7 @@ def _stage_counts(stages: DataFrame) -> DataFrame:
                  F.sum("shuffle_read_bytes").alias("shuffle_read_bytes")))
 
 
+# fixed values: field names of the monitoring API
 STAGE_RECORD_SCHEMA = StructType([
     StructField("app_id", StringType()), StructField("status", StringType()),
     StructField("numTasks", LongType()), StructField("inputBytes", LongType()),

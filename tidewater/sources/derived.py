@@ -45,7 +45,7 @@ FROM {lineitem}
     "fx_executors": """
 SELECT 'app-' || CAST(l_suppkey AS STRING) AS app_id, CAST(l_linenumber AS STRING) AS executor_id,
        l_returnflag <> 'N' OR l_linenumber = 1 AS is_active
-FROM {lineitem} WHERE l_linenumber <= 4
+FROM {lineitem}
 """,
     # task instances of pipeline runs
     "fx_tasks": """

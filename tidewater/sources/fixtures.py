@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.schemas import INVENTORY, ORDERS, PAYMENTS, SHIPPING
+from tidewater.sources.readers import deal_out_small
 
 # the point in time that stands in for "now" in every fixture query
 AS_OF = "2024-02-01 00:00:00"
@@ -93,9 +94,14 @@ _SPARK_VARIANTS = {
   WHERE v.keep"""),
 }
 
+#: Keys that small tables are dealt out by.
+_DEALT_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+
+
 def read_base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table, as it is."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table; a small one, which is a single row group and would be one task, is dealt out over the cores."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return deal_out_small(df, _DEALT_BY[name]) if name in _DEALT_BY else df
 
 
 # which base tables / fixtures each fixture reads

@@ -24,6 +24,23 @@ def normalise_timestamps(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+#: Tables up to so many bytes (as Spark estimates a scan) are small: two row groups of the usual size.
+SMALL_TABLE = 256 << 20
+
+
+def deal_out_small(df: DataFrame, key: str, most: int = SMALL_TABLE) -> DataFrame:
+    """``df``, by hash of ``key`` over the session's cores if it is small; else as it is.
+
+    A Parquet file splits at row groups, and a small one has a single one: its whole scan, and
+    what follows up to the first shuffle, would be one task.  The shuffle of at most ``most`` bytes costs less than
+    that.  A large table has many row groups and is never shuffled here.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(size.toString()) > most:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def read_service_events(spark: SparkSession, path: str, service: str,
                         fmt: str = "json", keep_corrupt: bool = True) -> DataFrame:
     """Read one service's raw events with its fixed schema.
