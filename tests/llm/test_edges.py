@@ -138,6 +138,24 @@ def test_secret_ledger(spark, odd, scratch):
     assert [s.kind for r in found.where("path = 'b'").collect() for s in r.found] == ["assign", "hex"]
 
 
+def test_secret_kinds_beyond_the_base(spark):
+    part = "eyJ" + "aB3_" * 3
+    rows = [("pem", "x -----BEGIN RSA PRIVATE KEY----- y", 2, 33), ("jwt", f"a {part}.{part}.{'Zz09' * 3}.", 2, 2 + 15 * 2 + 2 + 12),
+            ("github", "see ghp_" + "a1B2" * 9 + "!", 4, 4 + 4 + 36)]
+    docs = spark.createDataFrame([(k, x) for k, x, _, _ in rows], "path string, text string")
+    found = {r.path: [(s.kind, s.start, s.end) for s in r.found] for r in secret_scan.scan_history(docs).collect()}
+    assert found == {k: [(k, a, b)] for k, _, a, b in rows}
+    near = [("pem", "-----BEGIN PUBLIC KEY-----"), ("jwt", "eyJabc.eyJabc.abc"), ("github", "ghp_" + "a" * 35)]
+    assert all(not r.found for r in secret_scan.scan_history(spark.createDataFrame(near, docs.schema)).collect())
+
+
+def test_a_pair_that_two_scans_appended_counts_once(spark, scratch):
+    docs, path = spark.createDataFrame([("a", "token = abcdef123")], "path string, text string"), scratch("ledger")
+    ledger = secret_scan.scan_unseen(docs, path)
+    twice = ledger.union(ledger)
+    assert [len(r.found) for r in secret_scan.findings(docs, twice).collect()] == [1]
+
+
 def test_secret_spans_and_redaction():
     find = secret_scan.BASE_RULES[0].finder()
     for text, want in (("Token=abcde", 0), ("TOKEN: 'abcdef'", 1), ("secret=token:abcdefgh", 0), ("api_key == x", 0), ("ſecret=abcdefg", 0)):
@@ -254,6 +272,15 @@ def test_decontamination_against_brute_force(spark, tmp_path):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
 
 
+def test_decontamination_of_many_rows_without_a_key(spark):
+    rnd = random.Random(10)
+    item = [f"term{i}" for i in range(30)]
+    texts = [" ".join([f"n{rnd.randint(0, 500)}" for _ in range(40)] + item * (k % 3 == 0) + [f"x{k}"]) for k in range(300)]
+    docs = spark.createDataFrame([(None, x) for x in texts] + [(7, texts[0]), (8, texts[1])], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "other words of another item that is nowhere")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == {(None, 1), (7, 1)}
+
+
 def test_svd_against_numpy(spark):
     rnd = np.random.default_rng(0)
     dense = (rnd.random((300, 40)) < 0.2) * rnd.integers(1, 4, (300, 40))
@@ -536,6 +563,11 @@ def test_stages_on_odd_rows(spark, odd, scratch):
     for stage in (stages.quality, stages.near_duplicates, stages.drop_contaminated, stages.redact_secrets):
         assert stage(spark, odd, sf).columns == odd.columns
         assert stage(spark, odd.limit(0), sf).count() == 0
+    coded = stages.encode(spark, odd, sf)
+    assert sorted((r.doc_id or 0, r.n_tokens == 0) for r in coded.collect()) == sorted(
+        (r.doc_id or 0, not r.text) for r in odd.collect())
+    assert stages.encode(spark, odd.limit(0), sf).count() == 0
+    assert stages.quality(spark, odd.union(odd), sf).count() == 2 * stages.quality(spark, odd, sf).count()
     kept = stages.near_duplicates(spark, odd, sf)
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 2, 3, 5, 7, 8, 10] and kept.where("doc_id is null").count() == 2
     assert stages.drop_contaminated(spark, odd, sf).count() == stages.redact_secrets(spark, odd, sf).count() == odd.count()

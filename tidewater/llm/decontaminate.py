@@ -1,11 +1,15 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages of the corpus and benchmark items are TF-IDF vectors over the
-benchmark's words.  Passages that hold as many of an item's rarest words as any
-hit must are candidates; the longest common subsequence of words and the item's
-answer part decide.  A randomised SVD of the passages, its products summed over
-partitions, gives the corpus's leading directions; with the items' own they
-span the latent space, whose cosine ranks equal passages and cuts none.
+benchmark's words.  A randomised SVD of the passages, its products summed over partitions, gives the
+corpus's leading directions; with the items' own they span the latent space.
+
+Candidates come from the cosine there between an item and a passage projected on the item's own
+words, so what surrounds the item in a passage does not count.  The limit of each item follows from the rule for hits: a hit
+holds all but so many of the item's words, and however their weights fall, the cosine is at least that of the
+lightest words that may be left.  The item's direction lies in the space, so no projection lowers its product with a
+passage, and no hit is lost.  The longest common subsequence of words and the item's answer part decide; the
+cosine of the whole passage ranks equal ones.
 """
 
 from __future__ import annotations
@@ -118,10 +122,12 @@ class Block:
         self.idf = np.zeros(len(self.words))
 
     def weigh(self, df: np.ndarray, n_docs: int) -> None:
-        """Features by document frequency, their weights, and how many a passage of interest has.
+        """Features by document frequency, their weights, and the limit of each item.
 
         A hit lacks at most ``lost`` of an item's words.  So of any of its words it holds all but ``lost``, whichever
-        are taken as features: the rarest serve best, and the frequencies bear on the work alone.
+        are taken as features: the rarest serve best, and the frequencies bear on the work alone.  Projected on them, its cosine with
+        the item is the root of the share of the item's squared length that it holds: ``asked`` is the least
+        that ``lost`` words can leave, the heaviest for each word being lost first (the last one in part).
         """
         idf = np.log((n_docs + 1) / (df + 1)) + 1e-6
         rare = df <= self.settings.common * n_docs
@@ -130,25 +136,35 @@ class Block:
         for i, (_, s) in enumerate(self.items):
             lost = len(s) - math.ceil(self.settings.paraphrase * len(s) - 1e-9)
             own = sorted(s, key=lambda w: (df[w], w))[:max(int(rare[s].sum()), lost + self.settings.least)]
-            self.asked[i] = len(own) - lost
             words, times = np.unique(own, return_counts=True)
+            square = (idf[words] * times) ** 2
+            square /= square.sum()
+            order = np.argsort(-square / times, kind="stable")
+            gone = np.clip(lost - (np.cumsum(times[order]) - times[order]), 0, times[order]) / times[order]
+            self.asked[i] = 1 - (gone * square[order]).sum() - 1e-9
             kept[self.group[i], words] = True
-            pairs += [(w, i, n) for w, n in zip(words, times)]
-            needs[self.group[i]].append(1 + int(np.searchsorted(np.cumsum(np.sort(times)[::-1]), self.asked[i])))
+            pairs += [(w, i, x) for w, x in zip(words, square)]
+            needs[self.group[i]].append(1 + int(np.searchsorted(np.cumsum(np.sort(square)[::-1]), self.asked[i])))
         self.kept, self.need = kept, [min(n) for n in needs]
         self.idf = np.where(kept.any(0)[:-1], idf, 0)
-        # features of the items, by word: item numbers and how many of the item's words each stands for
-        word, self.item_of, self.times = np.array(sorted(pairs), np.int64).reshape(-1, 3).T
+        # features of the items, by word: item numbers and the share of the item's squared length
+        order = sorted(range(len(pairs)), key=lambda k: pairs[k][:2])
+        word = np.array([pairs[k][0] for k in order], np.int64)
+        self.item_of, self.square = np.array([pairs[k][1] for k in order], np.int64), np.array([pairs[k][2] for k in order])
         self.begin = np.searchsorted(word, np.arange(len(self.words) + 1))
 
-    def held(self, group: np.ndarray, starts: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passages, items) where the passage is of the item's group and has as many of its features as a hit must."""
+    def near(self, group: np.ndarray, starts: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(passages, items) of one group whose cosine, squared, reaches the item's limit.
+
+        For a passage projected on the item's words the product with the item is what it holds of the
+        item's squared length, and so is its own; the item's direction is one of the space's.
+        """
         fan = self.begin[words + 1] - self.begin[words]
         at = np.arange(fan.sum()) + np.repeat(self.begin[words] - (np.cumsum(fan) - fan), fan)
         row = np.repeat(np.repeat(np.arange(len(starts)), sizes), fan)
         n = len(self.items)
-        found = np.bincount(row * n + self.item_of[at], self.times[at], len(starts) * n).reshape(-1, n)
-        return np.nonzero((found >= self.asked) & (group[:, None] == self.group))
+        cosine = np.bincount(row * n + self.item_of[at], self.square[at], len(starts) * n).reshape(-1, n)
+        return np.nonzero((cosine >= self.asked) & (group[:, None] == self.group))
 
     def item_matrix(self) -> np.ndarray:
         d = np.zeros((len(self.items), len(self.words)))
@@ -187,7 +203,8 @@ class Block:
 def _slices(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for part in spans_of_rows(batch, "text"):
-            yield part.column(0).to_pylist(), [(x or "").encode().split() for x in part.column(1).to_pylist()]
+            keys = part.column(0).to_pylist() if part.num_columns < 3 else list(zip(part.column(0).to_pylist(), part.column(2).to_pylist()))
+            yield keys, [(x or "").encode().split() for x in part.column(1).to_pylist()]
 
 
 def _document_frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
@@ -209,7 +226,7 @@ def _document_frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, in
 
 
 VECTORS = "doc long, first int, words array<int>, tf array<int>"
-PASSAGES = f"{VECTORS}, size int"
+PASSAGES = f"{VECTORS}, size int, nameless long"
 
 
 def _vectors(docs: DataFrame, block: Block) -> DataFrame:
@@ -219,10 +236,11 @@ def _vectors(docs: DataFrame, block: Block) -> DataFrame:
             numbers = [vocabulary.numbers(x) for x in texts]
             for group in range(len(block.strides)):
                 d, first, w, tf, offsets = block.passages(numbers, group)
-                known = [keys[i] for i in d]
+                known, nameless = ([keys[i][c] for i in d] for c in (0, 1))
                 lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, pa.int32())) for x in (w, tf)]
                 yield pa.RecordBatch.from_arrays([pa.array(known, pa.int64()), pa.array(first, pa.int32()), *lists,
-                                                  pa.array(np.full(len(d), group), pa.int32())], ["doc", "first", "words", "tf", "size"])
+                                                  pa.array(np.full(len(d), group), pa.int32()), pa.array(nameless, pa.int64())],
+                                                 ["doc", "first", "words", "tf", "size", "nameless"])
 
     return docs.mapInArrow(handing_back(run), PASSAGES)
 
@@ -277,11 +295,11 @@ def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings) -> n
     return left[:, :settings.rank][:, sigma[:settings.rank] ** 2 > 2 * shift]
 
 
-NEAR = "doc long, first int, item int, cosine double"
+NEAR = "doc long, nameless long, first int, item int, cosine double"
 
 
 def _near(vectors: DataFrame, block: Block, directions: np.ndarray) -> DataFrame:
-    """Passages and items where the passage holds enough of the item, and their cosine in the latent space."""
+    """Candidates by the cosine with a passage's part of the item, and the cosine of the whole passage in the latent space."""
     items = block.item_matrix()
     space, _ = np.linalg.qr(np.hstack([items.T, directions]))
     space, target, idf = space.astype(np.float32), items.T.astype(np.float32), block.idf
@@ -291,7 +309,7 @@ def _near(vectors: DataFrame, block: Block, directions: np.ndarray) -> DataFrame
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 starts, w, x, sizes = _sparse(part, idf)
-                r, i = block.held(part.column("size").to_numpy(), starts, w, sizes)
+                r, i = block.near(part.column("size").to_numpy(), starts, w, sizes)
                 if not len(r):
                     continue
                 row, place = np.unique(r, return_inverse=True)
@@ -299,7 +317,7 @@ def _near(vectors: DataFrame, block: Block, directions: np.ndarray) -> DataFrame
                 begin = np.cumsum(sizes[row]) - sizes[row]
                 length = np.linalg.norm(np.add.reduceat(space[w[has]] * x[has, None], begin), axis=1)
                 dots = np.add.reduceat(target[w[has]] * x[has, None], begin)[place, i]
-                yield arrow(NEAR, doc=part.column("doc").take(pa.array(r)), first=part.column("first").take(pa.array(r)),
+                yield arrow(NEAR, doc=part.column("doc").take(pa.array(r)), nameless=part.column("nameless").take(pa.array(r)), first=part.column("first").take(pa.array(r)),
                             item=i, cosine=dots / np.maximum(length[place], 1e-9))
 
     return vectors.mapInArrow(handing_back(run), NEAR)
@@ -350,6 +368,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     item give one hit; no rows or no items give none.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    # rows without a key are told apart by their texts until the end
+    rows = rows.withColumn("nameless", F.when(F.col("doc").isNull(), F.xxhash64("text")))
     items = benchmark.select(F.col(item_key).cast("long").alias("item"), F.col(item_text).alias("text")).where(
         "item is not null and text is not null").distinct().orderBy("item", "text")
     hits, block_rows = [], []
@@ -374,6 +394,7 @@ def _block_hits(rows: DataFrame, block: Block) -> DataFrame:
     block.weigh(*_document_frequencies(rows, block))
     vectors = stored(_vectors(rows, block), "passages")
     near = stored(_near(vectors, block, randomised_svd(vectors, block.idf, block.settings)), "near-passages")
-    asked = near.groupBy("doc").agg(F.collect_list(F.struct("first", "item", "cosine")).alias("near"))
-    texts = rows.join(asked.withColumnRenamed("doc", "d").hint("merge"), F.col("doc").eqNullSafe(F.col("d"))).select("doc", "text", "near")
+    asked = near.groupBy("doc", "nameless").agg(F.collect_set(F.struct("first", "item", "cosine")).alias("near"))
+    asked = asked.withColumnsRenamed({"doc": "d", "nameless": "m"}).hint("merge")
+    texts = rows.join(asked, F.col("doc").eqNullSafe(F.col("d")) & F.col("nameless").eqNullSafe(F.col("m"))).select("doc", "text", "near")
     return stored(_verified(texts, block), "benchmark-hits")

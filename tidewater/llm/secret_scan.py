@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import spans_of_rows
+from tidewater.llm.common import handing_back, spans_of_rows
 from tidewater.session import scratch_path
 
 
@@ -112,7 +112,7 @@ def scan_unseen(history: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
                     [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32()),
                      pa.array(out[3], kind)], ["blob", "rule", "version", "spans"])
 
-    blobs.select("blob", "text", "seen").mapInArrow(scan, LEDGER).write.mode("append").parquet(ledger_path)
+    blobs.select("blob", "text", "seen").mapInArrow(handing_back(scan), LEDGER).write.mode("append").parquet(ledger_path)
     return spark.read.schema(LEDGER).parquet(ledger_path)
 
 
@@ -122,14 +122,14 @@ def findings(history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RU
     ``found`` is in order of start, then of the rules.  Every path and version
     that has the blob gets it; the ledger has one row per blob and rule, so it
     is gathered per blob before the join and the many paths of one blob can be
-    split by Spark.
+    split by Spark.  Two scans that ran at once may both have appended a pair: its spans count once.
     """
     rank = F.element_at(F.create_map(*(F.lit(v) for i, r in enumerate(rules) for v in (f"{r.name}:{r.version}", i))),
                         F.concat_ws(":", "rule", "version"))
     per_blob = (ledger.withColumn("rank", rank).where("rank is not null").where(F.size("spans") > 0)
-                .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list(F.transform(
+                .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(
                     "spans", lambda s: F.struct(s["start"].alias("start"), F.col("rank").alias("rank"),
-                                                F.col("rule").alias("kind"), s["end"].alias("end")))))).alias("found")))
+                                                F.col("rule").alias("kind"), s["end"].alias("end"))))))).alias("found")))
     return history.withColumn("blob", blob_id(text)).join(per_blob, "blob", "left")
 
 

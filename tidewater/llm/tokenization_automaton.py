@@ -263,13 +263,14 @@ class Coder:
 
     def cut(self, word: bytes) -> list[bytes | int]:
         """Pieces of a word between ASCII white space; a special token is its id."""
-        if PRINTABLE(word) and b"<|" not in word:
-            return ASCII_SPLIT.findall(word.lower())
         text = word.decode()
-        lower = text.lower()
-        plain = LETTERS(lower)  # below U+0250 lower-casing is by character and nothing composes
-        if plain and max(lower) < "\u0250" and len(lower) == len(text):
-            return [x.encode() for x in plain.groups() if x]
+        if not (self.marks and self.marks.search(text)):
+            if PRINTABLE(word):
+                return ASCII_SPLIT.findall(word.lower())
+            lower = text.lower()
+            plain = LETTERS(lower)  # below U+0250 lower-casing is by character and nothing composes
+            if plain and max(lower) < "\u0250" and len(lower) == len(text):
+                return [x.encode() for x in plain.groups() if x]
         out: list[bytes | int] = []
         for part in self.marks.split(text) if self.marks else [text]:
             if part in self.special:
