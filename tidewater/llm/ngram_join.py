@@ -11,8 +11,9 @@ share nothing but such blocks are met by their first k + 1 shingles in the globa
 The sets of a list are then answered from one of them, its leader: each is
 compared with the leader; who links with it shares the leader's component and
 needs no other pair of the list.  For lists that this leaves in several components, the
-other answers follow from the differences D(x) from the leader, which are small: two
-sets x and y differ in exactly the shingles in which D(x) and D(y) differ.
+other answers follow from the differences D(x) from the leader: two
+sets x and y differ in exactly the shingles in which D(x) and D(y) differ.  Members whose sketches (counts of
+shingles by hash range) differ from those of all members of other components by more than linked sets can are left out before.
 """
 
 from __future__ import annotations
@@ -200,31 +201,31 @@ def _sets(docs: DataFrame, n: int, key: str, text: str, extra: str = "") -> Data
     return rows.mapInArrow(handing_back(run), "doc long, s binary" + (", " + extra if extra else ""))
 
 
-PAIRS = "doc long, lead long, n_doc long, n_lead long, differ binary"
+PAIRS = "doc long, lead long, n_doc long, n_lead long, gap long, differ binary"
 
 
-def _compare(pairs: DataFrame) -> DataFrame:
-    """Rows (doc, s, lead, t) to the sizes of both sets and the shingles in which they differ."""
+def _compare(pairs: DataFrame, whole: bool = False) -> DataFrame:
+    """Rows (doc, s, lead, t) to the sizes of both sets and how many shingles they differ in; with ``whole`` also which."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for doc, s, lead, t in zip(*(batch.column(x) for x in ("doc", "s", "lead", "t"))):
                 a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (s, t))
                 both = np.concatenate([a, b])
                 both.sort(kind="stable")
                 same = np.r_[False, both[1:] == both[:-1]]
-                differ = both[~(same | np.r_[same[1:], False])].tobytes()
-                for column, v in zip(out, (doc.as_py(), lead.as_py(), len(a), len(b), differ)):
+                differ = both[~(same | np.r_[same[1:], False])]
+                for column, v in zip(out, (doc.as_py(), lead.as_py(), len(a), len(b), len(differ), differ.tobytes() if whole else None)):
                     column.append(v)
-            yield arrow(PAIRS, doc=out[0], lead=out[1], n_doc=out[2], n_lead=out[3], differ=out[4])
+            yield arrow(PAIRS, **dict(zip(("doc", "lead", "n_doc", "n_lead", "gap", "differ"), out)))
 
     return pairs.select("doc", "s", "lead", "t").mapInArrow(handing_back(run), PAIRS)
 
 
 def _compare_by_id(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The same for (doc, lead) pairs; ``sets`` is read again for either side."""
+    """(doc, lead) pairs with their differences; ``sets`` is read again for either side."""
     right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
-    return _compare(pairs.join(sets.select("doc", "s").hint("merge"), "doc").join(right.hint("merge"), "lead"))
+    return _compare(pairs.join(sets.select("doc", "s").hint("merge"), "doc").join(right.hint("merge"), "lead"), whole=True)
 
 
 def _labelled(star: DataFrame, comp: DataFrame) -> DataFrame:
@@ -336,14 +337,80 @@ def _member_links(members: DataFrame, threshold: Threshold) -> DataFrame:
         if held:
             yield from links(held)
 
-    count = members.groupBy("lead").agg(F.count("*").alias("n"), F.sum(F.length("differ")).alias("bytes"))
-    parts = F.greatest(F.ceil(F.col("n") / TOGETHER), F.ceil(F.col("bytes") / TOGETHER_BYTES)).cast("int")
-    dealt = (members.join(count, "lead").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}))
-    # part 0 with part 0 is met once; part 0 with part 1 has the rows of both
-    rows = dealt.select("lead", "i", "j", "part", "doc", "comp", "size", "differ").repartition("lead", "i", "j")
-    return rows.sortWithinPartitions("lead", "i", "j").mapInArrow(handing_back(run), LINKS)
+    rows = _dealt(members, TOGETHER, TOGETHER_BYTES, "differ").select("lead", "i", "j", "part", "doc", "comp", "size", "differ")
+    return rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j").mapInArrow(handing_back(run), LINKS)
+
+
+def _dealt(members: DataFrame, together: int, most_bytes: int, column: str) -> DataFrame:
+    """Members of each lead in parts of about ``together`` rows or ``most_bytes`` of ``column``, a copy for each two parts (i, j)
+    that meet: part 0 with part 0 is met once, part 0 with part 1 has the rows of both."""
+    count = members.groupBy("lead").agg(F.count("*").alias("n"), F.sum(F.length(column)).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / together), F.ceil(F.col("bytes") / most_bytes)).cast("int")
+    return (members.join(count, "lead").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}))
+
+
+#: Ranges of hashes whose shingles a sketch counts, a byte each.
+SKETCH = 512
+SKETCHES = "doc long, size long, sketch binary"
+
+
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall into each range of hashes, 255 at most."""
+    return np.minimum(np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8)
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+            yield arrow(SKETCHES, doc=batch.column(0), size=[len(x) for x in found], sketch=[sketch_of(x).tobytes() for x in found])
+
+    return sets.select("doc", "s").mapInArrow(handing_back(run), SKETCHES)
+
+
+def may_link(sketch: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """Which of some sets may link with one of another component: sets differ in as many shingles at least as the counts
+    of their sketches do, so no link is ruled out."""
+    out = np.zeros(len(size), bool)
+    for at in range(0, len(size), 256):
+        a = slice(at, at + 256)
+        gap = np.array([np.abs(x - sketch).sum(1, dtype=np.int64) for x in sketch[a]])
+        total = size[a, None] + size[None, :]
+        ok = (threshold.den * (total - gap) >= threshold.num * (total + gap)) & (comp[a, None] != comp[None, :])
+        out[a] |= ok.any(1)
+        out |= ok.any(0)
+    return out
+
+
+PROMISING = "lead long, doc long"
+
+
+def _promising(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """members: lead, doc, comp, size, sketch.  Those that may link with another member of the lead, of another component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(lead: int, rows: list[tuple]):
+            doc, comp, size, sketch = zip(*rows)
+            sketch = np.array([np.frombuffer(x, np.uint8) for x in sketch], np.int16)
+            some = np.flatnonzero(may_link(sketch, np.array(size, np.int64), np.array(comp, np.int64), threshold))
+            if len(some):
+                yield arrow(PROMISING, lead=[lead] * len(some), doc=[doc[k] for k in some])
+
+        last, held = None, []
+        for batch in batches:
+            for lead, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lead, i, j) != last and held:
+                    yield from found(last[0], held)
+                    held = []
+                last = (lead, i, j)
+                held.append(tuple(row))
+        if held:
+            yield from found(last[0], held)
+
+    rows = _dealt(members, TOGETHER, 1 << 30, "sketch").select("lead", "i", "j", "doc", "comp", "size", "sketch")
+    rows = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+    return rows.mapInArrow(handing_back(run), PROMISING).distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Threshold(80, 100), key: str = "doc_id",
@@ -380,25 +447,27 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: Threshold = Thres
     right = sets.where("leads").select(F.col("doc").alias("lead"), F.col("s").alias("t"))
     done = stored(_compare(sets.where("lead is not null").select("doc", "s", "lead").join(right.hint("merge"), "lead")), "jaccard-pairs")
 
-    total, gap = F.col("n_doc") + F.col("n_lead"), F.length("differ") / 8
+    total, gap = F.col("n_doc") + F.col("n_lead"), F.col("gap")
     linked = done.where(threshold.den * (total - gap) >= threshold.num * (total + gap)).select("doc", "lead")
     edges = copies.union(linked)
     comp = components(edges, "doc", "lead")
 
-    # 2: leaders whose lists this leaves in several components
+    # 2: leaders whose lists this leaves in several components, and of their members those that may link with one another
     split = stored(_labelled(met, comp).where("c_doc != c_lead").select("lead").distinct(), "jaccard-open")
     if not split.isEmpty():
-        asked = met.join(split, "lead", "left_semi").select("doc", "lead")
-        known = done.join(split, "lead", "left_semi")
-        more = _compare_by_id(asked.join(done.select("doc", "lead"), ["doc", "lead"], "left_anti"), sets)
-        compared = stored(known.unionByName(more), "jaccard-differences")
-        own = compared.groupBy("lead").agg(F.any_value("n_lead").alias("size")).select(
-            "lead", F.col("lead").alias("doc"), "size", F.lit(b"").alias("differ"))
-        members = compared.select("lead", "doc", F.col("n_doc").alias("size"), "differ").union(own)
         label = comp.select(F.col("node").alias("doc"), F.col("component").alias("comp"))
+        own = split.select(F.col("lead").alias("doc"), "lead")
+        asked = met.join(split, "lead", "left_semi").select("doc", "lead").union(own)
+        members = asked.join(_sketches(sets).hint("merge"), "doc").join(label, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+        some = stored(_promising(members, threshold), "jaccard-promising")
+        few = stored(_filtered(sets, some.select("doc").union(some.select("lead"))), "jaccard-few-sets")
+        compared = stored(_compare_by_id(some.where("doc != lead").select("doc", "lead"), few), "jaccard-differences")
+        own = _sketches(few.join(some.where("doc = lead").select("doc").hint("merge"), "doc", "left_semi"))
+        own = own.select(F.col("doc").alias("lead"), "doc", "size", F.lit(b"").alias("differ"))
+        members = compared.select("lead", "doc", F.col("n_doc").alias("size"), "differ").union(own)
         members = members.join(label, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
         edges = edges.union(stored(_member_links(members, threshold), "jaccard-links"))
-        release(compared)
+        release(compared, few)
         comp = components(edges, "doc", "lead")
     release(sets)
 
