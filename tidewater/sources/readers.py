@@ -36,7 +36,7 @@ def deal_out_small(df: DataFrame, key: str, most: int = SMALL_TABLE) -> DataFram
     that.  A large table has many row groups and is never shuffled here.
     """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(size.toString()) > most:
+    if int(str(size)) > most:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
