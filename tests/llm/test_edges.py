@@ -527,6 +527,26 @@ def test_bpe_words_and_round_trip(spark):
         assert bpe.merge_long(w.encode(), ranks) == t._encode_single_piece(w.encode())
 
 
+def test_bpe_stretches_are_cut_as_whole_texts():
+    import regex
+    assert bpe.PUBLIC == P.PATTERN
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    assert regex.findall(r"\s", every) == bpe.re.findall(f"[{bpe.SPACES}]", every)
+    rnd, find = random.Random(4), regex.compile(P.PATTERN).findall
+    for text in ("".join(rnd.choice("  \n\t\x1c 　ab'sllé9٣.,!中\U0001f600") for _ in range(rnd.randint(0, 30))) for _ in range(20000)):
+        codes = bpe.Codes(P.PATTERN)
+        own = np.frombuffer(codes.of(text), np.int32)
+        assert [codes.new[i] for i in own] == find(text), repr(text)
+    codes = bpe.Codes(P.PATTERN)
+    codes.of("many words, many more words")
+    assert len(codes) == 5 and codes.of(" words, many") == codes[" words,"] + codes[" many"]  # cut once, then looked up
+    start = bpe.Start(bpe.read_ranks(BYTE_BPE))
+    words = [b"a", b"abc", b"", b"xyzzy"]
+    rows = start.many([w for w in words if w], [bool(w) for w in words]).to_pylist()
+    assert rows == [start(w) if w else None for w in words]
+    assert start.many([], [False]).to_pylist() == [None]
+
+
 def test_shards(spark, odd):
     out = sharding.histogram_shards(odd)
     assert out.count() == odd.count()

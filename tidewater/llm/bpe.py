@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
-Texts are split by the pattern in Python; each distinct word of a task is then
+Texts are split by the pattern in Python, what stands between white space once while
+remembered; each distinct word of a task is then
 encoded by Spark higher-order functions: a fold over the word's byte array
 merges the pair of lowest rank, leftmost first, until none is left.  The ranks
 are a literal map in the plan; only the ranks of the first, single-byte pairs are looked up where
@@ -14,6 +15,8 @@ import base64
 import hashlib
 import heapq
 import json
+import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,8 +27,13 @@ from tidewater.llm.common import handing_back, spans_of_rows
 
 #: Longer words are merged with a heap in Python: a fold copies its array at each merge.
 LONGEST = 128
-#: Distinct words a task remembers before it starts anew.
+#: Distinct words a task remembers before it starts anew, and stretches between white space.
 REMEMBERED = 250_000
+#: The public pattern, which never joins what white space separates but for one space before a word,
+#: its white space, and the stretches that it cuts one by one.
+PUBLIC = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+STRETCHES = f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 #: A rank that says "no merge", and the id before and after a word; real ids are smaller.
 NONE, EDGE = 1 << 16, (1 << 16) - 1
 
@@ -51,15 +59,16 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
     """The pair ranks as a literal array<bigint>: the pair's ids and its rank, as bits
     (left << 32 | right << 16 | rank), in one of the pair's two places, so that a lookup reads two cells."""
     first, second = HALVES
-    empty = 1 << 62  # differs from every pair above bit 16
+    empty = 0  # differs above bit 16 from every pair but the first, whose two places get another value
     cells = [empty] * (first + second)
+    cells[0] = cells[first] = other = 1 << 62
     for left, right, rank in pair_ranks(ranks):
         entry, place = left << 32 | right << 16 | rank, None
         for _ in range(500):  # an entry that finds its place taken sends the other one to its second place
             key = entry >> 16
             place = first + key % second if place == key % first else key % first
             entry, cells[place] = cells[place], entry
-            if entry == empty:
+            if entry in (empty, other):
                 break
         else:
             raise ValueError("too many pairs for the rank map")
@@ -71,31 +80,58 @@ def _bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _rank(m: Column, a: Column, b: Column) -> Column:
-    """Rank of the pair (a, b), or NONE: a cell of another pair differs above bit 16."""
-    key = F.shiftleft(a, 16).bitwiseOR(b)
+def _pair(a: Column, b: Column) -> Column:
+    return F.shiftleft(a, 16).bitwiseOR(b)
+
+
+def _rank(m: Column, pair: Column) -> Column:
+    """Rank of a pair of ids, or NONE: a cell of another pair differs above bit 16."""
     first, second = HALVES
-    marks = F.shiftleft(key, 16)
-    return F.least(F.get(m, (key % F.lit(first)).cast("int")).bitwiseXOR(marks),
-                   F.get(m, (key % F.lit(second)).cast("int") + F.lit(first)).bitwiseXOR(marks), F.lit(NONE).cast("long"))
+    marks = F.shiftleft(pair, 16)
+    return F.least(F.get(m, (pair % F.lit(first)).cast("int")).bitwiseXOR(marks),
+                   F.get(m, (pair % F.lit(second)).cast("int") + F.lit(first)).bitwiseXOR(marks), F.lit(NONE).cast("long"))
 
 
 class Start:
     """State of a word before the first merge: an entry for each byte between two edges.
 
     An entry has, as bits, the rank of its merge with the next piece (NONE: no
-    merge), its offset in the word and its id: rank << 32 | offset << 16 | id.
+    merge), the index of the entry before it and its id: rank << 32 | index << 16 | id.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         single = [ranks[bytes([x])] for x in range(256)]
         self.pairs = [[ranks.get(bytes([a, b]), NONE) << 32 | single[a] for b in range(256)] for a in range(256)]
         self.lasts = [NONE << 32 | x for x in single]
+        self.tables: tuple = ()
 
     def __call__(self, word: bytes) -> list[int]:
         pairs, edge, end = self.pairs, NONE << 32 | EDGE, len(word) - 1
         body = [pairs[a][b] | k for a, b, k in zip(word, word[1:], range(0, end << 16, 1 << 16))]
-        return [edge, *body, self.lasts[word[-1]] | end << 16, edge]
+        return [edge, *body, self.lasts[word[-1]] | end << 16, edge | len(word) << 16]
+
+    def many(self, words: list[bytes], rows: list[bool]) -> pa.ListArray:
+        """The states of ``words``, a list at each true one of ``rows`` and a null at the others."""
+        import numpy as np
+
+        if not self.tables:
+            self.tables = np.array(self.pairs, np.int64).ravel(), np.array(self.lasts, np.int64)
+        pairs, lasts = self.tables
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.repeat(np.arange(len(words)), sizes)
+        begin = np.cumsum(sizes) - sizes
+        text, at = np.frombuffer(b"".join(words), np.uint8).astype(np.int64), np.arange(len(word))
+        out = np.full(len(word) + 2 * len(words), NONE << 32 | EDGE, np.int64)
+        place = at + 2 * word + 1
+        out[place[:-1]] = pairs[text[:-1] << 8 | text[1:]]
+        ends = begin + sizes - 1
+        out[place[ends]] = lasts[text[ends]]
+        out[place] |= (at - begin[word]) << 16
+        out[place[ends] + 1] |= sizes << 16
+        fold = np.array(rows, bool)
+        lengths = np.zeros(len(rows), np.int64)
+        lengths[fold] = sizes + 2
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(out), mask=pa.array(~fold))
 
 
 def fold_merges(state: Column, m: Column) -> Column:
@@ -107,28 +143,24 @@ def fold_merges(state: Column, m: Column) -> Column:
     def const(x: int) -> Column:
         return F.lit(x).cast("long")
 
-    low, offset, gone = const(0xFFFFFFFF), const(EDGE << 16), const(-1)
+    low, index, one = const(0xFFFFFFFF), const(EDGE << 16), const(1 << 16)
 
     def of(x: Column) -> Column:
         return x.bitwiseAND(const(EDGE))
 
-    def at(r: Column, rest: Column) -> Column:
-        return F.shiftleft(r, 32).bitwiseOR(rest)
+    def entry(pair: Column, rest: Column) -> Column:
+        return F.shiftleft(_rank(m, pair), 32).bitwiseOR(rest)
 
     def step(a: Column, _: Column) -> Column:
-        def put(j: Column) -> Column:
-            """j: index of the piece before the merge."""
-            before, least = F.get(a, j), F.get(a, j + 1)
-            new = F.shiftright(least, 32)
-            return F.array_remove(F.transform(a, lambda x, k: (
-                F.when(k < j, x).when(k > j + 2, x)
-                .when(k == j, at(_rank(m, of(before), new), before.bitwiseAND(low)))
-                .when(k > j + 1, gone)
-                .otherwise(at(_rank(m, new, of(F.get(a, j + 3))), least.bitwiseAND(offset).bitwiseOR(new))))), gone)
-
-        least = F.array_min(a)
-        return F.when(least >= const(NONE << 32), a).otherwise(
-            _bind(F.array_position(a, least).cast("int") - 2, put))
+        def put(least: Column) -> Column:
+            j = F.shiftright(least, 16).bitwiseAND(const(EDGE)).cast("int")  # the piece before the merge
+            before, new = F.get(a, j), F.shiftright(least, 32)
+            pairs = F.array(_pair(of(before), new), _pair(new, of(F.get(a, j + 3))))
+            rests = F.array(before.bitwiseAND(low), least.bitwiseAND(index).bitwiseOR(new))
+            return F.flatten(F.array(F.slice(a, 1, j), F.zip_with(pairs, rests, entry),
+                                     F.transform(F.slice(a, j + 4, F.size(a)), lambda x: x - one)))
+
+        return _bind(F.array_min(a), lambda least: F.when(least >= const(NONE << 32), a).otherwise(put(least)))
 
     turns = F.sequence(F.lit(1), F.greatest(F.size(state) - 3, F.lit(1)))
     return F.aggregate(turns, state, step, lambda a: F.transform(F.slice(a, 2, F.size(a) - 2), of))
@@ -188,50 +220,77 @@ SPLIT = "reset boolean, state array<bigint>, known array<bigint>, key long, code
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+class Codes(dict):
+    """Stretch of a text to the codes of its words, as bytes; ``new`` holds the words that are not taken over yet."""
+
+    def __init__(self, pattern: str):
+        super().__init__()
+        import regex
+
+        self.words: dict[str, int] = {}
+        self.new: list[str] = []
+        self.find = regex.compile(pattern).findall
+        # the stretches of another pattern are whole texts
+        self.cut = re.compile(STRETCHES).findall if pattern == PUBLIC else None
+
+    def __missing__(self, stretch: str) -> bytes:
+        out = array("i")
+        for w in self.find(stretch):
+            code = self.words.get(w)
+            if code is None:
+                code = self.words[w] = len(self.words)
+                self.new.append(w)
+            out.append(code)
+        codes = out.tobytes()
+        if self.cut:
+            self[stretch] = codes
+        return codes
+
+    def of(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.cut(text))) if self.cut else self[text]
+
+
 def _split(docs: DataFrame, ranks_path: str, pattern: str, key: str, text: str) -> DataFrame:
     """A stream of rows for each task: new words in order of their codes, then the document that needs them.
 
     Codes count the words a task has met; ``reset`` says that they count from 0 again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        import regex
-
-        find, ranks, codes = regex.compile(pattern).findall, read_ranks(ranks_path), {}
+        ranks, codes = read_ranks(ranks_path), Codes(pattern)
         start = Start(ranks)
         for batch in batches:
             for part in spans_of_rows(batch, "text"):
                 rows: list[tuple] = []
+                folded: list[bytes] = []
                 for k, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if len(codes) > REMEMBERED:
                         codes.clear()
-                        rows.append((True, None, None, None, None))
-                    found, before = find(x or ""), len(codes)
-                    own = np.array([codes.setdefault(w, len(codes)) for w in found], np.int32)
-                    for w in _last(codes, len(codes) - before):
+                    if len(codes.words) > REMEMBERED:
+                        codes.clear()
+                        codes.words.clear()
+                        rows.append((True, False, None, None, None))
+                    own = codes.of(x or "")
+                    for w in codes.new:
                         data = w.encode()
                         whole = ranks.get(data)
                         if whole is not None:
-                            rows.append((False, None, [whole], None, None))
+                            rows.append((False, False, [whole], None, None))
                         elif len(data) <= LONGEST:
-                            rows.append((False, start(data), None, None, None))
+                            folded.append(data)
+                            rows.append((False, True, None, None, None))
                         else:
-                            rows.append((False, None, merge_long(data, ranks), None, None))
-                    rows.append((False, None, None, k, own.tobytes()))
-                ids = pa.list_(pa.int64())
+                            rows.append((False, False, merge_long(data, ranks), None, None))
+                    codes.new.clear()
+                    rows.append((False, False, None, k, own))
+                reset, fold, *rest = zip(*rows)
+                kinds = (pa.list_(pa.int64()), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), ids, ids, pa.int64(), pa.binary()))],
+                    [pa.array(reset, pa.bool_()), start.many(folded, fold), *(pa.array(c, t) for c, t in zip(rest, kinds))],
                     ["reset", "state", "known", "key", "codes"])
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(handing_back(run), SPLIT)
 
 
-def _last(codes: dict, n: int) -> list:
-    """The ``n`` newest keys, oldest first."""
-    newest = reversed(codes)
-    return [next(newest) for _ in range(n)][::-1]
-
-
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """Number and digests of each whole text's ids, and the digest of the bytes that they decode to.
@@ -249,7 +308,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        counts, shown, decoded = [], [], []
+        shown, decoded = [], []  # every word has an id at least
         for batch in batches:
             out = ([], [], [], [])
             columns = {n: batch.column(n) for n in ("reset", "key", "codes", "ids", "decoded")}
@@ -258,18 +317,18 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
             flat = columns["ids"].values.to_numpy(zero_copy_only=False).tolist()
             for i, (r, k, c, d) in enumerate(zip(reset, keys, codes, data)):
                 if r:
-                    counts, shown, decoded = [], [], []
+                    shown, decoded = [], []
                 elif c is None:
                     ids = flat[offsets[i]:offsets[i + 1]]
-                    counts.append(len(ids))
                     shown.append(" ".join(map(str, ids)))
                     decoded.append(d)
                 else:
                     own = np.frombuffer(c, np.int32).tolist()
                     out[0].append(k)
-                    out[1].append(sum([counts[j] for j in own]))
-                    out[2].append(hashlib.sha256(" ".join([shown[j] for j in own]).encode()).hexdigest())
-                    out[3].append(hashlib.sha256(b"".join([decoded[j] for j in own])).hexdigest())
+                    written = " ".join(map(shown.__getitem__, own)).encode()
+                    out[1].append(written.count(b" ") + 1 if own else 0)
+                    out[2].append(hashlib.sha256(written).hexdigest())
+                    out[3].append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
