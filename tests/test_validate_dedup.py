@@ -85,3 +85,18 @@ def test_dedup_keyless_copies_kept_across_partitions(spark):
     assert out.filter("event_id IS NULL AND amount = 7.0").count() == 2000
     assert out.filter("event_id IS NULL AND amount = 8.0").count() == 1
     assert out.filter("event_id = 'a'").count() == 1
+
+
+def test_dedup_stats_takes_tasks_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "TASK_ROWS", 20)
+    df = spark.range(0, 900, 1, 6).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 7 = 1, null, concat('e', id % 400))) AS event_id", "concat('s', id % 2) AS _service")
+    stats = dedup.dedup_stats(df)
+    want = df.groupBy("_service").agg(F.count(F.lit(1)), F.count_distinct("event_id"), F.count_if(F.col("event_id").isNull()))
+    assert {tuple(r)[:4] for r in stats.collect()} == {tuple(r) for r in want.collect()}
+    assert all(r.duplicates_removed == r.total_rows - r.distinct_ids - r.null_ids for r in stats.collect())
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(event_id" in plan and plan.count(", 45), REPARTITION_BY_NUM") >= 2  # 900 rows / 20
+    aggregates = [line for line in plan.split("\n") if "Aggregate" in line and "event_id" in line]
+    assert aggregates and not any(line.lstrip(" +-:*()0123456789").startswith("Scan") for line in aggregates)
+    assert dedup.dedup_stats(df.limit(0)).count() == 0
