@@ -108,6 +108,19 @@ def test_merged_filters_hide_nothing(spark, scratch):
     assert as_rows(spark.read.schema(batches[0].schema).parquet(f"{root}/out").drop("_run")) == as_rows(dedup.dedup_events(union))
 
 
+def test_rows_of_a_run_are_shuffled_once(spark, scratch):
+    batches, root = _batches(spark), scratch("ledger")
+    ledger = Ledger(spark, f"{root}/ledger", 64, 1 << 20)
+    dedup_run(batches[0], ledger, "r0", f"{root}/out")
+    staged = scratch("t")
+    left = ledger.unseen(dedup.first_copies(batches[1]).hint("merge"), "r1", staged)
+    assert as_rows(left) == as_rows(dedup.dedup_events(batches[1]).where("substr(event_id, 3) >= 700"))
+    plan = left._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    rows = [x for x in plan.split("\n") if "Exchange hashpartitioning(event_id" in x]
+    assert len(rows) == 1 and "RoundRobin" not in plan and "REBALANCE" not in plan
+    assert spark.read.parquet(staged).columns == ["_bucket", "_id"]  # no rows are staged
+
+
 def test_ids_of_earlier_runs_are_read_for_hits_alone(spark, scratch, monkeypatch):
     batches, root = _batches(spark), scratch("ledger")
     ledger, asked = Ledger(spark, f"{root}/ledger", 64, 1 << 20), []

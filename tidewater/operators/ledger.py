@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.dedup import dedup_events
+from tidewater.operators.dedup import first_copies
 from tidewater.session import delete_folders, partition_folder, path_exists, scratch_path
 
 #: Buckets of the ledger, and words of a bucket's filter: 2^10 * 2^20 words hold 7 * 10^9 ids at 10 bits each.
@@ -67,26 +67,27 @@ class Ledger:
     def unseen(self, events: DataFrame, run_id: str, staged: str, key: str = "event_id") -> DataFrame:
         """``events`` (one row an id) without those that another run emitted; rows without an id stay.
 
-        The events are written to ``staged`` with the filter's answer and read from there, so that they are computed once
-        and the ids are read of the buckets with hits alone.
+        Ids alone are tested and verified: only the filter hits among them are written, to ``staged``, and ids are
+        read of the buckets with hits alone.  The rows move once, if at all, by id; what already lies by id stays.
+        ``events`` is read for the test and again for its rows.
         """
-        bucket, word, mask = _place(F.col(key), self.buckets, self.words)
-        placed = events.withColumns({"_bucket": bucket, "_word": word, "_mask": mask})
+        hits = self._hits(events.select(F.col(key).alias("_id")).where("_id IS NOT NULL"), run_id)
+        hits.write.mode("overwrite").parquet(staged)
+        hits = self.spark.read.schema(hits.schema).parquet(staged)
+        asked = sorted(r[0] for r in hits.select("_bucket").distinct().collect())  # a number for each bucket at most
+        if not asked:
+            return events
+        return events.join(self._seen(hits, run_id, asked), F.col(key) == F.col("_seen"), "left_anti")
+
+    def _hits(self, ids: DataFrame, run_id: str) -> DataFrame:
+        """(bucket, id) of the ids that the filter of another run may hold."""
+        bucket, word, mask = _place(F.col("_id"), self.buckets, self.words)
+        placed = ids.withColumns({"_bucket": bucket, "_word": word, "_mask": mask})
         # a word is a row for each run that set bits in it
         earlier = (self.filters().where(F.col("_run") != run_id).groupBy("_bucket", "word").agg(F.bit_or("bits").alias("bits"))
                    .select(F.col("_bucket").alias("_fb"), F.col("word").alias("_fw"), "bits"))
-        tested = placed.join(earlier, (F.col("_bucket") == F.col("_fb")) & (F.col("_word") == F.col("_fw")), "left")
-        tested = tested.select(*events.columns, "_bucket", (F.col(key).isNotNull() & F.coalesce(
-            F.col("bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))).alias("_hit"))
-        tested.write.mode("overwrite").parquet(staged)
-        tested = self.spark.read.schema(tested.schema).parquet(staged)
-        hits = tested.where("_hit").select("_bucket", F.col(key).alias("_id"))
-        asked = sorted(r[0] for r in hits.select("_bucket").distinct().collect())  # a number for each bucket at most
-        if not asked:
-            return tested.select(events.columns)
-        seen = self._seen(hits, run_id, asked)
-        # an id that is no filter hit meets nothing here, as ``seen`` holds hits alone
-        return tested.join(seen, F.when(F.col("_hit"), F.col(key)) == F.col("_seen"), "left_anti").select(events.columns)
+        found = placed.join(earlier, (F.col("_bucket") == F.col("_fb")) & (F.col("_word") == F.col("_fw")))
+        return found.where(F.col("bits").bitwiseAND(F.col("_mask")) == F.col("_mask")).select("_bucket", "_id")
 
     def _seen(self, hits: DataFrame, run_id: str, asked: list[int]) -> DataFrame:
         """The ids among ``hits`` that other runs emitted, from the buckets ``asked``, which prune."""
@@ -128,11 +129,13 @@ def dedup_run(events: DataFrame, ledger: Ledger, run_id: str, output: str, key:
     """The events of one run that are new: deduplicated in itself and against earlier runs.
 
     Written to ``output/_run=<run_id>`` (a rerun replaces it), then recorded from there, so a run that
-    fails in between is simply run again.  Events without an id pass through one by one.
+    fails in between is simply run again.  Events without an id pass through one by one and are not shuffled.
+    The rows with one are shuffled once, as the survivors of their ids; ``events`` is read more than once and must give the same rows.
     """
     path = f"{output.rstrip('/')}/{partition_folder(ledger.spark, '_run', run_id)}"
-    staged = scratch_path(ledger.spark, "ledger-tested")
-    ledger.unseen(dedup_events(events, key), run_id, staged, key).hint("rebalance").write.mode("overwrite").parquet(path)
+    staged = scratch_path(ledger.spark, "ledger-hits")
+    new = ledger.unseen(first_copies(events, key), run_id, staged, key)
+    new.union(events.where(F.col(key).isNull())).write.mode("overwrite").parquet(path)
     delete_folders(ledger.spark, [staged])
     emitted = ledger.spark.read.schema(events.schema).parquet(path)
     ledger.record(emitted, run_id, key)
