@@ -433,6 +433,21 @@ def brute_repeats(rows, window=20):
     return out
 
 
+def test_words_before_marks_need_not_the_whole_way(monkeypatch):
+    from tokenizers import Tokenizer
+    library, encoder, rnd = Tokenizer.from_file(WORD_BPE), token_files.Encoder(WORD_BPE), random.Random(6)
+    letters, marks = "abcSTRéÖñ", "!%$#*&'\"_-.,;:<|>()[]{}~^`@/\\+="
+    words = ["".join(rnd.choices(letters, k=rnd.randint(1, 6))) + "".join(rnd.choices(marks, k=rnd.randint(1, 5))) for _ in range(3000)]
+    whole = []
+    monkeypatch.setattr(token_files.Encoder, "whole", lambda self, word: whole.append(word))
+    got = encoder.encode(words)
+    assert not whole and [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        library.encode(w, add_special_tokens=False).ids for w in words]
+    monkeypatch.undo()
+    text = "it's 'tis !! a<|endoftext|>!! x<|endoftext|> rock'n'roll... A1! ½!! ǆ!"
+    assert np.frombuffer(token_files.Encoder(WORD_BPE).encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_recompression(spark, odd):
     got = collections.Counter(tuple(r) for r in recompression.drop_repeats(odd).collect())
     assert got == brute_repeats([(r.doc_id, r.text) for r in odd.collect()])

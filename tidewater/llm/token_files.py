@@ -11,6 +11,7 @@ doc_id, its number of ids; then all ids as little-endian unsigned 32-bit.
 
 from __future__ import annotations
 
+import string
 import struct
 import sys
 import uuid
@@ -51,13 +52,29 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+#: ASCII marks, which are neither letters nor numbers: after letters a run of them is one piece of the pre-tokenizer.
+ASCII_MARKS = string.punctuation.encode()
+
+
+class Known(dict):
+    """Word to ids; a word that is not there yet is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.encode(word)
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by a tokenizer that lower-cases, drops white space and splits letters from the rest.
 
     Its splits never cross white space and words repeat, so each is given to the
     tokenizers library once while remembered.  A word of plain lower-case letters is
     one piece of the pre-tokenizer and goes straight to the library's model, as does what stands
-    before a last full stop or comma; every other word takes the whole way.
+    before marks at the end, and the marks; every other word takes the whole way.
     """
 
     def __init__(self, path: str):
@@ -66,7 +83,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = dict(enumerate(byte_letters()))
-        self.known: dict[bytes, bytes] = {}
+        self.known = Known(self.new)
+        # a special token of marks alone could be part of those at the end
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = ASCII_MARKS if all(any(c.isalpha() for c in x) for x in special) else b""
 
     def whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
@@ -78,10 +98,11 @@ class Encoder:
         return ids.tobytes()
 
     def new(self, word: bytes) -> bytes:
-        base, end = (word[:-1], word[-1:]) if word[-1] in b".," else (word, b"")
+        base = word.rstrip(self.marks)
+        end = word[len(base):]
         base = base.lower()  # A-Z only
         if base.isalpha():  # ASCII letters
-            ids = self.known.get(base)
+            ids = self.known.get(base)  # without encoding it as a word
             if ids is None:
                 ids = self.known[base] = self.piece(base.decode("ascii"))
         else:
@@ -98,13 +119,10 @@ class Encoder:
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [x.encode().split() for x in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        for w in set().union(*split).difference(known):
-            known[w] = self.new(w)
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, x.encode().split())) for x in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
