@@ -281,6 +281,39 @@ def test_decontamination_of_many_rows_without_a_key(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == {(None, 1), (7, 1)}
 
 
+def test_decontamination_reads_each_text_once(spark):
+    item = " ".join(f"term{i}" for i in range(30))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(k, f"n{k} {item} x{k}" if k % 3 == 0 else f"term{k % 30} and x{k}") for k in range(60)],
+                                 "doc_id long, text string").repartition(3).mapInArrow(counted, "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(k, 1) for k in range(0, 60, 3)}
+    assert read.value == 60
+
+
+def test_words_are_numbered_together_as_one_by_one():
+    import pyarrow as pa
+    rnd = random.Random(12)
+    known = ["a", "term", "sixteen-letters.", "seventeen-letters", "été", "中文", "ok", "i\u0307", "k", "re-do"]
+    words = {w: n for n, w in enumerate(known)}
+    bits = ["  ", "\n", "\x0b", "\r\n", "\x00", "\x1c", "\xa0", "\x85", "...", "'", "«", "”", "É", "\u0130", "\u212a", "x" * 20, *known]
+    texts = ["".join((lambda x: x.upper() if rnd.random() < 0.2 else x)(rnd.choice([" ", *bits])) for _ in range(rnd.randint(0, 25)))
+             for _ in range(3000)] + [None, "", " ", "term", "a\x00", "TERM,"]
+    for some in (texts, [None, ""], [" ", "", "\n"], []):
+        got, counts = decontaminate.Vocabulary(words).numbers(pa.array(some, pa.string()))
+        want = [[words.get(decontaminate.plain(w.decode()), -1) for w in (x or "").encode().split()] for x in some]
+        assert counts.tolist() == [len(w) for w in want]
+        assert got.tolist() == [n for w in want for n in w]
+    column = pa.array(texts).slice(11, 50)
+    assert decontaminate.Vocabulary(words).numbers(column)[1].tolist() == [len((x or "").encode().split()) for x in texts[11:61]]
+
+
 def test_svd_against_numpy(spark):
     rnd = np.random.default_rng(0)
     dense = (rnd.random((300, 40)) < 0.2) * rnd.integers(1, 4, (300, 40))

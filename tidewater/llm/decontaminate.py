@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow, handing_back, spans_of_rows, stored
+from tidewater.llm.common import WHITE_SPACE, arrow, handing_back, spans_of_rows, stored
 from tidewater.llm.quality_classifier import _add_up
 
 #: Words a worker remembers before it starts anew.
@@ -53,6 +54,12 @@ class Settings:
 #: Marks that may stand at the ends of a word.
 MARKS = string.punctuation + "\u2018\u2019\u201c\u201d\u00ab\u00bb\u2026\u2013\u2014\u00bf\u00a1"
 ASCII_MARKS = string.punctuation.encode()
+#: By byte: white space, marks, lower case; by length: the bytes of a number that count.
+WHITE, MARK = (np.isin(np.arange(256), list(x)) for x in (WHITE_SPACE.encode(), ASCII_MARKS))
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Passages that are compared with the items at a time, and that are multiplied at a time.
+COMPARED, MULTIPLIED = 2000, 64
 
 
 def plain(word: str) -> str:
@@ -61,12 +68,29 @@ def plain(word: str) -> str:
 
 
 class Vocabulary(dict):
-    """Raw word (bytes) to feature number, -1 for others; remembers what it has looked up."""
+    """Raw word (bytes) to feature number, -1 for others; remembers what it has looked up.
+
+    ASCII words of 16 bytes at most are looked up together, in a hash table whose entries are compared in full.
+    """
+
+    SLOTS = 1 << 16
 
     def __init__(self, words: dict[str, int]):
         super().__init__()
         self.words = words
         self.ascii = {w.encode(): n for w, n in words.items() if w.isascii()}
+        self.dtype = np.int16 if len(words) < 1 << 15 else np.int32
+        # short words as two integers and a length, in lists by slot
+        short = [w for w in self.ascii if len(w) <= 16]
+        self.number = np.array([self.ascii[w] for w in short], np.int64)
+        self.size = np.array([len(w) for w in short], np.int64)
+        self.halves = np.frombuffer(b"".join(w.ljust(16, b"\0") for w in short), np.uint64).reshape(-1, 2).T.copy()
+        self.head, self.after = np.full(self.SLOTS, -1), np.full(len(short), -1)
+        for k, slot in enumerate(self.slots(*self.halves).tolist()):
+            self.after[k], self.head[slot] = self.head[slot], k
+
+    def slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return ((low * np.uint64(0x9E3779B97F4A7C15) ^ high * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(48)).astype(np.int64)
 
     def __missing__(self, raw: bytes) -> int:
         if raw.isascii():
@@ -76,10 +100,57 @@ class Vocabulary(dict):
         self[raw] = n
         return n
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words of ``texts``, one text after the other, and the words of each (null: none)."""
         if len(self) > REMEMBERED:
             self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        whole = bytes(memoryview(texts.buffers()[2] or b"")[offsets[0]:offsets[-1]])
+        offsets = offsets - offsets[0]
+        data = np.frombuffer(whole, np.uint8)
+        if not len(data):
+            return np.empty(0, self.dtype), np.zeros(len(texts), np.int64)
+        # a word begins or ends at white space, and where a text does
+        space = np.ones(len(data) + 1, bool)
+        space[:-1] = WHITE[data]
+        first = ~space[:-1]
+        last = first.copy()
+        inner = np.unique(offsets[(offsets > 0) & (offsets < len(data))])
+        first[1:] &= space[:-2]
+        first[inner] = ~space[inner]
+        last &= space[1:]
+        last[inner - 1] = ~space[inner - 1]
+        begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        counts = np.diff(np.searchsorted(begin, offsets))
+        if not len(begin):
+            return np.empty(0, self.dtype), counts
+        left, right = begin.copy(), end.copy()
+        todo = np.arange(len(begin))
+        while len(todo := todo[MARK[data[left[todo]]]]):
+            left[todo] += 1
+            todo = todo[left[todo] < right[todo]]
+        todo = np.flatnonzero(left < right)
+        while len(todo := todo[MARK[data[right[todo] - 1]]]):
+            right[todo] -= 1
+        size = right - left
+        low = np.zeros(len(data) + 16, np.uint8)
+        low[:len(data)] = LOWER[data]
+        eight = np.ndarray(len(data) + 9, np.uint64, low, strides=(1,))
+        halves = eight[left] & BYTES[np.minimum(size, 8)], eight[left + 8] & BYTES[np.clip(size - 8, 0, 8)]
+        at = self.head[self.slots(*halves)]
+        todo = np.flatnonzero(at >= 0)
+        while len(todo):
+            k = at[todo]
+            same = (halves[0][todo] == self.halves[0][k]) & (halves[1][todo] == self.halves[1][k]) & (size[todo] == self.size[k])
+            todo = todo[~same]
+            at[todo] = self.after[at[todo]]
+            todo = todo[at[todo] >= 0]
+        out = np.r_[self.number, -1][at].astype(self.dtype)
+        others = np.flatnonzero((size > 16) | (np.bitwise_or.reduceat(data, begin) >= 128))
+        raw = map(whole.__getitem__, map(slice, begin[others].tolist(), end[others].tolist()))
+        out[others] = np.fromiter(map(self.__getitem__, raw), self.dtype, len(others))
+        return out, counts
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -133,6 +204,7 @@ class Block:
         rare = df <= self.settings.common * n_docs
         kept = np.zeros((len(self.strides), len(self.words) + 1), bool)  # the last column is that of other words
         self.asked, needs, pairs = np.zeros(len(self.items)), [[] for _ in self.strides], []
+        self.held = np.zeros(len(self.items), np.int64)  # features that a hit has at least
         for i, (_, s) in enumerate(self.items):
             lost = len(s) - math.ceil(self.settings.paraphrase * len(s) - 1e-9)
             own = sorted(s, key=lambda w: (df[w], w))[:max(int(rare[s].sum()), lost + self.settings.least)]
@@ -142,29 +214,35 @@ class Block:
             order = np.argsort(-square / times, kind="stable")
             gone = np.clip(lost - (np.cumsum(times[order]) - times[order]), 0, times[order]) / times[order]
             self.asked[i] = 1 - (gone * square[order]).sum() - 1e-9
+            self.held[i] = len(own) - lost
             kept[self.group[i], words] = True
-            pairs += [(w, i, x) for w, x in zip(words, square)]
+            pairs += [(w, i, x, n) for w, x, n in zip(words, square, times)]
             needs[self.group[i]].append(1 + int(np.searchsorted(np.cumsum(np.sort(square)[::-1]), self.asked[i])))
         self.kept, self.need = kept, [min(n) for n in needs]
         self.idf = np.where(kept.any(0)[:-1], idf, 0)
-        # features of the items, by word: item numbers and the share of the item's squared length
+        # features of the items, by word: item numbers, the share of the item's squared length and how often the item has it
         order = sorted(range(len(pairs)), key=lambda k: pairs[k][:2])
         word = np.array([pairs[k][0] for k in order], np.int64)
         self.item_of, self.square = np.array([pairs[k][1] for k in order], np.int64), np.array([pairs[k][2] for k in order])
+        self.times = np.array([pairs[k][3] for k in order], np.int64)
         self.begin = np.searchsorted(word, np.arange(len(self.words) + 1))
 
-    def near(self, group: np.ndarray, starts: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, group: int, starts: np.ndarray, words: np.ndarray, tf: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(passages, items) of one group whose cosine, squared, reaches the item's limit.
 
         For a passage projected on the item's words the product with the item is what it holds of the
-        item's squared length, and so is its own; the item's direction is one of the space's.
+        item's squared length, and so is its own; the item's direction is one of the space's.  Of these pairs, those
+        that lack more of the item's features than a hit may lack words have no common subsequence that is long enough.
         """
         fan = self.begin[words + 1] - self.begin[words]
         at = np.arange(fan.sum()) + np.repeat(self.begin[words] - (np.cumsum(fan) - fan), fan)
-        row = np.repeat(np.repeat(np.arange(len(starts)), sizes), fan)
         n = len(self.items)
-        cosine = np.bincount(row * n + self.item_of[at], self.square[at], len(starts) * n).reshape(-1, n)
-        return np.nonzero((cosine >= self.asked) & (group[:, None] == self.group))
+        cell = np.repeat(np.repeat(np.arange(len(starts)) * n, sizes), fan) + self.item_of[at]
+        cosine = np.bincount(cell, self.square[at], len(starts) * n).reshape(-1, n)
+        row, item = np.nonzero((cosine >= self.asked) & (self.group == group))
+        held = np.bincount(cell, np.minimum(np.repeat(tf, fan), self.times[at]), len(starts) * n).reshape(-1, n)
+        enough = held[row, item] >= self.held[item]
+        return row[enough], item[enough]
 
     def item_matrix(self) -> np.ndarray:
         d = np.zeros((len(self.items), len(self.words)))
@@ -173,95 +251,103 @@ class Block:
         d = d * self.idf
         return d / np.maximum(np.linalg.norm(d, axis=1, keepdims=True), 1e-12)
 
-    def passages(self, numbers: list[np.ndarray], group: int):
-        """(document, first stride, features, counts, offsets) of a group's passages with enough features."""
+    def passages(self, words: np.ndarray, counts: np.ndarray, group: int):
+        """(document, first stride, features, counts, offsets) of a group's passages with enough features.
+
+        ``words`` are those of documents of ``counts`` words, one after the other.
+        """
         span, spans, need = self.strides[group], self.spans[group], self.need[group]
-        counts = np.array([len(x) for x in numbers], np.int64)
-        words = np.concatenate(numbers) if len(numbers) else np.empty(0, np.int32)
-        doc = np.repeat(np.arange(len(numbers)), counts)
+        last = np.maximum(-(-counts // span) - spans, 0)
+        base = np.cumsum(last + 1) - (last + 1)  # passages of earlier documents
+        begin = np.cumsum(counts) - counts
         at = np.flatnonzero(self.kept[group][words])
-        stride = (at - (np.cumsum(counts) - counts)[doc[at]]) // span
-        last = np.maximum(-(-counts // span) - spans, 0)[doc[at]]
-        pieces = [np.flatnonzero((stride - k >= 0) & (stride - k <= last)) for k in range(spans)]
-        who = np.concatenate(pieces)
-        first = np.concatenate([stride[p] - k for k, p in enumerate(pieces)])
-        order = np.lexsort((words[at][who], first, doc[at][who]))
-        d, first, w = doc[at][who][order], first[order], words[at][who][order]
-        if not len(d):
-            return (np.empty(0, np.int64),) * 4 + (np.zeros(1, np.int64),)
-        new = np.r_[True, (d[1:] != d[:-1]) | (first[1:] != first[:-1]) | (w[1:] != w[:-1])]
-        tf = np.diff(np.r_[np.flatnonzero(new), len(d)])
-        d, first, w = d[new], first[new], w[new]
-        row = np.r_[True, (d[1:] != d[:-1]) | (first[1:] != first[:-1])]
-        sizes = np.diff(np.r_[np.flatnonzero(row), len(d)])
-        keep = np.repeat(sizes >= need, sizes)
-        sizes = sizes[sizes >= need]
-        begin = row & keep
-        return d[begin], first[begin], w[keep], tf[keep], np.r_[0, np.cumsum(sizes)]
-
-
-def _slices(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        for part in spans_of_rows(batch, "text"):
-            keys = part.column(0).to_pylist() if part.num_columns < 3 else list(zip(part.column(0).to_pylist(), part.column(2).to_pylist()))
-            yield keys, [(x or "").encode().split() for x in part.column(1).to_pylist()]
-
-
-def _document_frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
-    """Of each word of the block, over all documents; a row a word reaches the driver."""
+        doc = np.repeat(np.arange(len(counts)), counts)[at]
+        stride, own = (at - begin[doc]) // span, words[at].astype(np.int64)
+        n, last = len(self.words), last[doc]
+        keys = []
+        for k in range(min(spans, int(stride.max(initial=0)) + 1)):
+            in_it = np.flatnonzero((stride >= k) & (stride - k <= last))
+            keys.append((base[doc[in_it]] + stride[in_it] - k) * n + own[in_it])
+        key = np.sort(np.concatenate(keys))
+        cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+        tf = np.diff(np.r_[cut, len(key)])
+        passage, w = np.divmod(key[cut], max(n, 1))
+        row = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(key) else cut
+        sizes = np.diff(np.r_[row, len(passage)])
+        enough = sizes >= need
+        keep, passage, sizes = np.repeat(enough, sizes), passage[row[enough]], sizes[enough]
+        d = np.searchsorted(base, passage, "right") - 1
+        return d, passage - base[d], w[keep], tf[keep], np.r_[0, np.cumsum(sizes)]
+
+
+NUMBERED = "doc long, words binary, sums binary"
+
+
+def _numbered(docs: DataFrame, block: Block) -> DataFrame:
+    """Each document as the numbers of its words, and a row a task with its documents and those that have each word."""
     words = block.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, df, n = Vocabulary(words), np.zeros(len(words), np.int64), 0
-        for keys, texts in _slices(batches):
-            n += len(keys)
-            for x in texts:
-                found = vocabulary.numbers(x)
-                df[np.unique(found[found >= 0])] += 1
-        yield arrow("word long, n long", word=[-1, *range(len(words))], n=[n, *df])
+        vocabulary, n = Vocabulary(words), max(len(words), 1)
+        df = np.zeros(1 + n)
+        for batch in batches:
+            for part in spans_of_rows(batch, "text"):
+                numbers, counts = vocabulary.numbers(part.column("text"))
+                df[0] += len(counts)
+                doc = np.repeat(np.arange(len(counts)) * n, counts)
+                cells = np.sort((doc + numbers)[numbers >= 0])
+                if len(cells):
+                    df[1:] += np.bincount(cells[np.r_[True, cells[1:] != cells[:-1]]] % n, minlength=n)
+                ends = np.r_[0, np.cumsum(counts)] * numbers.itemsize
+                column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(numbers)])
+                yield pa.RecordBatch.from_arrays([part.column("doc"), column, pa.nulls(len(counts), pa.binary())], ["doc", "words", "sums"])
+        yield arrow(NUMBERED, doc=[None], words=[None], sums=[df.tobytes()])
+
+    return docs.mapInArrow(handing_back(run), NUMBERED)
 
-    rows = docs.mapInArrow(handing_back(run), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    out = {r["word"]: r["n"] for r in rows}
-    return np.array([out.get(i, 0) for i in range(len(words))], np.int64), out.get(-1, 0)
+
+def _numbers(batch: pa.RecordBatch, block: Block) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of numbered documents, their words one after the other, and the words of each."""
+    dtype = np.dtype(np.int16 if len(block.words) < 1 << 15 else np.int32)
+    for part in spans_of_rows(batch, "words"):
+        column = part.column("words")
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        yield part, np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].view(dtype), np.diff(offsets) // dtype.itemsize
 
 
 VECTORS = "doc long, first int, words array<int>, tf array<int>"
-PASSAGES = f"{VECTORS}, size int, nameless long"
 
 
-def _vectors(docs: DataFrame, block: Block) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(block.words)
-        for keys, texts in _slices(batches):
-            numbers = [vocabulary.numbers(x) for x in texts]
+def _listed(batch: pa.RecordBatch):
+    """(words, counts, offsets) of a batch of VECTORS."""
+    words = batch.column("words")
+    offsets = words.offsets.to_numpy()
+    yield words.flatten().to_numpy(zero_copy_only=False), batch.column("tf").flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
+
+
+def _cut(block: Block):
+    """(words, counts, offsets) of the passages of a batch of numbered documents."""
+    def parts(batch: pa.RecordBatch):
+        for _, numbers, counts in _numbers(batch, block):
             for group in range(len(block.strides)):
-                d, first, w, tf, offsets = block.passages(numbers, group)
-                known, nameless = ([keys[i][c] for i in d] for c in (0, 1))
-                lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, pa.int32())) for x in (w, tf)]
-                yield pa.RecordBatch.from_arrays([pa.array(known, pa.int64()), pa.array(first, pa.int32()), *lists,
-                                                  pa.array(np.full(len(d), group), pa.int32()), pa.array(nameless, pa.int64())],
-                                                 ["doc", "first", "words", "tf", "size", "nameless"])
+                yield block.passages(numbers, counts, group)[2:]
 
-    return docs.mapInArrow(handing_back(run), PASSAGES)
+    return parts
 
 
-def _sparse(batch: pa.RecordBatch, idf: np.ndarray):
-    """(row starts, words, weights, row sizes) of a batch of vectors, each of length 1.
+def _weights(w: np.ndarray, tf: np.ndarray, offsets: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights of vectors, each of length 1.
 
     The term frequency counts by its logarithm, so a word said over and over doesn't drown an item."""
-    words = batch.column("words")
-    w = words.flatten().to_numpy(zero_copy_only=False)
-    x = idf[w] * (1 + np.log(batch.column("tf").flatten().to_numpy(zero_copy_only=False)))
-    offsets = words.offsets.to_numpy()
-    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
-    norm = np.sqrt(np.add.reduceat(x * x, starts))
-    return starts, w, (x / np.repeat(norm, sizes)).astype(np.float32), sizes
+    x = idf[w] * (1 + np.log(tf))
+    norm = np.sqrt(np.add.reduceat(x * x, offsets[:-1]))
+    return (x / np.repeat(norm, np.diff(offsets))).astype(np.float32)
 
 
-def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings) -> np.ndarray:
+def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings, parts=_listed) -> np.ndarray:
     """Leading right singular vectors (words x rank) of the matrix whose rows are ``vectors``.
 
-    One distributed pass sums A'(A omega) for a random omega over partitions;
+    ``parts`` gives the vectors of a batch.  One distributed pass sums A'(A omega) for a random omega over partitions;
     the Nystroem form of A'A then gives the singular vectors.  Sums have words x (rank +
     oversample) numbers, whatever the number of rows.
     """
@@ -269,19 +355,25 @@ def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings) -> n
     omega = np.random.default_rng(settings.seed).normal(size=(n, width)).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((n, width))
+        total, has, place = np.zeros((n, width)), np.zeros(n, bool), np.zeros(n, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                starts, w, x, sizes = _sparse(batch.slice(at, 2000), idf)
-                y = np.add.reduceat(omega[w] * x[:, None], starts)
-                back = np.repeat(y, sizes, axis=0) * x[:, None]
-                order = np.argsort(w, kind="stable")
-                cut = np.flatnonzero(np.r_[True, w[order][1:] != w[order][:-1]])
-                total[w[order][cut]] += np.add.reduceat(back[order], cut)
+            for w, tf, offsets in parts(batch):
+                if not len(w):
+                    continue
+                x, sizes = _weights(w, tf, offsets, idf), np.diff(offsets)
+                for at in range(0, len(sizes), MULTIPLIED):
+                    some = slice(offsets[at], offsets[min(at + MULTIPLIED, len(sizes))])
+                    has[w[some]] = True  # some rows and their words only, as a dense matrix
+                    own = np.flatnonzero(has)
+                    has[own], place[own] = False, np.arange(len(own))
+                    few = sizes[at:at + MULTIPLIED]
+                    a = np.zeros((len(few), len(own)), np.float32)
+                    a[np.repeat(np.arange(len(few)), few), place[w[some]]] = x[some]
+                    total[own] += a.T @ (a @ omega[own])
         yield arrow("sums binary", sums=[total.tobytes()])
 
-    parts = stored(vectors.mapInArrow(handing_back(run), "sums binary"), "svd-sums")
-    total = _add_up(parts, parts.count())
+    sums = stored(vectors.mapInArrow(handing_back(run), "sums binary"), "svd-sums")
+    total = _add_up(sums, sums.count())
     if total is None or not total.any():
         return np.zeros((n, 0))
     s = total.reshape(n, width)
@@ -295,67 +387,56 @@ def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings) -> n
     return left[:, :settings.rank][:, sigma[:settings.rank] ** 2 > 2 * shift]
 
 
-NEAR = "doc long, nameless long, first int, item int, cosine double"
+HITS = "doc_id long, item_id long, share double, answer_share double, cosine double, start long"
+
 
+def _hits(numbered: DataFrame, block: Block, directions: np.ndarray) -> DataFrame:
+    """Hits, one row for an item and document, the best passage.
 
-def _near(vectors: DataFrame, block: Block, directions: np.ndarray) -> DataFrame:
-    """Candidates by the cosine with a passage's part of the item, and the cosine of the whole passage in the latent space."""
-    items = block.item_matrix()
+    Candidates come by the cosine with a passage's part of the item; the cosine of the whole passage in the latent space
+    ranks those that the common subsequence leaves.
+    """
+    items, settings = block.item_matrix(), block.settings
     space, _ = np.linalg.qr(np.hstack([items.T, directions]))
     space, target, idf = space.astype(np.float32), items.T.astype(np.float32), block.idf
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                starts, w, x, sizes = _sparse(part, idf)
-                r, i = block.near(part.column("size").to_numpy(), starts, w, sizes)
-                if not len(r):
-                    continue
-                row, place = np.unique(r, return_inverse=True)
-                has = np.repeat(np.isin(np.arange(len(starts)), row), sizes)
-                begin = np.cumsum(sizes[row]) - sizes[row]
-                length = np.linalg.norm(np.add.reduceat(space[w[has]] * x[has, None], begin), axis=1)
-                dots = np.add.reduceat(target[w[has]] * x[has, None], begin)[place, i]
-                yield arrow(NEAR, doc=part.column("doc").take(pa.array(r)), nameless=part.column("nameless").take(pa.array(r)), first=part.column("first").take(pa.array(r)),
-                            item=i, cosine=dots / np.maximum(length[place], 1e-9))
-
-    return vectors.mapInArrow(handing_back(run), NEAR)
-
-
-HITS = "doc_id long, item_id long, share double, answer_share double, cosine double, start long"
-
-
-def _verified(candidates: DataFrame, block: Block) -> DataFrame:
-    """(doc, text, near: array of (first, item, cosine)) to hits: one row for an item and document, the best passage."""
-    settings = block.settings
+    def found(words: list[int], passage: list[int]) -> tuple[float, float] | None:
+        share = common_subsequence(words, passage) / len(words)
+        if share < settings.paraphrase:
+            return None
+        answer = words[-max(3, -(-len(words) // 5)):]
+        part_found = common_subsequence(answer, passage) / len(answer)
+        return (share, part_found) if share >= settings.copy or part_found >= settings.answer else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(block.words)
         for batch in batches:
-            for part in spans_of_rows(batch, "text"):
-                rows = []
-                for doc, text, near in zip(*(part.column(x).to_pylist() for x in ("doc", "text", "near"))):
-                    split, best = (text or "").encode().split(), {}
-                    for n in near:
-                        item, words = block.items[n["item"]]
-                        stride, spans = block.strides[block.group[n["item"]]], block.spans[block.group[n["item"]]]
-                        start = n["first"] * stride
-                        passage = vocabulary.numbers(split[start:start + stride * spans]).tolist()
-                        share = common_subsequence(words, passage) / len(words)
-                        if share < settings.paraphrase:
-                            continue
-                        answer = words[-max(3, -(-len(words) // 5)):]
-                        part_found = common_subsequence(answer, passage) / len(answer)
-                        if share >= settings.copy or part_found >= settings.answer:
-                            hit = (share, part_found, n["cosine"], -start)
-                            best[item] = max(best.get(item, hit), hit)
-                    rows += [(doc, item, a, b, c, -s) for item, (a, b, c, s) in sorted(best.items())]
-                if rows:
+            for part, numbers, counts in _numbers(batch, block):
+                begin, end = np.cumsum(counts) - counts, np.cumsum(counts)
+                best: dict[tuple[int, int], tuple] = {}
+                for group in range(len(block.strides)):
+                    d, first, w, tf, offsets = block.passages(numbers, counts, group)
+                    if not len(d):
+                        continue
+                    x, stride = _weights(w, tf, offsets, idf), block.strides[group]
+                    for at in range(0, len(d), COMPARED):
+                        o = offsets[at:at + COMPARED + 1]
+                        some = slice(o[0], o[-1])
+                        for row, i in zip(*(x.tolist() for x in block.near(group, o[:-1], w[some], tf[some], np.diff(o)))):
+                            item, words = block.items[i]
+                            k, start = int(d[at + row]), int(first[at + row]) * stride
+                            passage = numbers[begin[k] + start:min(begin[k] + start + stride * block.spans[group], end[k])].tolist()
+                            if shares := found(words, passage):
+                                own = slice(o[row], o[row + 1])
+                                length = np.linalg.norm(x[own] @ space[w[own]])
+                                hit = (*shares, float(x[own] @ target[w[own], i] / max(length, 1e-9)), -start)
+                                best[k, item] = max(best.get((k, item), hit), hit)
+                if best:
+                    keys = part.column("doc").to_pylist()
                     names = [x.split()[0] for x in HITS.split(", ")]
+                    rows = [(keys[k], item, a, b, c, -s) for (k, item), (a, b, c, s) in best.items()]
                     yield arrow(HITS, **dict(zip(names, zip(*rows))))
 
-    return candidates.mapInArrow(handing_back(run), HITS)
+    return numbered.mapInArrow(handing_back(run), HITS)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), key: str = "doc_id",
@@ -368,8 +449,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     item give one hit; no rows or no items give none.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    # rows without a key are told apart by their texts until the end
-    rows = rows.withColumn("nameless", F.when(F.col("doc").isNull(), F.xxhash64("text")))
     items = benchmark.select(F.col(item_key).cast("long").alias("item"), F.col(item_text).alias("text")).where(
         "item is not null and text is not null").distinct().orderBy("item", "text")
     hits, block_rows = [], []
@@ -391,10 +470,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 def _block_hits(rows: DataFrame, block: Block) -> DataFrame:
     if not block.items:
         return rows.sparkSession.createDataFrame([], HITS)
-    block.weigh(*_document_frequencies(rows, block))
-    vectors = stored(_vectors(rows, block), "passages")
-    near = stored(_near(vectors, block, randomised_svd(vectors, block.idf, block.settings)), "near-passages")
-    asked = near.groupBy("doc", "nameless").agg(F.collect_set(F.struct("first", "item", "cosine")).alias("near"))
-    asked = asked.withColumnsRenamed({"doc": "d", "nameless": "m"}).hint("merge")
-    texts = rows.join(asked, F.col("doc").eqNullSafe(F.col("d")) & F.col("nameless").eqNullSafe(F.col("m"))).select("doc", "text", "near")
-    return stored(_verified(texts, block), "benchmark-hits")
+    numbered = stored(_numbered(rows, block), "numbered-documents")
+    sums = numbered.where("sums is not null").select("sums")
+    df = _add_up(sums, sums.count())
+    df = np.zeros(1 + len(block.words)) if df is None else df
+    block.weigh(df[1:].astype(np.int64), int(df[0]))
+    words = numbered.where("words is not null").select("doc", "words")
+    return stored(_hits(words, block, randomised_svd(words, block.idf, block.settings, _cut(block))), "benchmark-hits")
