@@ -575,6 +575,55 @@ def test_bpe_words_and_round_trip(spark):
         assert bpe.merge_long(w.encode(), ranks) == t._encode_single_piece(w.encode())
 
 
+def test_bpe_fold_of_masks_on_random_vocabularies(spark):
+    """Words of 1 to 30 bytes against the heap; a vocabulary whose tokens are made out of their turn is told."""
+    rnd, rows, regular = random.Random(13), [], 0
+    for _ in range(60):
+        tokens = [b"a", b"b", b"c"]
+        for _ in range(rnd.randint(1, 25)):
+            tokens.append(rnd.choice(tokens) + rnd.choice(tokens))
+        ranks = {bytes([x]): x for x in range(256)}
+        for token in dict.fromkeys(tokens[3:]):
+            ranks.setdefault(token, len(ranks))
+        start = bpe.Start(ranks)
+        regular += start.spans.regular
+        for _ in range(40 * start.spans.regular):
+            word = "".join(rnd.choice("aabc") for _ in range(rnd.randint(1, 30))).encode()
+            if word not in ranks:
+                rows.append((start(word), bpe.merge_long(word, ranks)))
+    assert regular > 20 and len(rows) > 500
+    got = spark.createDataFrame(rows, "state array<bigint>, want array<bigint>").select(bpe.fold_spans(F.col("state")).alias("ids"), "want")
+    assert got.where("ids != want").collect() == []
+
+
+def test_bpe_of_tokens_out_of_their_turn(spark):
+    ranks = {bytes([x]): x for x in range(256)} | {b"abc": 256, b"xyz": 257, b"ab": 258, b"cd": 259}
+    start = bpe.Start(ranks)
+    assert not start.spans.regular  # abc comes from ab, whose rank is higher
+    del ranks[b"abc"]
+    assert bpe.Start(ranks).spans.regular  # xyz is made by no merge
+    for extra in ({}, {b"abc": 256}):
+        own = ranks | extra
+        start, words = bpe.Start(own), ["xabcab", "axyzb", "abcd", "ab" * 20 + "cd", "cdcdabc", "a"]
+        df = spark.createDataFrame([(w, start(w.encode())) for w in words], "word string, state array<bigint>")
+        for r in bpe.encode_words(df, own).collect():
+            assert list(r.ids) == bpe.merge_long(r.word.encode(), own), r.word
+
+
+def test_bpe_words_of_letters_are_cut_without_the_pattern(spark):
+    """str.isalpha says no more than the pattern's letters; a task that forgets its words starts its codes anew."""
+    import regex
+    every = [chr(x) for x in [*range(0xD800), *range(0xE000, 0x110000)]]
+    letters = set(regex.findall(r"\p{L}", "".join(every)))
+    assert {x for x in every if x.isalpha()} <= letters
+    codes = bpe.Codes(P.PATTERN)
+    codes.find = lambda x: pytest.fail(x)
+    codes.of("letters alone and ünïcödé 中文 letters")
+    assert codes.new == ["letters", " alone", " and", " ünïcödé", " 中文", " letters"]
+    codes.clear()
+    assert codes.count == len(codes) == len(codes.words) == 0
+
+
 def test_bpe_stretches_are_cut_as_whole_texts():
     import regex
     assert bpe.PUBLIC == P.PATTERN

@@ -2,10 +2,10 @@
 
 Texts are split by the pattern in Python, what stands between white space once while
 remembered; each distinct word of a task is then
-encoded by Spark higher-order functions: a fold over the word's byte array
-merges the pair of lowest rank, leftmost first, until none is left.  The ranks
-are a literal map in the plan; only the ranks of the first, single-byte pairs are looked up where
-the word is split off.  Decoding concatenates the binary pieces of
+encoded by Spark higher-order functions.  For most words a fold over the places of tokens in the word, which are looked up
+where the word is split off, makes them by rank and from left to right, on the word's boundaries as bits.  For longer ones a fold over the
+byte array merges the pair of lowest rank, leftmost first, until none is left; the ranks
+are a literal map in the plan.  Decoding concatenates the binary pieces of
 the ids.
 """
 
@@ -16,10 +16,11 @@ import hashlib
 import heapq
 import json
 import re
-from array import array
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +28,12 @@ from tidewater.llm.common import handing_back, spans_of_rows
 
 #: Longer words are merged with a heap in Python: a fold copies its array at each merge.
 LONGEST = 128
-#: Distinct words a task remembers before it starts anew, and stretches between white space.
-REMEMBERED = 250_000
+#: Distinct words a task remembers before it starts anew, and stretches between white space; bytes of text split at a time.
+REMEMBERED, SLICE_BYTES = 600_000, 1 << 20
+#: Words whose places of tokens are looked for at a time.
+TOGETHER = 4000
+#: Bytes of a word whose boundaries and their marks fit a long; longer words are folded as arrays of their pieces.
+MASKED = 30
 #: The public pattern, which never joins what white space separates but for one space before a word,
 #: its white space, and the stretches that it cuts one by one.
 PUBLIC = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -92,46 +97,175 @@ def _rank(m: Column, pair: Column) -> Column:
                    F.get(m, (pair % F.lit(second)).cast("int") + F.lit(first)).bitwiseXOR(marks), F.lit(NONE).cast("long"))
 
 
+class Spans:
+    """All places of tokens in words, found by a walk through the tokens' prefixes.
+
+    ``regular`` says that every token that merges can make at all comes from a pair in its turn: merging its bytes by
+    the pairs of lower rank leaves two pieces.  Then a stretch of a word whose ends stay ends becomes the token in its turn or never.
+    """
+
+    SLOTS = 1 << 19  # 32 bits less 13
+
+    def __init__(self, ranks: dict[bytes, int]):
+        import numpy as np
+
+        self.regular, tokens = True, {}
+        for token, rank in ranks.items():
+            if len(token) == 1:
+                tokens[token] = rank
+            elif len(parts := self.pieces(token, ranks, rank)) == 2:
+                tokens[token] = rank
+            elif len(self.pieces(token, ranks, NONE)) == 1:
+                self.regular = False
+        nodes = {bytes([x]): x for x in range(256)}
+        keys, children = [], []
+        for token in tokens:
+            for end in range(2, len(token) + 1):
+                if token[:end] not in nodes:
+                    keys.append(nodes[token[:end - 1]] << 8 | token[end - 1])
+                    children.append(len(nodes))
+                    nodes[token[:end]] = len(nodes)
+        self.rank = np.full(len(nodes), -1, np.int32)
+        for token, rank in tokens.items():
+            self.rank[nodes[token]] = rank
+        # the next nodes, in lists by slot
+        self.key, self.child = np.array(keys, np.int32), np.array(children, np.int32)
+        self.head, self.after = np.full(self.SLOTS, -1, np.int32), np.full(len(keys), -1, np.int32)
+        for k, slot in enumerate(self.slots(self.key).tolist()):
+            self.after[k], self.head[slot] = self.head[slot], k
+
+    def slots(self, key):
+        import numpy as np
+
+        return key.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(13)
+
+    @staticmethod
+    def pieces(token: bytes, ranks: dict[bytes, int], under: int) -> list[bytes]:
+        """The pieces of ``token`` after all merges of a rank less than ``under``."""
+        parts = [token[k:k + 1] for k in range(len(token))]
+        while len(parts) > 1:
+            rank, k = min((ranks.get(a + b, NONE), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank >= under:
+                break
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        return parts
+
+    def find(self, text, begin, sizes):
+        """(word, start, length, rank) of every token in words of ``text``; ``begin`` and ``sizes`` are the words'."""
+        import numpy as np
+
+        begin, sizes = begin.astype(np.int32), sizes.astype(np.int32)
+        word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        at = np.arange(len(word), dtype=np.int32) + np.repeat(begin - (np.cumsum(sizes, dtype=np.int32) - sizes), sizes)
+        start = at - begin[word]
+        node, left, length, out = text[at], sizes[word] - start, 1, []
+        while len(node):
+            rank = self.rank[node]
+            token = np.flatnonzero(rank >= 0)
+            out.append((word[token], start[token], np.full(len(token), length, np.int32), rank[token]))
+            more = np.flatnonzero(left > length)
+            key = node[more] << 8 | text[at[more] + length]
+            place = self.head[self.slots(key)]
+            todo = np.flatnonzero(place >= 0)
+            while len(todo := todo[self.key[place[todo]] != key[todo]]):
+                place[todo] = self.after[place[todo]]
+                todo = todo[place[todo] >= 0]
+            found = np.flatnonzero(place >= 0)
+            node, more = self.child[place[found]], more[found]
+            word, at, start, left, length = word[more], at[more], start[more], left[more], length + 1
+        return [np.concatenate(x) for x in zip(*out)]
+
+
 class Start:
-    """State of a word before the first merge: an entry for each byte between two edges.
+    """State of a word before the first merge, as an array of longs.
+
+    Of a word of MASKED bytes at most: -1 - the number of longer tokens in it; its boundaries, a bit for each; a mask
+    for each place of a token in the word, longer ones by rank and from left to right, then single bytes: the bits of its ends << 32 |
+    the bits between them; then, in the same order, start << 16 | id of each.
 
-    An entry has, as bits, the rank of its merge with the next piece (NONE: no
+    Of another word: an entry for each byte between two edges.  An entry has, as bits, the rank of its merge with the next piece (NONE: no
     merge), the index of the entry before it and its id: rank << 32 | index << 16 | id.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
+        import numpy as np
+
         single = [ranks[bytes([x])] for x in range(256)]
-        self.pairs = [[ranks.get(bytes([a, b]), NONE) << 32 | single[a] for b in range(256)] for a in range(256)]
-        self.lasts = [NONE << 32 | x for x in single]
-        self.tables: tuple = ()
+        self.pairs = np.array([[ranks.get(bytes([a, b]), NONE) << 32 | single[a] for b in range(256)] for a in range(256)], np.int64).ravel()
+        self.lasts = np.array([NONE << 32 | x for x in single], np.int64)
+        self.spans = Spans(ranks)
+        self.masked = MASKED if self.spans.regular else 0
 
     def __call__(self, word: bytes) -> list[int]:
-        pairs, edge, end = self.pairs, NONE << 32 | EDGE, len(word) - 1
-        body = [pairs[a][b] | k for a, b, k in zip(word, word[1:], range(0, end << 16, 1 << 16))]
-        return [edge, *body, self.lasts[word[-1]] | end << 16, edge | len(word) << 16]
+        return self.many([word], [True]).to_pylist()[0]
 
     def many(self, words: list[bytes], rows: list[bool]) -> pa.ListArray:
         """The states of ``words``, a list at each true one of ``rows`` and a null at the others."""
         import numpy as np
 
-        if not self.tables:
-            self.tables = np.array(self.pairs, np.int64).ravel(), np.array(self.lasts, np.int64)
-        pairs, lasts = self.tables
+        parts = [self.states(words[k:k + TOGETHER]) for k in range(0, len(words), TOGETHER)] or [(np.empty(0, np.int64),) * 2]
+        lengths, out = map(np.concatenate, zip(*parts))
+        offsets, mask = np.zeros(len(rows), np.int64), np.array(rows, bool)
+        offsets[mask] = lengths
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(offsets)], pa.int32()), pa.array(out), mask=pa.array(~mask))
+
+    def states(self, words: list[bytes]):
+        """Length of each word's state, and the states one after the other."""
+        import numpy as np
+
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        word = np.repeat(np.arange(len(words)), sizes)
-        begin = np.cumsum(sizes) - sizes
-        text, at = np.frombuffer(b"".join(words), np.uint8).astype(np.int64), np.arange(len(word))
-        out = np.full(len(word) + 2 * len(words), NONE << 32 | EDGE, np.int64)
-        place = at + 2 * word + 1
-        out[place[:-1]] = pairs[text[:-1] << 8 | text[1:]]
-        ends = begin + sizes - 1
-        out[place[ends]] = lasts[text[ends]]
-        out[place] |= (at - begin[word]) << 16
-        out[place[ends] + 1] |= sizes << 16
-        fold = np.array(rows, bool)
-        lengths = np.zeros(len(rows), np.int64)
-        lengths[fold] = sizes + 2
-        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(out), mask=pa.array(~fold))
+        text, begin = np.frombuffer(b"".join(words), np.uint8).astype(np.int32), np.cumsum(sizes) - sizes
+        short, long = np.flatnonzero(sizes <= self.masked), np.flatnonzero(sizes > self.masked)
+        word, start, length, rank = self.spans.find(text, begin[short], sizes[short]) if len(short) else (np.empty(0, np.int32),) * 4
+        own = np.bincount(word, minlength=len(short))  # tokens in each word
+        lengths = sizes + 2
+        lengths[short] = 2 + 2 * own
+        to = np.cumsum(lengths) - lengths
+        out = np.empty(lengths.sum(), np.int64)
+        # places of tokens
+        key = np.sort(word.astype(np.int64) << 32 | (length == 1).astype(np.int64) << 31 | rank.astype(np.int64) << 12 | start << 6 | length)
+        start, length, rank, word = key >> 6 & 63, key & 63, key >> 12 & 0xFFFF, key >> 32
+        place = to[short][word] + 2 + np.arange(len(key)) - (np.cumsum(own) - own)[word]
+        one = np.int64(1)
+        ends = one << start | one << start + length
+        out[place] = ends << 32 | ((one << length - 1) - 1) << start + 1
+        out[place + own[word]] = start << 16 | rank
+        out[to[short]] = -1 - (own - sizes[short])  # each byte is a token
+        out[to[short] + 1] = (one << sizes[short] + 1) - 1
+        # entries of bytes
+        word = np.repeat(long, sizes[long])
+        at = np.arange(len(word)) - np.repeat(np.cumsum(sizes[long]) - sizes[long], sizes[long])
+        place, source = to[word] + 1 + at, begin[word] + at
+        out[to[long]] = out[to[long] + sizes[long] + 1] = NONE << 32 | EDGE
+        last = at == sizes[word] - 1
+        after = text[np.minimum(source + 1, len(text) - 1)] if len(text) else text
+        out[place] = np.where(last, self.lasts[text[source]], self.pairs[text[source] << 8 | after]) | at << 16
+        out[to[long] + sizes[long] + 1] |= sizes[long] << 16
+        return lengths, out
+
+
+def fold_spans(state: Column) -> Column:
+    """Ids after all ranked merges, from the masks of a word's tokens (see Start).
+
+    The fold takes the tokens by rank, those of one rank from left to right.  One is made where its ends are boundaries and one boundary
+    is left between them, which goes.  The fold's value has the boundaries in its low half and those gone in its high half, so what it shares
+    with a mask says all: a single bit in the low half if the token is made, nothing if it is one of the pieces at the end.
+    """
+    half, one = F.lit(1 << 32).cast("long"), F.lit(1)
+    size = ((F.size(state) - 2) / 2).cast("int")
+
+    def step(s: Column, c: Column) -> Column:
+        shared = s.bitwiseAND(c)
+        made = (shared < half) & (F.bit_count(shared) == one)
+        return F.when(made, s + shared * F.lit((1 << 32) - 1).cast("long")).otherwise(s)
+
+    def pieces(s: Column) -> Column:
+        left = F.zip_with(F.slice(state, 3, size), F.slice(state, size + 3, size),
+                          lambda c, v: F.when(s.bitwiseAND(c) == F.lit(0).cast("long"), v))
+        return F.transform(F.sort_array(F.array_compact(left)), lambda v: v.bitwiseAND(F.lit(0xFFFF).cast("long")))
+
+    longer = (F.lit(-1).cast("long") - F.get(state, F.lit(0))).cast("int")
+    return _bind(F.aggregate(F.slice(state, 3, longer), F.get(state, F.lit(1)), step), pieces)
 
 
 def fold_merges(state: Column, m: Column) -> Column:
@@ -168,8 +302,9 @@ def fold_merges(state: Column, m: Column) -> Column:
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int], column: str = "state") -> DataFrame:
     """``words`` with ``ids`` (array<bigint>); ``column`` has the start state of each word (null: none)."""
-    return words.withColumn("ids", F.when(F.col(column).isNotNull(), _bind(
-        rank_map(ranks), lambda m: fold_merges(F.col(column), m))))
+    state = F.col(column)
+    return words.withColumn("ids", F.when(state.isNull(), None).when(F.get(state, F.lit(0)) < 0, fold_spans(state)).otherwise(
+        _bind(rank_map(ranks), lambda m: fold_merges(state, m))))
 
 
 def decode_ids(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -227,65 +362,74 @@ class Codes(dict):
         super().__init__()
         import regex
 
-        self.words: dict[str, int] = {}
+        self.words: dict[str, bytes] = {}  # words of stretches of several
+        self.count = 0
         self.new: list[str] = []
         self.find = regex.compile(pattern).findall
         # the stretches of another pattern are whole texts
         self.cut = re.compile(STRETCHES).findall if pattern == PUBLIC else None
 
+    def clear(self) -> None:
+        super().clear()
+        self.words.clear()
+        self.count = 0
+
+    def code(self, word: str) -> bytes:
+        code = self.words.get(word) or self.get(word)
+        if code is None:
+            code = self.words[word] = self.count.to_bytes(4, sys.byteorder)
+            self.count += 1
+            self.new.append(word)
+        return code
+
     def __missing__(self, stretch: str) -> bytes:
-        out = array("i")
-        for w in self.find(stretch):
-            code = self.words.get(w)
-            if code is None:
-                code = self.words[w] = len(self.words)
-                self.new.append(w)
-            out.append(code)
-        codes = out.tobytes()
-        if self.cut:
-            self[stretch] = codes
+        if self.cut is None:
+            return b"".join(map(self.code, self.find(stretch)))
+        # letters alone, with a space before them or not, are a word
+        if stretch.isalpha() or stretch[0] == " " and stretch[1:].isalpha():
+            codes = self.words.pop(stretch, None)
+            if codes is None:
+                codes = self.count.to_bytes(4, sys.byteorder)
+                self.count += 1
+                self.new.append(stretch)
+        else:
+            words = self.find(stretch)
+            if words == [stretch]:
+                codes = self.code(stretch)
+                self.words.pop(stretch, None)
+            else:
+                codes = b"".join(map(self.code, words))
+        self[stretch] = codes
         return codes
 
     def of(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.cut(text))) if self.cut else self[text]
 
 
-def _split(docs: DataFrame, ranks_path: str, pattern: str, key: str, text: str) -> DataFrame:
-    """A stream of rows for each task: new words in order of their codes, then the document that needs them.
+def _split(docs: DataFrame, ranks_path: str, start: Start, pattern: str, key: str, text: str) -> DataFrame:
+    """A stream of rows for each task: new words in order of their codes, then the documents that need them.
 
     Codes count the words a task has met; ``reset`` says that they count from 0 again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, codes = read_ranks(ranks_path), Codes(pattern)
-        start = Start(ranks)
         for batch in batches:
-            for part in spans_of_rows(batch, "text"):
-                rows: list[tuple] = []
-                folded: list[bytes] = []
-                for k, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if len(codes) > REMEMBERED:
-                        codes.clear()
-                    if len(codes.words) > REMEMBERED:
-                        codes.clear()
-                        codes.words.clear()
-                        rows.append((True, False, None, None, None))
-                    own = codes.of(x or "")
-                    for w in codes.new:
-                        data = w.encode()
-                        whole = ranks.get(data)
-                        if whole is not None:
-                            rows.append((False, False, [whole], None, None))
-                        elif len(data) <= LONGEST:
-                            folded.append(data)
-                            rows.append((False, True, None, None, None))
-                        else:
-                            rows.append((False, False, merge_long(data, ranks), None, None))
-                    codes.new.clear()
-                    rows.append((False, False, None, k, own))
-                reset, fold, *rest = zip(*rows)
-                kinds = (pa.list_(pa.int64()), pa.int64(), pa.binary())
+            for part in spans_of_rows(batch, "text", SLICE_BYTES):
+                reset = [True] * (max(len(codes), codes.count) > REMEMBERED)
+                if reset:
+                    codes.clear()
+                own = [codes.of(x or "") for x in part.column(1).to_pylist()]
+                words = [w.encode() for w in codes.new]
+                codes.new.clear()
+                known = [[ranks[w]] if w in ranks else None if len(w) <= LONGEST else merge_long(w, ranks) for w in words]
+                fold = [x is None for x in known]
+                before, after = [None] * len(reset), [None] * len(own)
+                none = before + [None] * len(words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(reset, pa.bool_()), start.many(folded, fold), *(pa.array(c, t) for c, t in zip(rest, kinds))],
+                    [pa.array(reset + [False] * (len(words) + len(own))),
+                     start.many([w for w, x in zip(words, fold) if x], [False] * len(before) + fold + [False] * len(after)),
+                     pa.array(before + known + after, pa.list_(pa.int64())), pa.array(none + part.column(0).to_pylist(), pa.int64()),
+                     pa.array(none + own, pa.binary())],
                     ["reset", "state", "known", "key", "codes"])
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(handing_back(run), SPLIT)
@@ -301,7 +445,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
     without white space, say) are merged exactly by a heap.
     """
     ranks = read_ranks(ranks_path)
-    rows = _split(docs, ranks_path, pattern, key, text)
+    rows = _split(docs, ranks_path, Start(ranks), pattern, key, text)
     rows = encode_words(rows, ranks).withColumn("ids", F.coalesce("known", "ids")).drop("state", "known")
     rows = decode_ids(rows, ranks)
 
@@ -310,27 +454,26 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
 
         shown, decoded = [], []  # every word has an id at least
         for batch in batches:
-            out = ([], [], [], [])
-            columns = {n: batch.column(n) for n in ("reset", "key", "codes", "ids", "decoded")}
-            reset, keys, codes, data = (columns[n].to_pylist() for n in ("reset", "key", "codes", "decoded"))
-            offsets = columns["ids"].offsets.to_numpy()
-            flat = columns["ids"].values.to_numpy(zero_copy_only=False).tolist()
-            for i, (r, k, c, d) in enumerate(zip(reset, keys, codes, data)):
-                if r:
+            starts = pc.indices_nonzero(batch.column("reset")).to_pylist()
+            for begin, end in zip([0, *starts], [*starts, batch.num_rows]):
+                if begin in starts:
                     shown, decoded = [], []
-                elif c is None:
-                    ids = flat[offsets[i]:offsets[i + 1]]
-                    shown.append(" ".join(map(str, ids)))
-                    decoded.append(d)
-                else:
+                some = batch.slice(begin, end - begin)
+                words = some.filter(pc.is_valid(some.column("ids")))
+                ids = words.column("ids")
+                ids = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
+                shown += pc.binary_join(ids, " ").cast(pa.binary()).to_pylist()
+                decoded += words.column("decoded").to_pylist()
+                some = some.filter(pc.is_valid(some.column("codes")))
+                out = ([], [], [])
+                for c in some.column("codes").to_pylist():
                     own = np.frombuffer(c, np.int32).tolist()
-                    out[0].append(k)
-                    written = " ".join(map(shown.__getitem__, own)).encode()
-                    out[1].append(written.count(b" ") + 1 if own else 0)
-                    out[2].append(hashlib.sha256(written).hexdigest())
-                    out[3].append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    written = b" ".join(map(shown.__getitem__, own))
+                    out[0].append(written.count(b" ") + 1 if own else 0)
+                    out[1].append(hashlib.sha256(written).hexdigest())
+                    out[2].append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("key"), *(pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.string(), pa.string())))],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return rows.select("reset", "key", "codes", "ids", "decoded").mapInArrow(handing_back(join), ENCODED)
