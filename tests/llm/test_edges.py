@@ -610,8 +610,25 @@ def test_bpe_of_tokens_out_of_their_turn(spark):
             assert list(r.ids) == bpe.merge_long(r.word.encode(), own), r.word
 
 
-def test_bpe_words_of_letters_are_cut_without_the_pattern(spark):
-    """str.isalpha says no more than the pattern's letters; a task that forgets its words starts its codes anew."""
+def test_bpe_tasks_that_forget_their_words(spark, monkeypatch):
+    import tiktoken
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 300)
+    t = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(BYTE_BPE), special_tokens={})
+    rnd = random.Random(14)
+    words = ["".join(rnd.choice("abcdethé'1 ,") for _ in range(rnd.randint(1, 50))) for _ in range(300)]
+    texts = {k: " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 20))) for k in range(400)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    got = bpe.encode_documents(docs, BYTE_BPE, P.PATTERN).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = t.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_bpe_words_of_letters_are_cut_without_the_pattern():
+    """str.isalpha says no more than the pattern's letters; after clearing, codes count from 0."""
     import regex
     every = [chr(x) for x in [*range(0xD800), *range(0xE000, 0x110000)]]
     letters = set(regex.findall(r"\p{L}", "".join(every)))
