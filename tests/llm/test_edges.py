@@ -661,6 +661,46 @@ def test_bpe_stretches_are_cut_as_whole_texts():
     assert start.many([], [False]).to_pylist() == [None]
 
 
+def test_bpe_texts_are_cut_together():
+    """Each distinct stretch of many texts is looked up once; nulls, empty texts and parts of arrays; other patterns."""
+    import pyarrow as pa
+    import regex
+    asked = []
+
+    class Counted(bpe.Codes):
+        def __getitem__(self, stretch):
+            asked.append(stretch)
+            return super().__getitem__(stretch)
+
+    codes = Counted(P.PATTERN)
+    own = np.frombuffer(codes.of("the same word " * 1000), np.int32)
+    assert [codes.new[i] for i in own] == regex.findall(P.PATTERN, "the same word " * 1000)
+    assert collections.Counter(asked) == {"the": 1, " same": 1, " word": 1, " the": 1, " ": 1}
+    rnd, chars = random.Random(15), "  \n\x85\xa0\u1680\u2003\u2029\u3000\u200bab'sé9.中\u3001\U0001f600"
+    for pattern in (P.PATTERN, r"\w+|\W"):
+        codes, find = bpe.Codes(pattern), regex.compile(pattern).findall
+        for _ in range(300):
+            texts = [rnd.choice([None, "", *["".join(rnd.choice(chars) for _ in range(rnd.randint(0, 12)))] * 6]) for _ in range(12)]
+            for kind in (pa.string(), pa.large_string()):
+                part = pa.array(texts, kind).slice(rnd.randint(0, 3), rnd.randint(0, 9))
+                got = [[codes.new[i] for i in np.frombuffer(x, np.int32)] for x in codes.many(part).to_pylist()]
+                assert got == [find(x or "") for x in part.to_pylist()]
+
+
+def test_bpe_digests_of_pieces():
+    import pyarrow as pa
+    words = bpe.Pieces()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [x.to_pylist() for x in words.digests(pa.array([b""], pa.binary()))] == [[0], [empty], [empty]]
+    for ids, decoded in (([[7], [70000, 1]], [b"a", b"\xff\x00"]), ([], []), ([[3, 4, 5]], [b" c"])):
+        words.add(pa.RecordBatch.from_arrays([pa.array([[9], *ids], pa.list_(pa.int64())).slice(1), pa.array(decoded, pa.binary())], ["ids", "decoded"]))
+    lists = pa.array([np.array(x, np.int32).tobytes() for x in ([1], [2, 0, 2], [], [1, 1])], pa.binary())
+    tokens, shown, decoded = (x.to_pylist() for x in words.digests(lists.slice(1)))
+    assert tokens == [7, 0, 4]
+    assert shown == [hashlib.sha256(x).hexdigest() for x in (b"3 4 5 7 3 4 5", b"", b"70000 1 70000 1")]
+    assert decoded == [hashlib.sha256(x).hexdigest() for x in (b" ca c", b"", b"\xff\x00\xff\x00")]
+
+
 def test_shards(spark, odd):
     out = sharding.histogram_shards(odd)
     assert out.count() == odd.count()

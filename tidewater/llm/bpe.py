@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
-Texts are split by the pattern in Python, what stands between white space once while
-remembered; each distinct word of a task is then
+Texts are cut at white space together, as arrays of bytes, and what stands between is split by
+the pattern in Python, once while remembered; each distinct word of a task is then
 encoded by Spark higher-order functions.  For most words a fold over the places of tokens in the word, which are looked up
 where the word is split off, makes them by rank and from left to right, on the word's boundaries as bits.  For longer ones a fold over the
 byte array merges the pair of lowest rank, leftmost first, until none is left; the ranks
@@ -29,7 +29,9 @@ from tidewater.llm.common import handing_back, spans_of_rows
 #: Longer words are merged with a heap in Python: a fold copies its array at each merge.
 LONGEST = 128
 #: Distinct words a task remembers before it starts anew, and stretches between white space; bytes of text split at a time.
-REMEMBERED, SLICE_BYTES = 600_000, 1 << 20
+REMEMBERED, SLICE_BYTES = 600_000, 4 << 20
+#: New words handed on at a time.
+HANDED = 16_000
 #: Words whose places of tokens are looked for at a time.
 TOGETHER = 4000
 #: Bytes of a word whose boundaries and their marks fit a long; longer words are folded as arrays of their pieces.
@@ -38,7 +40,9 @@ MASKED = 30
 #: its white space, and the stretches that it cuts one by one.
 PUBLIC = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-STRETCHES = f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+#: White space of two and of three bytes in UTF-8, as numbers.
+WIDE = {size: [int.from_bytes(x.encode()) for x in re.findall(f"[{SPACES}]", "".join(map(chr, those)))]
+        for size, those in ((2, range(0x80, 0x800)), (3, range(0x800, 0xD800)))}
 #: A rank that says "no merge", and the id before and after a word; real ids are smaller.
 NONE, EDGE = 1 << 16, (1 << 16) - 1
 
@@ -355,6 +359,37 @@ SPLIT = "reset boolean, state array<bigint>, known array<bigint>, key long, code
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+def stretches(text, edges):
+    """Where the stretches of texts begin, as the public pattern keeps them apart.
+
+    ``text`` has the texts' bytes in UTF-8, ``edges`` where each begins and the end.  A stretch is a run without white space and
+    the space before it, if one is there, or a run of white space; of one before anything else in its text, the last character is cut off:
+    it goes to what follows if it is a space and is a stretch of its own if not.
+    """
+    import numpy as np
+
+    white = (text - np.uint8(9) < 5) | (text == 32)
+    wide = np.flatnonzero((text == 0xC2) | (text - np.uint8(0xE1) < 3))
+    last = len(text) - 1
+    for size, those in WIDE.items():
+        key = np.zeros(len(wide), np.int32)
+        for k in range(size):
+            key = key << 8 | text[np.minimum(wide + k, last)]
+        places = wide[np.isin(key, those)]
+        for k in range(size):
+            white[places + k] = True
+    first = np.zeros(len(text) + 1, bool)
+    first[edges] = True
+    first = first[:-1]
+    begins = first.copy()
+    begins[1:] |= white[1:] != white[:-1]
+    after = np.flatnonzero(begins & ~(white | first))  # white space is before them
+    before = text[after - 1]
+    begins[after[before == 32]] = False
+    begins[after - np.where(before < 0x80, 1, np.where(text[after - 2] >= 0xC0, 2, 3))] = True
+    return np.flatnonzero(begins)
+
+
 class Codes(dict):
     """Stretch of a text to the codes of its words, as bytes; ``new`` holds the words that are not taken over yet."""
 
@@ -366,8 +401,7 @@ class Codes(dict):
         self.count = 0
         self.new: list[str] = []
         self.find = regex.compile(pattern).findall
-        # the stretches of another pattern are whole texts
-        self.cut = re.compile(STRETCHES).findall if pattern == PUBLIC else None
+        self.public = pattern == PUBLIC  # the stretches of another pattern are whole texts
 
     def clear(self) -> None:
         super().clear()
@@ -383,7 +417,7 @@ class Codes(dict):
         return code
 
     def __missing__(self, stretch: str) -> bytes:
-        if self.cut is None:
+        if not self.public:
             return b"".join(map(self.code, self.find(stretch)))
         # letters alone, with a space before them or not, are a word
         if stretch.isalpha() or stretch[0] == " " and stretch[1:].isalpha():
@@ -403,7 +437,29 @@ class Codes(dict):
         return codes
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.cut(text))) if self.cut else self[text]
+        return self.many(pa.array([text]))[0].as_py()
+
+    def many(self, texts: pa.StringArray) -> pa.BinaryArray:
+        """The codes of each text; a null has none.  Equal stretches of the texts are looked up once."""
+        import numpy as np
+
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        edges = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        if edges[0] == edges[-1]:
+            return pa.array([b""] * len(texts), pa.binary())
+        text, edges = np.frombuffer(texts.buffers()[2], np.uint8)[edges[0]:edges[-1]], edges - edges[0]
+        begin = stretches(text, edges) if self.public else np.unique(edges[:-1][np.diff(edges) > 0])
+        offsets = np.append(begin, len(text)).astype(np.int32)
+        found = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(text)).dictionary_encode()
+        which = found.indices.to_numpy()
+        codes = list(map(self.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) >> 2
+        own = sizes[which]
+        ends = np.append(0, np.cumsum(own))
+        place = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], own)
+        out = np.frombuffer(b"".join(codes), np.int32)[place]
+        to = pa.array(4 * ends[np.searchsorted(begin, edges)], pa.int32())
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, to.buffers()[1], pa.py_buffer(out)])
 
 
 def _split(docs: DataFrame, ranks_path: str, start: Start, pattern: str, key: str, text: str) -> DataFrame:
@@ -411,30 +467,67 @@ def _split(docs: DataFrame, ranks_path: str, start: Start, pattern: str, key: st
 
     Codes count the words a task has met; ``reset`` says that they count from 0 again.
     """
+    kinds = {"reset": pa.bool_(), "state": pa.list_(pa.int64()), "known": pa.list_(pa.int64()), "key": pa.int64(), "codes": pa.binary()}
+
+    def rows(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        columns.setdefault("reset", pa.array([False] * n))
+        return pa.RecordBatch.from_arrays([columns[x] if x in columns else pa.nulls(n, kind) for x, kind in kinds.items()], list(kinds))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, codes = read_ranks(ranks_path), Codes(pattern)
         for batch in batches:
             for part in spans_of_rows(batch, "text", SLICE_BYTES):
-                reset = [True] * (max(len(codes), codes.count) > REMEMBERED)
-                if reset:
+                if max(len(codes), codes.count) > REMEMBERED:
                     codes.clear()
-                own = [codes.of(x or "") for x in part.column(1).to_pylist()]
-                words = [w.encode() for w in codes.new]
+                    yield rows(1, reset=pa.array([True]))
+                own = codes.many(part.column(1))
+                new = codes.new[:]
                 codes.new.clear()
-                known = [[ranks[w]] if w in ranks else None if len(w) <= LONGEST else merge_long(w, ranks) for w in words]
-                fold = [x is None for x in known]
-                before, after = [None] * len(reset), [None] * len(own)
-                none = before + [None] * len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(reset + [False] * (len(words) + len(own))),
-                     start.many([w for w, x in zip(words, fold) if x], [False] * len(before) + fold + [False] * len(after)),
-                     pa.array(before + known + after, pa.list_(pa.int64())), pa.array(none + part.column(0).to_pylist(), pa.int64()),
-                     pa.array(none + own, pa.binary())],
-                    ["reset", "state", "known", "key", "codes"])
+                for k in range(0, len(new), HANDED):
+                    words = [w.encode() for w in new[k:k + HANDED]]
+                    known = [[ranks[w]] if w in ranks else None if len(w) <= LONGEST else merge_long(w, ranks) for w in words]
+                    fold = [x is None for x in known]
+                    yield rows(len(words), state=start.many([w for w, x in zip(words, fold) if x], fold),
+                               known=pa.array(known, kinds["known"]))
+                yield rows(part.num_rows, key=part.column(0), codes=own)
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(handing_back(run), SPLIT)
 
 
+class Pieces:
+    """What a task's words, in order of their codes, give to the digests of its documents."""
+
+    def __init__(self):
+        self.tokens = [pa.array([], pa.int64())]
+        self.shown, self.decoded = ([pa.array([], pa.large_binary())] for _ in range(2))
+
+    def add(self, words: pa.RecordBatch) -> None:
+        ids = words.column("ids")  # every word has one at least
+        self.tokens.append(pc.list_value_length(ids).cast(pa.int64()))
+        ids = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
+        self.shown.append(pc.binary_join_element_wise("", pc.binary_join(ids, " "), " ").cast(pa.large_binary()))
+        self.decoded.append(words.column("decoded").cast(pa.large_binary()))
+
+    def digests(self, codes: pa.BinaryArray) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """Number of the ids of each list of codes, the digest of the ids as text and that of the bytes they decode to."""
+        import numpy as np
+
+        for parts in (self.tokens, self.shown, self.decoded):
+            if len(parts) > 1:
+                parts[:] = [pa.concat_arrays(parts)]
+        edges = np.frombuffer(codes.buffers()[1], np.int32)[codes.offset:codes.offset + len(codes) + 1] >> 2
+        own = np.frombuffer(codes.buffers()[2] or b"", np.int32)[edges[0]:edges[-1]]
+        edges = edges - edges[0]
+        tokens = np.append(0, np.cumsum(self.tokens[0].to_numpy()[own]))[edges]
+
+        def hashed(pieces: pa.LargeBinaryArray, skip: int) -> pa.Array:
+            taken = pieces.take(pa.array(own))
+            ends, data = np.frombuffer(taken.buffers()[1], np.int64)[edges].tolist(), memoryview(taken.buffers()[2] or b"")
+            return pa.array([hashlib.sha256(data[a + skip:b]).hexdigest() for a, b in zip(ends, ends[1:])], pa.string())
+
+        return pa.array(np.diff(tokens)), hashed(self.shown[0], 1), hashed(self.decoded[0], 0)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """Number and digests of each whole text's ids, and the digest of the bytes that they decode to.
@@ -450,30 +543,16 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, key: str =
     rows = decode_ids(rows, ranks)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        shown, decoded = [], []  # every word has an id at least
+        words = Pieces()
         for batch in batches:
             starts = pc.indices_nonzero(batch.column("reset")).to_pylist()
             for begin, end in zip([0, *starts], [*starts, batch.num_rows]):
                 if begin in starts:
-                    shown, decoded = [], []
+                    words = Pieces()
                 some = batch.slice(begin, end - begin)
-                words = some.filter(pc.is_valid(some.column("ids")))
-                ids = words.column("ids")
-                ids = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
-                shown += pc.binary_join(ids, " ").cast(pa.binary()).to_pylist()
-                decoded += words.column("decoded").to_pylist()
-                some = some.filter(pc.is_valid(some.column("codes")))
-                out = ([], [], [])
-                for c in some.column("codes").to_pylist():
-                    own = np.frombuffer(c, np.int32).tolist()
-                    written = b" ".join(map(shown.__getitem__, own))
-                    out[0].append(written.count(b" ") + 1 if own else 0)
-                    out[1].append(hashlib.sha256(written).hexdigest())
-                    out[2].append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("key"), *(pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.string(), pa.string())))],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                words.add(some.filter(pc.is_valid(some.column("ids"))))
+                for part in spans_of_rows(some.filter(pc.is_valid(some.column("codes"))), "codes", SLICE_BYTES):
+                    yield pa.RecordBatch.from_arrays([part.column("key"), *words.digests(part.column("codes"))],
+                                                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return rows.select("reset", "key", "codes", "ids", "decoded").mapInArrow(handing_back(join), ENCODED)
