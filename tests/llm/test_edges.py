@@ -297,6 +297,93 @@ def test_decontamination_reads_each_text_once(spark):
     assert read.value == 60
 
 
+class Here:
+    """Batches in place of a DataFrame: a step's rows as they come, in this process."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        return list(run(iter(self.batches)))
+
+
+def block_of(texts, items):
+    """The items' block, weighed, and the numbered texts."""
+    import pyarrow as pa
+    block = decontaminate.Block(items, decontaminate.Settings())
+    texts = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc", "text"])
+    *numbered, sums = decontaminate._numbered(Here([texts]), block)
+    df = np.frombuffer(sums.column("sums")[0].as_buffer())
+    block.weigh(df[1:].astype(int), int(df[0]))
+    return block, numbered
+
+
+def random_block():
+    rnd = random.Random(14)
+    often, rare = [f"often{i}" for i in range(30)], [f"rare{i}" for i in range(60)]
+    items = [(i, " ".join(rnd.sample(rnd.sample(often, 15) + rnd.sample(rare, 12), 27))) for i in range(6)]
+    items.append((6, " ".join(rnd.choice(often + rare) for _ in range(90))))  # longer: a group of its own
+    texts = []
+    for _ in range(120):
+        words = [f"x{rnd.randint(0, 900)}" if rnd.random() < 0.6 else rnd.choice(often) for _ in range(rnd.randint(0, 300))]
+        own, at = rnd.choice(items)[1].split(), rnd.randint(0, len(words))
+        some = set(rnd.sample(own, rnd.randint(1, len(own) // 2)))
+        words[at:at] = [w for w in own if w in some or rnd.random() < 0.2 * (w[0] == "r")]
+        texts.append(" ".join(words))
+    return block_of(texts, items)
+
+
+def passages_of(block, numbered):
+    """(group, words with their counts, item, share of the item's squared length that the words hold) of all pairs that share a feature."""
+    items = block.item_matrix()
+    for batch in numbered:
+        for _, numbers, counts in decontaminate._numbers(batch, block):
+            for group in range(len(block.strides)):
+                _, _, w, tf, offsets = block.passages(numbers, counts, group)
+                for a, b in zip(offsets, offsets[1:]):
+                    for i in np.flatnonzero(block.group == group):
+                        if share := (items[i, w[a:b]] ** 2).sum():
+                            yield group, w[a:b], tf[a:b], i, share
+
+
+def test_decontamination_compares_every_candidate_by_words(monkeypatch):
+    block, numbered = random_block()
+    want = [pair for pair in passages_of(block, numbered) if pair[-1] >= block.asked[pair[-2]]]
+    whole, compared = [tuple(words) for _, words in block.items], []
+
+    def counted(a, b, *places, count=decontaminate.common_subsequence):
+        if tuple(a) in whole:
+            compared.append(whole.index(tuple(a)))
+        return count(a, b, *places)
+
+    monkeypatch.setattr(decontaminate, "common_subsequence", counted)
+    decontaminate._hits(Here(numbered), block, np.zeros((len(block.words), 0)))
+    assert len(want) > 300
+    assert sorted(compared) == sorted(pair[-2] for pair in want)
+
+
+def test_decontamination_compares_every_passage_in_the_latent_space():
+    block, numbered = random_block()
+    directions = np.random.default_rng(2).normal(size=(len(block.words), 5))
+    items, space = block.item_matrix(), np.linalg.qr(np.hstack([block.item_matrix().T, directions]))[0]
+    want, got = {}, {}
+    for at, (group, w, tf, i, _) in enumerate(passages_of(block, numbered)):
+        x = np.zeros(len(block.words))
+        x[w] = block.idf[w] * (1 + np.log(tf))
+        want[at] = x @ items[i] / np.linalg.norm(x @ space)
+    block.asked[:] = 0  # every pair that shares a feature
+    found, at = decontaminate.Space(block, directions), 0
+    for batch in numbered:
+        for _, numbers, counts in decontaminate._numbers(batch, block):
+            for group in range(len(block.strides)):
+                _, _, w, tf, offsets = block.passages(numbers, counts, group)
+                for near in found.near(group, w, decontaminate._weights(w, tf, offsets, block.idf), offsets):
+                    for _, _, cosine in zip(*near):
+                        got[at], at = cosine, at + 1
+    assert len(want) == len(got) > 1000
+    assert all(abs(got[k] - want[k]) < 1e-5 for k in want)
+
+
 def test_words_are_numbered_together_as_one_by_one():
     import pyarrow as pa
     rnd = random.Random(12)

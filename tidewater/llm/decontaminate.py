@@ -4,12 +4,12 @@ Passages of the corpus and benchmark items are TF-IDF vectors over the
 benchmark's words.  A randomised SVD of the passages, its products summed over partitions, gives the
 corpus's leading directions; with the items' own they span the latent space.
 
-Candidates come from the cosine there between an item and a passage projected on the item's own
-words, so what surrounds the item in a passage does not count.  The limit of each item follows from the rule for hits: a hit
-holds all but so many of the item's words, and however their weights fall, the cosine is at least that of the
-lightest words that may be left.  The item's direction lies in the space, so no projection lowers its product with a
-passage, and no hit is lost.  The longest common subsequence of words and the item's answer part decide; the
-cosine of the whole passage ranks equal ones.
+Every passage is compared there with every item of its length.  Candidates come from the product of the item with
+the item's words that the passage holds, so what surrounds the item in a passage does not count.  The limit of each item follows
+from the rule for hits: a hit holds all but so many of the item's words, and however their weights fall, the product is at least
+that of the lightest words that may be left.  The item's direction lies in the space, so no projection lowers
+the product, and no hit is lost.  For every candidate the longest common subsequence of words and the item's answer part
+decide; the cosine of the whole passage in the space ranks equal ones.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ REMEMBERED = 400_000
 class Settings:
     """block: items searched at a time.  copy: share of an item's words in the common subsequence that
     tells by itself; paraphrase: that tells if ``answer`` of the answer part (the last fifth, three words at
-    least) is found too.  common: a word in more than this share of documents is a feature only of items
-    whose features would else not tell ``least`` words of a hit; common and least bear on the work alone, no hit
+    least) is found too.  common: a word in more than this share of documents is a feature only if the
+    features of an item would else not tell ``least`` words of a hit; common and least bear on the work alone, no hit
     is lost by them."""
 
     block: int = 256
@@ -58,8 +58,8 @@ ASCII_MARKS = string.punctuation.encode()
 WHITE, MARK = (np.isin(np.arange(256), list(x)) for x in (WHITE_SPACE.encode(), ASCII_MARKS))
 LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-#: Passages that are compared with the items at a time, and that are multiplied at a time.
-COMPARED, MULTIPLIED = 2000, 64
+#: Passages that are multiplied at a time.
+MULTIPLIED = 64
 
 
 def plain(word: str) -> str:
@@ -153,11 +153,17 @@ class Vocabulary(dict):
         return out, counts
 
 
-def common_subsequence(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence; bits stand for the places of ``a``."""
+def places_of(a: list[int]) -> dict[int, int]:
+    """The places of each word as bits."""
     places: dict[int, int] = {}
     for i, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << i
+    return places
+
+
+def common_subsequence(a: list[int], b: list[int], places: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence; bits stand for the places of ``a``, which may be given."""
+    places = places_of(a) if places is None else places
     full = (1 << len(a)) - 1
     row = full
     for x in b:
@@ -196,53 +202,26 @@ class Block:
         """Features by document frequency, their weights, and the limit of each item.
 
         A hit lacks at most ``lost`` of an item's words.  So of any of its words it holds all but ``lost``, whichever
-        are taken as features: the rarest serve best, and the frequencies bear on the work alone.  Projected on them, its cosine with
-        the item is the root of the share of the item's squared length that it holds: ``asked`` is the least
-        that ``lost`` words can leave, the heaviest for each word being lost first (the last one in part).
+        are taken as features: the rarest serve best, and the frequencies bear on the work alone.  ``asked`` is the share of the
+        item's squared length that a hit holds at least: what is left when ``lost`` words go, the heaviest for
+        each word being lost first (the last one in part).
         """
         idf = np.log((n_docs + 1) / (df + 1)) + 1e-6
         rare = df <= self.settings.common * n_docs
-        kept = np.zeros((len(self.strides), len(self.words) + 1), bool)  # the last column is that of other words
-        self.asked, needs, pairs = np.zeros(len(self.items)), [[] for _ in self.strides], []
-        self.held = np.zeros(len(self.items), np.int64)  # features that a hit has at least
+        self.kept = np.zeros((len(self.strides), len(self.words) + 1), bool)  # the last column is that of other words
+        lost = [len(s) - math.ceil(self.settings.paraphrase * len(s) - 1e-9) for _, s in self.items]
+        for (_, s), group, n in zip(self.items, self.group, lost):
+            self.kept[group, sorted(s, key=lambda w: (df[w], w))[:max(int(rare[s].sum()), n + self.settings.least)]] = True
+        self.idf = np.where(self.kept.any(0)[:-1], idf, 0)
+        vectors, self.asked = self.item_matrix(), np.zeros(len(self.items))
         for i, (_, s) in enumerate(self.items):
-            lost = len(s) - math.ceil(self.settings.paraphrase * len(s) - 1e-9)
-            own = sorted(s, key=lambda w: (df[w], w))[:max(int(rare[s].sum()), lost + self.settings.least)]
-            words, times = np.unique(own, return_counts=True)
-            square = (idf[words] * times) ** 2
-            square /= square.sum()
+            words, times = np.unique(s, return_counts=True)
+            square = np.where(self.kept[self.group[i], words], vectors[i, words] ** 2, 0)
             order = np.argsort(-square / times, kind="stable")
-            gone = np.clip(lost - (np.cumsum(times[order]) - times[order]), 0, times[order]) / times[order]
-            self.asked[i] = 1 - (gone * square[order]).sum() - 1e-9
-            self.held[i] = len(own) - lost
-            kept[self.group[i], words] = True
-            pairs += [(w, i, x, n) for w, x, n in zip(words, square, times)]
-            needs[self.group[i]].append(1 + int(np.searchsorted(np.cumsum(np.sort(square)[::-1]), self.asked[i])))
-        self.kept, self.need = kept, [min(n) for n in needs]
-        self.idf = np.where(kept.any(0)[:-1], idf, 0)
-        # features of the items, by word: item numbers, the share of the item's squared length and how often the item has it
-        order = sorted(range(len(pairs)), key=lambda k: pairs[k][:2])
-        word = np.array([pairs[k][0] for k in order], np.int64)
-        self.item_of, self.square = np.array([pairs[k][1] for k in order], np.int64), np.array([pairs[k][2] for k in order])
-        self.times = np.array([pairs[k][3] for k in order], np.int64)
-        self.begin = np.searchsorted(word, np.arange(len(self.words) + 1))
-
-    def near(self, group: int, starts: np.ndarray, words: np.ndarray, tf: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passages, items) of one group whose cosine, squared, reaches the item's limit.
-
-        For a passage projected on the item's words the product with the item is what it holds of the
-        item's squared length, and so is its own; the item's direction is one of the space's.  Of these pairs, those
-        that lack more of the item's features than a hit may lack words have no common subsequence that is long enough.
-        """
-        fan = self.begin[words + 1] - self.begin[words]
-        at = np.arange(fan.sum()) + np.repeat(self.begin[words] - (np.cumsum(fan) - fan), fan)
-        n = len(self.items)
-        cell = np.repeat(np.repeat(np.arange(len(starts)) * n, sizes), fan) + self.item_of[at]
-        cosine = np.bincount(cell, self.square[at], len(starts) * n).reshape(-1, n)
-        row, item = np.nonzero((cosine >= self.asked) & (self.group == group))
-        held = np.bincount(cell, np.minimum(np.repeat(tf, fan), self.times[at]), len(starts) * n).reshape(-1, n)
-        enough = held[row, item] >= self.held[item]
-        return row[enough], item[enough]
+            square, times = square[order], times[order]
+            gone = np.clip(lost[i] - (np.cumsum(times) - times), 0, times) / times
+            # sums of that many terms in single precision are right to less than the part taken off
+            self.asked[i] = ((1 - gone) * square).sum() * (1 - 1e-6 * len(words))
 
     def item_matrix(self) -> np.ndarray:
         d = np.zeros((len(self.items), len(self.words)))
@@ -252,11 +231,11 @@ class Block:
         return d / np.maximum(np.linalg.norm(d, axis=1, keepdims=True), 1e-12)
 
     def passages(self, words: np.ndarray, counts: np.ndarray, group: int):
-        """(document, first stride, features, counts, offsets) of a group's passages with enough features.
+        """(document, first stride, features, counts, offsets) of a group's passages that have features.
 
         ``words`` are those of documents of ``counts`` words, one after the other.
         """
-        span, spans, need = self.strides[group], self.spans[group], self.need[group]
+        span, spans = self.strides[group], self.spans[group]
         last = np.maximum(-(-counts // span) - spans, 0)
         base = np.cumsum(last + 1) - (last + 1)  # passages of earlier documents
         begin = np.cumsum(counts) - counts
@@ -273,11 +252,8 @@ class Block:
         tf = np.diff(np.r_[cut, len(key)])
         passage, w = np.divmod(key[cut], max(n, 1))
         row = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(key) else cut
-        sizes = np.diff(np.r_[row, len(passage)])
-        enough = sizes >= need
-        keep, passage, sizes = np.repeat(enough, sizes), passage[row[enough]], sizes[enough]
-        d = np.searchsorted(base, passage, "right") - 1
-        return d, passage - base[d], w[keep], tf[keep], np.r_[0, np.cumsum(sizes)]
+        d = np.searchsorted(base, passage[row], "right") - 1
+        return d, passage[row] - base[d], w, tf, np.r_[row, len(passage)]
 
 
 NUMBERED = "doc long, words binary, sums binary"
@@ -344,6 +320,20 @@ def _weights(w: np.ndarray, tf: np.ndarray, offsets: np.ndarray, idf: np.ndarray
     return (x / np.repeat(norm, np.diff(offsets))).astype(np.float32)
 
 
+def _dense(w: np.ndarray, x: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Some vectors at a time: the first one's place, the words that they have, and the vectors over these words."""
+    has, place, sizes = np.zeros(n, bool), np.zeros(n, np.int64), np.diff(offsets)
+    for at in range(0, len(sizes), MULTIPLIED):
+        some = slice(offsets[at], offsets[min(at + MULTIPLIED, len(sizes))])
+        has[w[some]] = True
+        own = np.flatnonzero(has)
+        has[own], place[own] = False, np.arange(len(own))
+        few = sizes[at:at + MULTIPLIED]
+        a = np.zeros((len(few), len(own)), np.float32)
+        a[np.repeat(np.arange(len(few)), few), place[w[some]]] = x[some]
+        yield at, own, a
+
+
 def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings, parts=_listed) -> np.ndarray:
     """Leading right singular vectors (words x rank) of the matrix whose rows are ``vectors``.
 
@@ -355,21 +345,12 @@ def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings, part
     omega = np.random.default_rng(settings.seed).normal(size=(n, width)).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, has, place = np.zeros((n, width)), np.zeros(n, bool), np.zeros(n, np.int64)
+        total = np.zeros((n, width))
         for batch in batches:
             for w, tf, offsets in parts(batch):
-                if not len(w):
-                    continue
-                x, sizes = _weights(w, tf, offsets, idf), np.diff(offsets)
-                for at in range(0, len(sizes), MULTIPLIED):
-                    some = slice(offsets[at], offsets[min(at + MULTIPLIED, len(sizes))])
-                    has[w[some]] = True  # some rows and their words only, as a dense matrix
-                    own = np.flatnonzero(has)
-                    has[own], place[own] = False, np.arange(len(own))
-                    few = sizes[at:at + MULTIPLIED]
-                    a = np.zeros((len(few), len(own)), np.float32)
-                    a[np.repeat(np.arange(len(few)), few), place[w[some]]] = x[some]
-                    total[own] += a.T @ (a @ omega[own])
+                if len(w):
+                    for _, own, a in _dense(w, _weights(w, tf, offsets, idf), offsets, n):
+                        total[own] += a.T @ (a @ omega[own])
         yield arrow("sums binary", sums=[total.tobytes()])
 
     sums = stored(vectors.mapInArrow(handing_back(run), "sums binary"), "svd-sums")
@@ -390,18 +371,46 @@ def randomised_svd(vectors: DataFrame, idf: np.ndarray, settings: Settings, part
 HITS = "doc_id long, item_id long, share double, answer_share double, cosine double, start long"
 
 
+class Space:
+    """The latent space of a block: the items' directions and those of ``directions``, orthonormal."""
+
+    def __init__(self, block: Block, directions: np.ndarray):
+        items = block.item_matrix().T
+        space, _ = np.linalg.qr(np.hstack([items, directions]))
+        places = space.T @ items
+        product = space @ places
+        product *= items  # what a word of an item adds to the product of the item and a passage that holds the word
+        self.space = space.astype(np.float32)
+        self.groups = []
+        for group in range(len(block.strides)):
+            i = np.flatnonzero(block.group == group)
+            self.groups.append((i, product[:, i].astype(np.float32), places[:, i].astype(np.float32), block.asked[i]))
+
+    def near(self, group: int, w: np.ndarray, x: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(passages, items, cosines) of the candidates among all pairs of passages and items of one group.
+
+        The item's words that a passage holds, each with the item's weight, have as squared length their share of the item's:
+        in the space their product with the item is that share too, its root their cosine.  It is held against
+        the item's limit.  The cosines returned are those of whole passages in the space.
+        """
+        items, product, places, asked = self.groups[group]
+        for at, own, a in _dense(w, x, offsets, len(self.space)):
+            z = a @ self.space[own]
+            cosine = z @ places / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+            share = (a > 0).astype(np.float32) @ product[own]
+            row, i = np.nonzero((share >= asked) & (share > 0))
+            yield at + row, items[i], cosine[row, i]
+
+
 def _hits(numbered: DataFrame, block: Block, directions: np.ndarray) -> DataFrame:
     """Hits, one row for an item and document, the best passage.
 
-    Candidates come by the cosine with a passage's part of the item; the cosine of the whole passage in the latent space
-    ranks those that the common subsequence leaves.
+    Every passage is compared with every item of its group in the latent space, and every candidate by words.
     """
-    items, settings = block.item_matrix(), block.settings
-    space, _ = np.linalg.qr(np.hstack([items.T, directions]))
-    space, target, idf = space.astype(np.float32), items.T.astype(np.float32), block.idf
+    settings, idf, space = block.settings, block.idf, Space(block, directions)
 
-    def found(words: list[int], passage: list[int]) -> tuple[float, float] | None:
-        share = common_subsequence(words, passage) / len(words)
+    def found(words: list[int], places: dict[int, int], passage: list[int]) -> tuple[float, float] | None:
+        share = common_subsequence(words, passage, places) / len(words)
         if share < settings.paraphrase:
             return None
         answer = words[-max(3, -(-len(words) // 5)):]
@@ -409,6 +418,10 @@ def _hits(numbered: DataFrame, block: Block, directions: np.ndarray) -> DataFram
         return (share, part_found) if share >= settings.copy or part_found >= settings.answer else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = [places_of(words) for _, words in block.items]
+        has = np.zeros((len(places), len(block.words) + 1), bool)  # words of no item are in the last column
+        for i, own in enumerate(places):
+            has[i, list(own)] = True
         for batch in batches:
             for part, numbers, counts in _numbers(batch, block):
                 begin, end = np.cumsum(counts) - counts, np.cumsum(counts)
@@ -417,18 +430,14 @@ def _hits(numbered: DataFrame, block: Block, directions: np.ndarray) -> DataFram
                     d, first, w, tf, offsets = block.passages(numbers, counts, group)
                     if not len(d):
                         continue
-                    x, stride = _weights(w, tf, offsets, idf), block.strides[group]
-                    for at in range(0, len(d), COMPARED):
-                        o = offsets[at:at + COMPARED + 1]
-                        some = slice(o[0], o[-1])
-                        for row, i in zip(*(x.tolist() for x in block.near(group, o[:-1], w[some], tf[some], np.diff(o)))):
+                    stride = block.strides[group]
+                    for near in space.near(group, w, _weights(w, tf, offsets, idf), offsets):
+                        for row, i, cosine in zip(*(x.tolist() for x in near)):
                             item, words = block.items[i]
-                            k, start = int(d[at + row]), int(first[at + row]) * stride
-                            passage = numbers[begin[k] + start:min(begin[k] + start + stride * block.spans[group], end[k])].tolist()
-                            if shares := found(words, passage):
-                                own = slice(o[row], o[row + 1])
-                                length = np.linalg.norm(x[own] @ space[w[own]])
-                                hit = (*shares, float(x[own] @ target[w[own], i] / max(length, 1e-9)), -start)
+                            k, start = int(d[row]), int(first[row]) * stride
+                            passage = numbers[begin[k] + start:min(begin[k] + start + stride * block.spans[group], end[k])]
+                            if shares := found(words, places[i], passage[has[i][passage]].tolist()):
+                                hit = (*shares, cosine, -start)
                                 best[k, item] = max(best.get((k, item), hit), hit)
                 if best:
                     keys = part.column("doc").to_pylist()
